@@ -19,7 +19,8 @@ def with_previous(df: DataFrame, keys: list[str], order: list[str], values: list
     """Add the value of the previous row (or of the last earlier non-null one) of the same keys.
 
     ``slice_col`` must not decrease along the first order column. Rows are shuffled by (keys, slice) only;
-    one summary row per slice carries the last value into the next slice.
+    one summary row per slice carries the last value into the next slice, and meets the rows in the
+    partitioning they already have. Keys must not be null.
     """
     sliced = df.withColumn("_slice", slice_col)
     part = [*keys, "_slice"]
@@ -39,18 +40,13 @@ def with_previous(df: DataFrame, keys: list[str], order: list[str], values: list
         carried = {"_c": F.lag("_e").over(carry_over)}
     edges = sliced.groupBy(*part).agg(*ends).withColumns(carried).select(*part, *carried)
     out = sliced.withColumns(local)
-    on = [out[c].eqNullSafe(edges[c]) for c in part]
-    joined = out.join(edges, on, "left")
+    joined = out.join(edges, part, "left")
     if skip_nulls:
         prev = [F.coalesce(f"_l_{v}", f"_c_{v}").alias(f"{v}{suffix}") for v in values]
     else:
         joined = joined.withColumn("_p", F.coalesce("_l", "_c"))
         prev = [F.col(f"_p.{v}").alias(f"{v}{suffix}") for v in values]
-    return joined.select(*[df_col(out, c) for c in df.columns], *prev)
-
-
-def df_col(df: DataFrame, name: str) -> Column:
-    return df[name]
+    return joined.select(*df.columns, *prev)
 
 
 def demand_from_lag(df: DataFrame, keys: list[str] = ("station_id", "file_date"), ts: str = "last_reported_local",
