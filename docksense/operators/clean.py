@@ -61,14 +61,20 @@ def normalise_types(df: DataFrame, spec: dict[str, str], nested: dict[str, dict[
         else:
             casts[c] = F.col(c).try_cast(kind)
     for arr, fields in (nested or {}).items():
-        def fix(x, fields=fields):
-            for f, kind in fields.items():
-                x = x.withField(f, x[f].try_cast(kind))
-            return x
-        casts[arr] = F.transform(arr, fix)
+        casts[arr] = F.transform(arr, _cast_fields(fields))
     return df.withColumns(casts)
 
 
+def _cast_fields(fields: dict[str, str]):
+    def fix(entry: Column) -> Column:
+        out = entry
+        for f, kind in fields.items():
+            out = out.withField(f, entry[f].try_cast(kind))
+        return out
+
+    return fix
+
+
 def drop_null_rows(df: DataFrame) -> DataFrame:
     return df.na.drop()
 

@@ -7,15 +7,20 @@ and a border point joins the cluster with the smallest name among its core neigh
 from __future__ import annotations
 
 import functools
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docksense.operators.nearest import candidates
 from docksense.session import cut_lineage
 
+# workers need not have this package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # inputs known to be at most this many points are clustered inside one task per setting
 SMALL = 2000
 
@@ -59,18 +64,24 @@ def _around(df: DataFrame) -> DataFrame:
 
 
 def _components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(v, label): smallest node id of each connected component, by label spreading with pointer jumps."""
-    both = cut_lineage(edges.select("a", "b").union(edges.select("b", "a")).distinct())
-    labels = cut_lineage(nodes.select("v", F.col("v").alias("label")))
-    while True:
-        lowest = both.join(labels, both.b == labels.v).groupBy(F.col("a").alias("v")).agg(F.min("label").alias("m"))
-        spread = labels.join(lowest, "v", "left").select(
-            "v", F.col("label").alias("old"), F.least("label", F.coalesce("m", "label")).alias("label"))
-        roots = spread.select(F.col("v").alias("root"), F.col("label").alias("up"))
-        jumped = cut_lineage(spread.join(roots, spread.label == roots.root).select("v", "old", F.col("up").alias("label")))
-        labels = jumped.select("v", "label")
-        if jumped.filter(F.col("old") != F.col("label")).isEmpty():
-            return labels
+    """(v, label): one node id per connected component.
+
+    Each round points every node at its smallest neighbour, follows the pointers once more and contracts the
+    graph, so the rounds grow with the logarithm of the number of nodes.
+    """
+    open_edges = cut_lineage(edges.select("a", "b").union(edges.select("b", "a")).distinct())
+    labels = nodes.select("v", F.col("v").alias("label"))
+    while not open_edges.isEmpty():
+        hook = open_edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("to"))
+        ahead = hook.select(F.col("a").alias("to"), F.col("to").alias("root"))
+        root = cut_lineage(hook.join(ahead, "to").select(F.col("a").alias("n"), "root"))
+        at_a = root.withColumnsRenamed({"n": "a", "root": "ra"})
+        at_b = root.withColumnsRenamed({"n": "b", "root": "rb"})
+        moved = open_edges.join(at_a, "a").join(at_b, "b").filter(F.col("ra") != F.col("rb"))
+        open_edges = cut_lineage(moved.select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct())
+        joined = labels.join(root, labels.label == root.n, "left")
+        labels = cut_lineage(joined.select("v", F.coalesce("root", "label").alias("label")))
+    return labels
 
 
 def _dbscan_large(df: DataFrame, eps: float, min_samples: int) -> DataFrame:

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from docksense.session import cut_lineage
+
 MAX_BITS = 48
 # cells or objects known to be at most this many are broadcast (about 100 bytes each)
 BROADCAST_ROWS = 200_000
@@ -85,6 +87,8 @@ def candidates(queries: DataFrame, q_cols: list[str], objects: DataFrame, lo: li
     below = keyed
     for level in range(depth, 0, -1):
         below = below.groupBy(*keys[: level + 1]).agg(*shrink)
+        if depth > 3:  # many levels would repeat this plan in every step above
+            below = cut_lineage(below)
         nodes[level] = below
 
     def children(level: int) -> DataFrame:
@@ -100,29 +104,37 @@ def candidates(queries: DataFrame, q_cols: list[str], objects: DataFrame, lo: li
     def box(c: Column) -> tuple[list[Column], list[Column]]:
         return [c[x] for x in lo_c], [c[x] for x in hi_c]
 
+    def descend(df: DataFrame, level: int, how: str) -> DataFrame:
+        if level == 1 and not group:  # a single row
+            return df.withColumn("_kids", children(1).select("_kids").scalar())
+        return df.join(children(level), "_key", how)
+
     cols = queries.columns
     walk = queries.withColumns({"_key": top, "_far": F.lit(math.inf)})
     for level in range(1, depth + 1):
-        walk = walk.join(children(level), "_key", "left")
-        scored = F.array_sort(F.transform("_kids", lambda c: F.struct(
-            _far(q, *box(c)).alias("far"), c["_w"].alias("w"), c["key"].alias("key"))))
+        walk = descend(walk, level, "left")
+        scored = F.transform("_kids", lambda c: F.struct(
+            _far(q, *box(c)).alias("far"), c["_w"].alias("w"), c["key"].alias("key")))
+        best = F.array_min(scored)
         if k == 1:
-            limit = F.get(scored, F.lit(0))["far"]
+            limit = F.col("_best")["far"]
         else:
+            scored = F.sort_array(scored)
+            best = F.get(scored, F.lit(0))
             start = F.struct(F.lit(0).cast("bigint").alias("w"), F.lit(math.inf).alias("far"))
             limit = F.aggregate(
                 scored, start,
                 lambda a, c: F.when(a["w"] >= k, a).otherwise(F.struct((a["w"] + c["w"]).alias("w"), c["far"].alias("far"))),
                 lambda a: F.when(a["w"] >= k, a["far"]).otherwise(math.inf),
             )
+        walk = walk.withColumn("_best", best)
         walk = walk.select(
-            *cols, F.least("_far", F.coalesce(limit, F.lit(math.inf))).alias("_far"),
-            F.get(scored, F.lit(0))["key"].alias("_key"),
+            *cols, F.least("_far", F.coalesce(limit, F.lit(math.inf))).alias("_far"), F.col("_best")["key"].alias("_key"),
         )
     walk = walk.withColumn("_key", top)
     reach = F.col("_far") * (1 + 1e-9) + 1e-12
     for level in range(1, depth + 1):
-        walk = walk.join(children(level), "_key")
+        walk = descend(walk, level, "inner")
         open_kids = F.filter("_kids", lambda c: _near(q, *box(c)) <= reach)
         walk = walk.select(*cols, "_far", F.explode(F.transform(open_kids, lambda c: c["key"])).alias("_key"))
     last = keyed.select(*own, *lo_c, *hi_c, F.col(keys[depth]).alias("_key"))
@@ -132,6 +144,12 @@ def candidates(queries: DataFrame, q_cols: list[str], objects: DataFrame, lo: li
     return close.select(*cols, *own)
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash rows by key before the search: the work is in the tasks, not in the bytes, and the later grouping by
+    key finds its partitioning in place."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def nearest_distance(a: DataFrame, b: DataFrame, name: str, key: str, x: str = "x", y: str = "y",
                      exclude_self: bool = False) -> DataFrame:
     """Plane distance of every point of ``a`` to the closest point of ``b`` as column ``name``.
@@ -139,6 +157,7 @@ def nearest_distance(a: DataFrame, b: DataFrame, name: str, key: str, x: str = "
     Equal places of ``b`` count as one. ``exclude_self`` takes the second closest, for an ``a`` that is part of
     ``b``.
     """
+    a = _spread(a, key)
     k = 2 if exclude_self else 1
     places = b.select(F.col(x).alias("_bx"), F.col(y).alias("_by")).groupBy("_bx", "_by").agg(F.count("*").alias("_bn"))
     places = places.withColumnsRenamed({"_bx": "b_x", "_by": "b_y", "_bn": "b_n"})
@@ -159,6 +178,7 @@ def line_distance(points: DataFrame, lines: DataFrame, name: str, key: str, path
     """
     from docksense.functions.geo import segment_distance
 
+    points = _spread(points, key)
     parts = lines.select(F.explode(F.arrays_zip(
         F.slice(path, 1, F.size(path) - 1).alias("a"), F.slice(path, 2, F.size(path) - 1).alias("b"))).alias("s"))
     seg = parts.select(F.col("s.a.x").alias("sx1"), F.col("s.a.y").alias("sy1"),
@@ -176,6 +196,7 @@ def line_distance(points: DataFrame, lines: DataFrame, name: str, key: str, path
 def knn_mean(queries: DataFrame, ref: DataFrame, key: str, features: list[str], k: int = 5,
              out: str = "mean_distance") -> DataFrame:
     """Mean distance to the k nearest rows of ``ref`` in feature space (all of them if fewer)."""
+    queries = _spread(queries, key)
     named = [f"r_{i}" for i in range(len(features))]
     places = ref.groupBy(*[F.col(f).cast("double").alias(r) for f, r in zip(features, named)]).agg(F.count("*").alias("r_n"))
     pairs = candidates(queries.select(key, *features), features, places, named, named, k=k, weight="r_n")

@@ -69,24 +69,31 @@ def latest_info(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     return df.groupBy(key).agg(newest.alias("_r")).select(key, "_r.*").select(*df.columns)
 
 
+def fill_station_gaps(df: DataFrame, key: str, order: list[str], last_cols: list[str], int_cols: list[str],
+                      dec_cols: list[str]) -> DataFrame:
+    """Last-known and mean fills from one summary row per key.
+
+    ``last_cols`` take the key's last non-null value in all rows; nulls of ``int_cols`` and ``dec_cols`` become the
+    key's mean, rounded for the former.
+    """
+    at = F.struct(*order) if order else None
+    stats = [F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(f"_g_{c}") for c in last_cols]
+    stats += [F.avg(c).alias(f"_g_{c}") for c in [*int_cols, *dec_cols]]
+    out = df.join(df.groupBy(key).agg(*stats), key, "left")
+    filled = {c: F.col(f"_g_{c}") for c in last_cols}
+    filled |= {c: F.coalesce(F.col(c), F.round(f"_g_{c}").cast("int")) for c in int_cols}
+    filled |= {c: F.coalesce(F.col(c), F.col(f"_g_{c}")) for c in dec_cols}
+    return out.withColumns(filled).select(*df.columns)
+
+
 def fill_last_known(df: DataFrame, key: str, order: list[str], cols: list[str]) -> DataFrame:
     """Every row gets the key's last non-null value of each column."""
-    at = F.struct(*order)
-    last = df.groupBy(key).agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(f"_last_{c}") for c in cols]
-    )
-    out = df.join(last, key, "left")
-    return out.withColumns({c: F.col(f"_last_{c}") for c in cols}).drop(*[f"_last_{c}" for c in cols])
+    return fill_station_gaps(df, key, order, cols, [], [])
 
 
 def fill_partition_mean(df: DataFrame, key: str, int_cols: list[str], dec_cols: list[str]) -> DataFrame:
     """Nulls become the key's mean, rounded for integer columns."""
-    cols = [*int_cols, *dec_cols]
-    means = df.groupBy(key).agg(*[F.avg(c).alias(f"_mean_{c}") for c in cols])
-    out = df.join(means, key, "left")
-    filled = {c: F.coalesce(F.col(c), F.round(f"_mean_{c}").cast("int")) for c in int_cols}
-    filled |= {c: F.coalesce(F.col(c), F.col(f"_mean_{c}")) for c in dec_cols}
-    return out.withColumns(filled).drop(*[f"_mean_{c}" for c in cols])
+    return fill_station_gaps(df, key, [], [], int_cols, dec_cols)
 
 
 def forward_fill_zero(df: DataFrame, key: str = "station_id", order: list[str] = ("last_reported_local", "event_id"),

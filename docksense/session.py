@@ -50,6 +50,12 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder, used between rounds of iterative jobs."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write to a table in the shared folder and read it back, between the rounds of iterative jobs.
+
+    Unlike a checkpoint, the table carries no inferred constraints of earlier rounds, whose number would grow
+    with every round, and its size is known to the planner.
+    """
+    spark = df.sparkSession
+    path = new_path(spark, "cut")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

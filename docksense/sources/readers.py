@@ -34,9 +34,9 @@ def read_tree(spark: SparkSession, root: str, partitioned: bool = True) -> DataF
 
 
 def unit_name(folder: bool = False) -> Column:
-    """Name of the file a row came from, or of the folder that holds it."""
+    """Name of the file a row came from, or of the folder that holds it (without a ``key=`` prefix)."""
     if folder:
-        return F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)
+        return F.regexp_extract(F.col("_metadata.file_path"), r"([^/=]+)/[^/]+$", 1)
     return F.col("_metadata.file_name")
 
 
