@@ -41,7 +41,7 @@ def haversine(lon1, lat1, lon2, lat2, radius: float = EARTH_RADIUS_M) -> Column:
     """Great-circle metres."""
     o1, a1, o2, a2 = (F.radians(_col(c)) for c in (lon1, lat1, lon2, lat2))
     h = F.pow(F.sin((a2 - a1) / 2), 2) + F.cos(a1) * F.cos(a2) * F.pow(F.sin((o2 - o1) / 2), 2)
-    return 2 * radius * F.asin(F.sqrt(F.least(F.lit(1.0), h)))
+    return 2 * radius * F.asin(F.sqrt(F.when(h > 1, 1.0).otherwise(h)))
 
 
 def unit_xyz(lon, lat) -> tuple[Column, Column, Column]:

@@ -38,14 +38,22 @@ def _far(q: list[Column], lo: list[Column], hi: list[Column]) -> Column:
     return _square([F.greatest(F.abs(x - a), F.abs(x - b)) for x, a, b in zip(q, lo, hi)])
 
 
+def _placed(df: DataFrame, cols: list[str]) -> DataFrame:
+    for c in dict.fromkeys(cols):
+        df = df.filter(F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")))
+    return df
+
+
 def candidates(queries: DataFrame, q_cols: list[str], objects: DataFrame, lo: list[str], hi: list[str],
                k: int = 1, weight: str | None = None, group: str | None = None, leaf: int = 32) -> DataFrame:
     """Join each query with a small set of objects that holds its k nearest ones.
 
     ``weight`` counts equal objects kept as one row. ``group`` limits each query to the objects of the same
-    value (a column of both sides). Column names of the two sides must differ, except ``group``.
+    value (a column of both sides). Column names of the two sides must differ, except ``group``. Rows without
+    a place are left out on both sides.
     """
     d = len(q_cols)
+    queries, objects = _placed(queries, q_cols), _placed(objects, [*lo, *hi])
     step = max(1, 6 // d)
     objects = objects.withColumn("_w", F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint"))
     lo_c, hi_c = [f"_lo{i}" for i in range(d)], [f"_hi{i}" for i in range(d)]
@@ -158,6 +166,19 @@ def nearest_distance(a: DataFrame, b: DataFrame, name: str, key: str, x: str = "
     ``b``.
     """
     a = _spread(a, key)
+    return a.join(_nearest(a, b, name, key, x, y, exclude_self), key, "left")
+
+
+def nearest_distances(a: DataFrame, layers: dict[str, DataFrame], key: str, x: str = "x", y: str = "y") -> DataFrame:
+    """Distance of every point of ``a`` to each layer, one column per layer; ``a`` is shuffled once for all."""
+    a = _spread(a, key)
+    out = a
+    for name, layer in layers.items():
+        out = out.join(_nearest(a, layer, name, key, x, y, False), key, "left")
+    return out
+
+
+def _nearest(a: DataFrame, b: DataFrame, name: str, key: str, x: str, y: str, exclude_self: bool) -> DataFrame:
     k = 2 if exclude_self else 1
     places = b.select(F.col(x).alias("_bx"), F.col(y).alias("_by")).groupBy("_bx", "_by").agg(F.count("*").alias("_bn"))
     places = places.withColumnsRenamed({"_bx": "b_x", "_by": "b_y", "_bn": "b_n"})
@@ -166,8 +187,7 @@ def nearest_distance(a: DataFrame, b: DataFrame, name: str, key: str, x: str = "
     pairs = pairs.withColumn("_d", F.sqrt(dx * dx + dy * dy))
     if exclude_self:
         pairs = pairs.filter((F.col("_d") > 0) | (F.col("b_n") > 1))
-    best = pairs.groupBy(key).agg(F.min("_d").alias(name))
-    return a.join(best, key, "left")
+    return pairs.groupBy(key).agg(F.min("_d").alias(name))
 
 
 def line_distance(points: DataFrame, lines: DataFrame, name: str, key: str, path: str = "path",

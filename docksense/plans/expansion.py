@@ -43,9 +43,7 @@ def plane_geometry(df: DataFrame, col: str = "geometry") -> DataFrame:
 
 def site_distances(points: DataFrame, layers: dict[str, DataFrame], key: str) -> DataFrame:
     """Distances to the five point layers."""
-    for col, layer in POINT_LAYERS.items():
-        points = nearest.nearest_distance(points, layers[layer], col, key)
-    return points
+    return nearest.nearest_distances(points, {col: layers[layer] for col, layer in POINT_LAYERS.items()}, key)
 
 
 def propose_sites(top: DataFrame, stations: DataFrame, layers: dict[str, DataFrame], lanes: DataFrame, areas: DataFrame,
@@ -65,11 +63,18 @@ def propose_sites(top: DataFrame, stations: DataFrame, layers: dict[str, DataFra
     sites = sites.filter(F.col("dist_bike_station") > min_station)
     sites = nearest.line_distance(sites, lanes, "dist_bike_lanes", "point_id")
     sites = cut_lineage(clean.site_filters(sites, min_station, max_lane))
-    sites = site_distances(sites, layers, "point_id")
 
     popular = nearest.nearest_distance(top, stations, "dist_bike_station", "station_id", exclude_self=exclude_self)
     popular = nearest.line_distance(popular, lanes, "dist_bike_lanes", "station_id")
-    popular = cut_lineage(site_distances(popular, layers, "station_id"))
+
+    # lattice points and popular stations share the search in the five point layers
+    near = ["x", "y", "dist_bike_station", "dist_bike_lanes"]
+    tagged = sites.select(F.lit("site").alias("kind"), F.col("point_id").cast("bigint").alias("id"), *near).unionByName(
+        popular.select(F.lit("popular").alias("kind"), F.col("station_id").cast("bigint").alias("id"), *near))
+    tagged = cut_lineage(tagged.withColumn("row_id", F.concat_ws(":", "kind", "id")))
+    measured = cut_lineage(site_distances(tagged, layers, "row_id"))
+    popular = measured.filter(F.col("kind") == "popular")
+    sites = measured.filter(F.col("kind") == "site").withColumnRenamed("id", "point_id").drop("kind", "row_id")
 
     scaled_top = spatial.scale_like(popular, popular.select(*aggs.DISTANCES), aggs.DISTANCES)
     scaled = spatial.scale_like(popular, sites.select("point_id", *aggs.DISTANCES), aggs.DISTANCES)

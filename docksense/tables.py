@@ -92,6 +92,8 @@ def with_views(sql: str) -> str:
         return sql.strip()
     clauses = ",\n".join(f"{v} AS ({VIEWS[v][1].strip().format(src=VIEWS[v][0])})" for v in used)
     body = sql.strip()
+    if body.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {clauses},\n{body[15:]}"
     if body.upper().startswith("WITH "):
         return f"WITH {clauses},\n{body[5:]}"
     return f"WITH {clauses}\n{body}"
