@@ -31,7 +31,7 @@ def demand_table(d):
 
 def prepared(d):
     # the series has no wind readings, which leaves nothing to average
-    return clean.fill_constant(demand.preprocess(demand_table(d), None, None, "2024-01-25", 20), {"viento": 0.0})
+    return clean.fill_constant(demand.preprocess(cut_lineage(demand_table(d)), None, None, "2024-01-25", 20), {"viento": 0.0})
 
 
 def train_test(d):
@@ -197,7 +197,7 @@ SELECT station_id, {day('gd')} AS d, gh AS hora_dia, {ts('hour_ts')} AS last_rep
   round(COALESCE(temperatura, {_mean('temperatura')}), 6) AS temperatura
 FROM u""")
 def _(d):
-    out = demand.preprocess(demand_table(d), None, None, "2024-01-25", 20)
+    out = demand.preprocess(cut_lineage(demand_table(d)), None, None, "2024-01-25", 20)
     return out.select(
         "station_id", F.make_date("year", "month", "day").alias("d"), "hora_dia", "last_reported_local", "status_station", "festivo", "weekday",
         "num_bikes_error", "laborable", "hora_info", "season", "num_bikes_available", "total_bikes_taken", "humedad",

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docksense.functions import calendar as cal
+from docksense.operators.layout import spread
 
 
 def join_capacity(status: DataFrame, info: DataFrame | None, key: str = "station_id") -> DataFrame:
@@ -66,10 +67,12 @@ def consolidate_snapshots(df: DataFrame, key: str, order: list[str]) -> DataFram
     return df.groupBy(key).agg(*newest)
 
 
-def calendar_grid(stations: DataFrame, first: str | None = None, last: str | None = None) -> DataFrame:
+def calendar_grid(stations: DataFrame, first: str | None = None, last: str | None = None,
+                  day_cols: dict[str, Column] | None = None) -> DataFrame:
     """station x day x hour between each station's first and last day, cut to [first, last].
 
-    The limits bound the generated sequences, so no row outside them is ever made.
+    The limits bound the generated sequences, so no row outside them is ever made. ``day_cols`` of
+    ``date_reported`` are computed once per day, before the hours are made.
     """
     lo, hi = F.col("creation_date"), F.col("end_date")
     if first is not None:
@@ -77,14 +80,16 @@ def calendar_grid(stations: DataFrame, first: str | None = None, last: str | Non
     if last is not None:
         hi = F.least(hi, F.lit(last).cast("date"))
     days = F.when(lo <= hi, F.sequence(lo, hi, F.expr("INTERVAL 1 DAY")))
-    return stations.withColumn("date_reported", F.explode(days)).withColumn(
-        "hora_dia", F.explode(F.sequence(F.lit(0), F.lit(23)))
-    )
+    grid = spread(stations, "station_id").withColumn("date_reported", F.explode(days)).withColumns(day_cols or {})
+    return grid.withColumn("hora_dia", F.explode(F.sequence(F.lit(0), F.lit(23))))
 
 
 def densify(df: DataFrame, grid: DataFrame, keys: list[str]) -> DataFrame:
-    """Grid left join facts; missing facts are null rows."""
-    return grid.join(df, keys, "left").distinct()
+    """Grid left join facts; missing facts are null rows. The keys of the grid are unique.
+
+    Equal facts are dropped before the join, in the partitioning that the join needs.
+    """
+    return grid.join(df.repartition(*keys).distinct(), keys, "left")
 
 
 def join_dim(df: DataFrame, dim: DataFrame, key: str, dim_key: str) -> DataFrame:

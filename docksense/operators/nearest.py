@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from docksense.operators.layout import spread
 from docksense.session import cut_lineage
 
 MAX_BITS = 48
@@ -152,12 +153,6 @@ def candidates(queries: DataFrame, q_cols: list[str], objects: DataFrame, lo: li
     return close.select(*cols, *own)
 
 
-def _spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash rows by key before the search: the work is in the tasks, not in the bytes, and the later grouping by
-    key finds its partitioning in place."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
-
-
 def nearest_distance(a: DataFrame, b: DataFrame, name: str, key: str, x: str = "x", y: str = "y",
                      exclude_self: bool = False) -> DataFrame:
     """Plane distance of every point of ``a`` to the closest point of ``b`` as column ``name``.
@@ -165,13 +160,13 @@ def nearest_distance(a: DataFrame, b: DataFrame, name: str, key: str, x: str = "
     Equal places of ``b`` count as one. ``exclude_self`` takes the second closest, for an ``a`` that is part of
     ``b``.
     """
-    a = _spread(a, key)
+    a = spread(a, key)
     return a.join(_nearest(a, b, name, key, x, y, exclude_self), key, "left")
 
 
 def nearest_distances(a: DataFrame, layers: dict[str, DataFrame], key: str, x: str = "x", y: str = "y") -> DataFrame:
     """Distance of every point of ``a`` to each layer, one column per layer; ``a`` is shuffled once for all."""
-    a = _spread(a, key)
+    a = spread(a, key)
     out = a
     for name, layer in layers.items():
         out = out.join(_nearest(a, layer, name, key, x, y, False), key, "left")
@@ -198,7 +193,7 @@ def line_distance(points: DataFrame, lines: DataFrame, name: str, key: str, path
     """
     from docksense.functions.geo import segment_distance
 
-    points = _spread(points, key)
+    points = spread(points, key)
     parts = lines.select(F.explode(F.arrays_zip(
         F.slice(path, 1, F.size(path) - 1).alias("a"), F.slice(path, 2, F.size(path) - 1).alias("b"))).alias("s"))
     seg = parts.select(F.col("s.a.x").alias("sx1"), F.col("s.a.y").alias("sy1"),
@@ -216,7 +211,7 @@ def line_distance(points: DataFrame, lines: DataFrame, name: str, key: str, path
 def knn_mean(queries: DataFrame, ref: DataFrame, key: str, features: list[str], k: int = 5,
              out: str = "mean_distance") -> DataFrame:
     """Mean distance to the k nearest rows of ``ref`` in feature space (all of them if fewer)."""
-    queries = _spread(queries, key)
+    queries = spread(queries, key)
     named = [f"r_{i}" for i in range(len(features))]
     places = ref.groupBy(*[F.col(f).cast("double").alias(r) for f, r in zip(features, named)]).agg(F.count("*").alias("r_n"))
     pairs = candidates(queries.select(key, *features), features, places, named, named, k=k, weight="r_n")

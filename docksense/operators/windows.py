@@ -70,19 +70,21 @@ def latest_info(df: DataFrame, key: str, order: list[str]) -> DataFrame:
 
 
 def fill_station_gaps(df: DataFrame, key: str, order: list[str], last_cols: list[str], int_cols: list[str],
-                      dec_cols: list[str]) -> DataFrame:
+                      dec_cols: list[str], facts: DataFrame | None = None) -> DataFrame:
     """Last-known and mean fills from one summary row per key.
 
+    ``facts`` may hold just the rows with values, when ``df`` is those rows plus gaps.
+
     ``last_cols`` take the key's last non-null value in all rows; nulls of ``int_cols`` and ``dec_cols`` become the
     key's mean, rounded for the former.
     """
     at = F.struct(*order) if order else None
     stats = [F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(f"_g_{c}") for c in last_cols]
-    stats += [F.avg(c).alias(f"_g_{c}") for c in [*int_cols, *dec_cols]]
-    out = df.join(df.groupBy(key).agg(*stats), key, "left")
+    stats += [F.round(F.avg(c)).cast("int").alias(f"_g_{c}") for c in int_cols]
+    stats += [F.avg(c).alias(f"_g_{c}") for c in dec_cols]
+    out = df.join((df if facts is None else facts).groupBy(key).agg(*stats), key, "left")
     filled = {c: F.col(f"_g_{c}") for c in last_cols}
-    filled |= {c: F.coalesce(F.col(c), F.round(f"_g_{c}").cast("int")) for c in int_cols}
-    filled |= {c: F.coalesce(F.col(c), F.col(f"_g_{c}")) for c in dec_cols}
+    filled |= {c: F.coalesce(F.col(c), F.col(f"_g_{c}")) for c in [*int_cols, *dec_cols]}
     return out.withColumns(filled).select(*df.columns)
 
 

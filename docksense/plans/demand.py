@@ -52,40 +52,59 @@ def hourly_rows(variables: DataFrame) -> DataFrame:
 def demand_dataset(status: DataFrame, info: DataFrame | None, holidays: DataFrame, weather: DataFrame) -> DataFrame:
     """The flat hourly demand table."""
     hours = hourly_rows(status_variables(status, info, holidays, weather))
-    flat = hours.select(
-        "station_id", "hora_dia", "num_bikes_available", "num_docks_available", "num_bikes_error",
+    # rows are dropped while still partitioned by station and day, before the derived columns
+    rows = clean.dedupe(hours.select(
+        "station_id", "date_reported", "hora_dia", "num_bikes_available", "num_docks_available", "num_bikes_error",
         "total_bikes_taken", "total_bikes_returned", F.col("status").alias("status_station"), "festivo", "weekday",
-        "laborable", "weather.*", "last_reported_local", F.year("date_reported").alias("year"),
-        F.month("date_reported").alias("month"), F.dayofmonth("date_reported").alias("day"),
-        cal.hour_band("hora_dia").alias("hora_info"), cal.season("date_reported").alias("season"),
-    )
-    return clean.dedupe(flat)
+        "laborable", "weather.*", "last_reported_local",
+    ))
+    return rows.withColumns({
+        "year": F.year("date_reported"), "month": F.month("date_reported"), "day": F.dayofmonth("date_reported"),
+        "hora_info": cal.hour_band("hora_dia"), "season": cal.season("date_reported"),
+    }).drop("date_reported")
+
 
+def complete_hours(demand: DataFrame, first: str | None = None, last: str | None = None,
+                   cutoff: str | None = None, min_days: int = 365) -> DataFrame:
+    """Null rows for the missing hours of every station's service days; only stations in service, if asked.
 
-def complete_hours(demand: DataFrame, first: str | None = None, last: str | None = None) -> DataFrame:
-    """Null rows for the missing hours of every station's service days."""
+    The service filter runs on the one row per station, before any hour is generated.
+    """
     dated = demand.withColumn("date_reported", F.make_date("year", "month", "day"))
     stations = dated.groupBy("station_id").agg(
         F.min("date_reported").alias("creation_date"), F.max("date_reported").alias("end_date"))
-    grid = joins.calendar_grid(stations, first, last)
-    full = joins.densify(dated.drop("year", "month", "day"), grid, KEYS)
-    return full.withColumns({"year": F.year("date_reported"), "month": F.month("date_reported"),
-                             "day": F.dayofmonth("date_reported")})
-
-
-def fill_gaps(full: DataFrame) -> DataFrame:
-    """Every null of the completed table from its own hour, or from the station's last or mean value."""
-    at = cal.ts_from_parts("year", "month", "day", "hora_dia")
-    df = clean.fill_expr(full, {"last_reported_local": at})
-    day = F.to_date("last_reported_local")
-    df = clean.fill_expr(df, {"hora_info": cal.hour_band("hora_dia"), "season": cal.season(day), "weekday": cal.weekday(day)})
-    df = clean.fill_constant(df, {"num_bikes_error": 0})
+    if cutoff is not None:
+        stations = clean.in_service(stations, cutoff, min_days)
+    grid = joins.calendar_grid(stations, first, last, {
+        "year": F.year("date_reported"), "month": F.month("date_reported"), "day": F.dayofmonth("date_reported"),
+        "day_weekday": cal.weekday("date_reported"), "day_season": cal.season("date_reported"),
+    })
+    return joins.densify(dated.drop("year", "month", "day"), grid, KEYS)
+
+
+def fill_gaps(full: DataFrame, facts: DataFrame | None = None) -> DataFrame:
+    """Every null of the completed table from its own hour, or from the station's last or mean value.
+
+    Gap rows add nothing to those values, so ``facts`` (the table before completion) is enough to get them.
+    """
+    hour = F.timestamp_add("HOUR", F.col("hora_dia"), F.col("date_reported").cast("timestamp_ntz"))
+    df = clean.fill_expr(full, {
+        "last_reported_local": hour, "hora_info": cal.hour_band("hora_dia"),
+        "season": F.col("day_season"), "weekday": F.col("day_weekday"), "num_bikes_error": F.lit(0),
+    }).drop("day_season", "day_weekday")
+    if facts is not None:
+        facts = clean.fill_expr(facts, {"last_reported_local": cal.ts_from_parts("year", "month", "day", "hora_dia")})
     df = windows.fill_station_gaps(df, "station_id", ["last_reported_local", "hora_dia"],
-                                   ["status_station", "festivo"], INT_GAPS, DEC_GAPS)
+                                   ["status_station", "festivo"], INT_GAPS, DEC_GAPS, facts)
     return clean.fill_expr(df, {"laborable": cal.workday("festivo", "weekday")})
 
 
 def preprocess(demand: DataFrame, first: str | None, last: str | None, cutoff: str, min_days: int = 365) -> DataFrame:
     """Completed, filtered and filled demand table."""
-    full = clean.in_service(complete_hours(demand, first, last), cutoff, min_days)
-    return fill_gaps(full).drop("creation_date", "end_date", "date_reported")
+    if first is not None or last is not None:
+        known = clean.between_dates(demand.withColumn("_d", F.make_date("year", "month", "day")), "_d",
+                                    first or "0001-01-01", last or "9999-12-31").drop("_d")
+    else:
+        known = demand
+    full = complete_hours(demand, first, last, cutoff, min_days)
+    return fill_gaps(full, known).drop("creation_date", "end_date", "date_reported")

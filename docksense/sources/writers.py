@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 def write_days(df: DataFrame, root: str, date_col: str) -> None:
     """One partition per day; only the days in ``df`` are replaced. Rows without a date are left out.
 
-    A day is spread over the write tasks by a hash of the row, so one busy day does not end in one task;
-    adaptive execution merges small ones.
+    Rows are rebalanced by day: adaptive execution merges small days and splits a busy one over several tasks.
     """
     out = df.filter(F.col(date_col).isNotNull()).withColumns(
         {"year": F.year(date_col), "month": F.month(date_col), "date": F.col(date_col).cast("date")}
