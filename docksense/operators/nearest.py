@@ -122,14 +122,13 @@ def candidates(queries: DataFrame, q_cols: list[str], objects: DataFrame, lo: li
     walk = queries.withColumns({"_key": top, "_far": F.lit(math.inf)})
     for level in range(1, depth + 1):
         walk = descend(walk, level, "left")
-        scored = F.transform("_kids", lambda c: F.struct(
-            _far(q, *box(c)).alias("far"), c["_w"].alias("w"), c["key"].alias("key")))
-        best = F.array_min(scored)
+        # the path follows the closest cell; the limit may come from any of its siblings
+        best = F.array_min(F.transform("_kids", lambda c: F.struct(
+            _near(q, *box(c)).alias("near"), _far(q, *box(c)).alias("far"), c["key"].alias("key"))))
         if k == 1:
-            limit = F.col("_best")["far"]
+            limit = F.array_min(F.transform("_kids", lambda c: _far(q, *box(c))))
         else:
-            scored = F.sort_array(scored)
-            best = F.get(scored, F.lit(0))
+            scored = F.sort_array(F.transform("_kids", lambda c: F.struct(_far(q, *box(c)).alias("far"), c["_w"].alias("w"))))
             start = F.struct(F.lit(0).cast("bigint").alias("w"), F.lit(math.inf).alias("far"))
             limit = F.aggregate(
                 scored, start,

@@ -56,14 +56,17 @@ def propose_sites(top: DataFrame, stations: DataFrame, layers: dict[str, DataFra
     or too far from a lane leave before the other distances are computed.
     """
     spark = top.sparkSession
+    stations = cut_lineage(stations.select("x", "y"))
     box = aggs.total_bounds(areas).first()
     grid = spatial.candidate_grid(spark, (box["xmin"], box["ymin"], box["xmax"], box["ymax"]), step)
-    inside = spatial.spatial_join_within(grid, areas.select("geometry")).select("point_id", "x", "y").distinct()
+    # every step reads its input more than once, so each result is written before the next one
+    inside = cut_lineage(spatial.spatial_join_within(grid, areas.select("geometry")).select("point_id", "x", "y").distinct())
     sites = nearest.nearest_distance(inside, stations, "dist_bike_station", "point_id")
-    sites = sites.filter(F.col("dist_bike_station") > min_station)
+    sites = cut_lineage(sites.filter(F.col("dist_bike_station") > min_station))
     sites = nearest.line_distance(sites, lanes, "dist_bike_lanes", "point_id")
     sites = cut_lineage(clean.site_filters(sites, min_station, max_lane))
 
+    top = cut_lineage(top.select("station_id", "x", "y"))
     popular = nearest.nearest_distance(top, stations, "dist_bike_station", "station_id", exclude_self=exclude_self)
     popular = nearest.line_distance(popular, lanes, "dist_bike_lanes", "station_id")
 
