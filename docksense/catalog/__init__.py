@@ -1,13 +1,14 @@
 """All registered queries; importing this package fills the registry."""
 
-import importlib
-
+from docksense.catalog import (  # noqa: F401
+    a_sources,
+    b_cleaning,
+    c_joins,
+    d_aggregates,
+    e_windows,
+    f_sorts,
+    h_scalars,
+    i_streaming,
+    j_analytics,
+)
 from docksense.catalog.base import ORACLE, QUERIES  # noqa: F401
-
-SECTIONS = ["a_sources", "b_cleaning", "c_joins", "d_aggregates", "e_windows", "f_sorts", "h_scalars", "i_streaming", "j_analytics"]
-for _name in SECTIONS:
-    try:
-        importlib.import_module(f"docksense.catalog.{_name}")
-    except ModuleNotFoundError as e:
-        if _name not in str(e):
-            raise

@@ -4,10 +4,8 @@ from pyspark.sql import functions as F
 
 from docksense.catalog.base import day, query, ts
 from docksense.catalog.c_joins import COUNT_SQL, FLAGGED, MODE_SQL, areas, modes, state
-from docksense.catalog.h_scalars import CLASS_SQL, EFF_SQL, JOINED
-from docksense.functions import geometry as geom
+from docksense.catalog.h_scalars import EFF_SQL
 from docksense.operators import aggs, routes, spatial, windows
-from docksense.plans import expansion
 
 
 @query("d01_first_max", f"""

@@ -85,8 +85,7 @@ def _(d):
 
 @query("h10_iso_parse", f"SELECT event_id, {ts('date_trunc(' + chr(39) + 'minute' + chr(39) + ', ts)')} AS t, {day('ts')} AS fecha FROM events")
 def _(d):
-    text_ = F.when(F.col("event_type") == "error", F.date_format("ts", "yyyy-MM-dd'T'HH:mm'Z'")).otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm'Z'"))
-    df = d("events").select("event_id", cal.parse_iso(text_).alias("t"))
+    df = d("events").select("event_id", cal.parse_iso(F.date_format("ts", "yyyy-MM-dd'T'HH:mm'Z'")).alias("t"))
     return df.withColumn("fecha", F.to_date("t"))
 
 

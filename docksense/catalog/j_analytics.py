@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from docksense.catalog.base import day, query, ts
-from docksense.catalog.c_joins import CALENDAR_SQL, GRID_SQL, HAV_SQL, KNN, PLANE, WIDE_SQL, areas, features, lanes, plane, state, weather_series
+from docksense.catalog.c_joins import CALENDAR_SQL, HAV_SQL, KNN, PLANE, WIDE_SQL, areas, features, plane, state, weather_series
 from docksense.catalog.d_aggregates import documents
 from docksense.catalog.i_streaming import TOUR
 from docksense.functions import geometry as geom

@@ -60,8 +60,8 @@ LAYERS = {
     "bus_lines": {"geometry": "geometry", "name": "properties.NOM_LINIA", "line_description": "properties.DESC_LINIA"},
     "metro_lines": {"geometry": "geometry", "name": "properties.NOM_LINIA", "line_description": "properties.DESC_LINIA"},
     "metro_stations": {"geometry": "geometry", "name": "properties.NOM_ESTACIO", "metro_line": "properties.PICTO"},
-    "bcn_no_motorized_vehicles": {"geometry": "geometry", "name": "properties.TOOLTIP"},
-    "bcn_bike_lanes": {"geometry": "geometry", "name": "properties.TOOLTIP"},
+    "no_motorized_vehicles": {"geometry": "geometry", "name": "properties.TOOLTIP"},
+    "bike_lanes": {"geometry": "geometry", "name": "properties.TOOLTIP"},
 }
 
 
