@@ -46,7 +46,7 @@ def _placed(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def candidates(queries: DataFrame, q_cols: list[str], objects: DataFrame, lo: list[str], hi: list[str],
-               k: int = 1, weight: str | None = None, group: str | None = None, leaf: int = 16) -> DataFrame:
+               k: int = 1, weight: str | None = None, group: str | None = None, leaf: int = 64) -> DataFrame:
     """Join each query with a small set of objects that holds its k nearest ones.
 
     ``weight`` counts equal objects kept as one row. ``group`` limits each query to the objects of the same
