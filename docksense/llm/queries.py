@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docksense.llm import ann, embedding_dedup, simhash
+from docksense.llm import ann, embedding_dedup, mixing, quality, secrets, simhash, toxicity
 from docksense.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +32,26 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read(spark, sf_dir, "embeddings")
     return ann.nearest(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), cut=0.7)
+
+
+@query
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), cut=0.5)
+
+
+@query
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_plan(read(spark, sf_dir, "documents"))
+
+
+ORACLE["op1_mixing"] = mixing.ORACLE_SQL
+
+
+@query
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_report(read(spark, sf_dir, "documents"))
