@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docksense.llm import ann, embedding_dedup, mixing, quality, secrets, simhash, toxicity
+from docksense.llm import ann, embedding_dedup, mixing, packing, quality, secrets, simhash, substring_dedup, toxicity
 from docksense.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,19 @@ ORACLE["op1_mixing"] = mixing.ORACLE_SQL
 @query
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(read(spark, sf_dir, "documents"))
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+@query
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path(), capacity=2048)
+
+
+@query
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.drop_repeats(read(spark, sf_dir, "documents"), words=13)
