@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docksense.llm import ann, embedding_dedup, mixing, packing, quality, secrets, simhash, substring_dedup, toxicity
+from docksense.llm import (
+    ann,
+    embedding_dedup,
+    html_extract,
+    mixing,
+    packing,
+    quality,
+    secrets,
+    simhash,
+    substring_dedup,
+    toxicity,
+)
 from docksense.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +82,8 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.drop_repeats(read(spark, sf_dir, "documents"), words=13)
+
+
+@query
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read(spark, sf_dir, "pages"))
