@@ -9,7 +9,7 @@ from docksense.llm.common import WORD
 
 #: Words in a block, and in a shard on average.
 BLOCK = 16
-SHARD_WORDS = 1 << 22
+SHARD_WORDS = 1 << 18
 #: Weights of the sources in their order, repeating; the mix's size as a multiple of the input's; epochs at most.
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
