@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -53,10 +54,8 @@ class WordIds:
     def clear(self) -> None:
         self.number: dict[str, int] = {}
         self.parts: dict[str, list[int]] = {"": []}
-        self.flat: list[int] = []
-        self.ends: list[int] = []
-        self.array = np.empty(0, np.uint32)
-        self.bounds = np.zeros(1, np.int64)
+        self.flat = array("I")  # ids of all known words in a row
+        self.bounds = array("q", [0])
 
     def part(self, text: str) -> list[int]:
         ids = self.parts.get(text)
@@ -73,26 +72,28 @@ class WordIds:
 
     def words(self, words: list[str]) -> np.ndarray:
         """Numbers of the words, new ones tokenized."""
-        get, out = self.number.get, []
-        for word in words:
-            k = get(word)
-            if k is None:
-                k = self.number[word] = len(self.ends)
-                self.flat += self.word_ids(word)
-                self.ends.append(len(self.flat))
-            out.append(k)
+        out = list(map(self.number.get, words))
+        if None in out:
+            for i, word in enumerate(words):
+                if out[i] is None:
+                    if word not in self.number:
+                        self.number[word] = len(self.bounds) - 1
+                        self.flat.extend(self.word_ids(word))
+                        self.bounds.append(len(self.flat))
+                    out[i] = self.number[word]
         return np.array(out, np.int64)
 
     def ids(self, text: str) -> Iterator[np.ndarray]:
         """The ids of a text, piece by piece, so that a very long text is never laid out whole."""
         for words in _word_groups(text):
             k = self.words(words)
-            if len(self.bounds) <= len(self.ends):
-                self.array = np.array(self.flat, np.uint32)
-                self.bounds = np.r_[0, np.array(self.ends, np.int64)]
-            starts, sizes = self.bounds[k], self.bounds[k + 1] - self.bounds[k]
-            first = np.cumsum(sizes) - sizes
-            yield self.array[np.repeat(starts - first, sizes) + np.arange(int(sizes.sum()))]
+            yield self._laid_out(k)
+
+    def _laid_out(self, k: np.ndarray) -> np.ndarray:
+        flat, bounds = np.frombuffer(self.flat or b"", np.uint32), np.frombuffer(self.bounds, np.int64)
+        starts, sizes = bounds[k], bounds[k + 1] - bounds[k]
+        first = np.cumsum(sizes) - sizes
+        return flat[np.repeat(starts - first, sizes) + np.arange(int(sizes.sum()))]
 
 
 def _word_groups(text: str) -> Iterator[list[str]]:
@@ -126,7 +127,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = word_ids(path)
         for pdf in batches:
-            if len(known.ends) > CACHE_WORDS:
+            if len(known.number) > CACHE_WORDS:
                 known.clear()
             rows = []
             for row, text in enumerate(pdf.text):
@@ -151,7 +152,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0
 def _ended(known: WordIds, text: str) -> Iterator[np.ndarray | None]:
     for ids in known.ids(text):
         yield ids
-        if len(known.ends) > CACHE_WORDS:
+        if len(known.number) > CACHE_WORDS:
             known.clear()
     yield None
 
