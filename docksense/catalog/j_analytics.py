@@ -106,7 +106,7 @@ def _(d):
 
 @query("j09_dbscan_sweep")
 def _(d):
-    return density.tune_dbscan(poi_points(d), [300.0, 400.0], [3, 4]).select("eps", "min_samples", "clusters", "noise", "score")
+    return density.tune_dbscan(poi_points(d), [100.0, 200.0, 300.0, 400.0, 500.0], [2, 3, 4, 5]).select("eps", "min_samples", "clusters", "noise", "score")
 
 
 @query("j10_site_selection")

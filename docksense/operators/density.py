@@ -6,55 +6,14 @@ and a border point joins the cluster with the smallest name among its core neigh
 
 from __future__ import annotations
 
-import functools
-import sys
+import math
 
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docksense.operators.nearest import candidates
 from docksense.session import cut_lineage
 
-# workers need not have this package installed
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-# inputs known to be at most this many points are clustered inside one task per setting
-SMALL = 2000
-
-
-def _label_points(pdf: pd.DataFrame, eps: float, min_samples: int) -> np.ndarray:
-    pdf_x, pdf_y, ids = (pdf[c].to_numpy() for c in ("x", "y", "point_id"))
-    near = np.hypot(pdf_x[:, None] - pdf_x, pdf_y[:, None] - pdf_y) <= eps
-    core = near.sum(axis=1) >= min_samples
-    name = np.where(core, ids, np.iinfo(np.int64).max)
-    links = near & core
-    while True:
-        lowest = np.where(links, name, np.iinfo(np.int64).max).min(axis=1, initial=np.iinfo(np.int64).max)
-        merged = np.where(core, np.minimum(name, lowest), name)
-        if (merged == name).all():
-            break
-        name = merged
-    name = np.where(core, name, lowest)
-    return np.where(name == np.iinfo(np.int64).max, -1, name)
-
-
-def _sweep_small(df: DataFrame, settings: list[tuple[float, int]]) -> DataFrame:
-    grid = F.array(*[F.struct(F.lit(i).alias("setting"), F.lit(float(e)).alias("eps"), F.lit(m).alias("min_samples"))
-                     for i, (e, m) in enumerate(settings)])
-
-    def label(pdf: pd.DataFrame) -> pd.DataFrame:
-        eps, m = float(pdf["eps"].iloc[0]), int(pdf["min_samples"].iloc[0])
-        return pdf.assign(cluster=_label_points(pdf, eps, m))
-
-    return (
-        df.select("point_id", "x", "y", F.explode(grid).alias("s")).select("point_id", "x", "y", "s.*")
-        .groupBy("setting")
-        .applyInPandas(label, "point_id bigint, x double, y double, setting int, eps double, min_samples int, cluster bigint")
-    )
-
 
 def _around(df: DataFrame) -> DataFrame:
     """Each row once per cell within two cells of its own."""
@@ -84,77 +43,79 @@ def _components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     return labels
 
 
-def _dbscan_large(df: DataFrame, eps: float, min_samples: int) -> DataFrame:
-    """Distributed form on cells of side eps / sqrt(2), inside which all points are neighbours.
+def _clusters(df: DataFrame, settings: list[tuple[float, int]]) -> DataFrame:
+    """(setting, point_id, cluster) of all points that are no noise, for all settings at once.
 
-    A cell with ``min_samples`` points is all core, so only points of thinner cells are compared with others;
-    every point therefore meets a bounded number of them, however full its cell is.
+    Cells have the side eps / sqrt(2), so all points of a cell are neighbours: a cell with ``min_samples`` points is
+    all core, and the core points of a cell share a cluster. Points of thinner cells look for their ``min_samples``
+    closest points, pairs of cells and border points for the closest core place of one cell; of a full cell they meet
+    the edge strip that the search cannot rule out. The grid and the searches are keyed by setting.
     """
-    side = eps / float(np.sqrt(2.0))
-    pts = df.select("point_id", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
-    pts = pts.withColumns({"cx": F.floor(F.col("x") / side), "cy": F.floor(F.col("y") / side)})
-    sizes = pts.groupBy("cx", "cy").agg(F.count("*").alias("cell_n"))
-    pts = cut_lineage(pts.join(sizes, ["cx", "cy"]))
-    thin = pts.filter(F.col("cell_n") < min_samples)
-    other = pts.select(F.col("cx").alias("nx"), F.col("cy").alias("ny"), F.col("x").alias("ox"), F.col("y").alias("oy"))
-    within = F.hypot(F.col("x") - F.col("ox"), F.col("y") - F.col("oy")) <= eps
-    close = _around(thin).join(other, ["nx", "ny"]).filter(within)
-    thin_core = close.groupBy("point_id").agg(F.count("*").alias("n")).filter(F.col("n") >= min_samples).select("point_id")
+    grid = F.array(*[F.struct(F.lit(i).alias("setting"), F.lit(float(e)).alias("eps"), F.lit(m).alias("min_samples"))
+                     for i, (e, m) in enumerate(settings)])
+    pts = df.filter("point_id IS NOT NULL AND x IS NOT NULL AND y IS NOT NULL").select(
+        "point_id", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), F.explode(grid).alias("s"))
+    side = F.col("eps") / math.sqrt(2.0)
+    pts = pts.select("point_id", "x", "y", "s.*").withColumns({"cx": F.floor(F.col("x") / side), "cy": F.floor(F.col("y") / side)})
+    sizes = pts.groupBy("setting", "cx", "cy").agg(F.count("*").alias("cell_n"))
+    pts = cut_lineage(pts.join(sizes, ["setting", "cx", "cy"]))
+    thin = pts.filter(F.col("cell_n") < F.col("min_samples"))
+    within = F.hypot(F.col("x") - F.col("ox"), F.col("y") - F.col("oy")) <= F.col("eps")
+    every = pts.groupBy("setting", F.col("x").alias("ox"), F.col("y").alias("oy")).agg(F.count("*").alias("on"))
+    close = candidates(thin.withColumn("grp", F.col("setting")), ["x", "y"], every.withColumnRenamed("setting", "grp"),
+                       ["ox", "oy"], ["ox", "oy"], k=max(m for _, m in settings), weight="on", group="grp")
+    enough = close.filter(within).groupBy("setting", "point_id", "min_samples").agg(F.sum("on").alias("n"))
+    thin_core = cut_lineage(enough.filter(F.col("n") >= F.col("min_samples")).select("setting", "point_id"))
     core = cut_lineage(
-        pts.filter(F.col("cell_n") >= min_samples).drop("cell_n")
-        .unionByName(thin.join(thin_core, "point_id").drop("cell_n"))
-        .withColumn("cell", F.xxhash64("cx", "cy"))
+        pts.filter(F.col("cell_n") >= F.col("min_samples"))
+        .unionByName(thin.join(thin_core, ["setting", "point_id"], "left_semi")).drop("cell_n", "min_samples")
+        .withColumn("cell", F.xxhash64("setting", "cx", "cy"))
     )
-    cells = core.groupBy("cell", "cx", "cy").agg(
-        F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
-    right = cells.select(F.col("cell").alias("b"), F.col("cx").alias("nx"), F.col("cy").alias("ny"),
+    cells = cut_lineage(core.groupBy("cell", "setting", "eps", "cx", "cy").agg(
+        F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"),
+        F.min("point_id").alias("lowest")))
+    right = cells.select(F.col("cell").alias("b"), "setting", F.col("cx").alias("nx"), F.col("cy").alias("ny"),
                          *[F.col(c).alias(f"b{c}") for c in ("x0", "x1", "y0", "y1")])
-    pairs = _around(cells.withColumnRenamed("cell", "a")).join(right, ["nx", "ny"]).filter(F.col("a") < F.col("b"))
+    pairs = _around(cells.withColumnRenamed("cell", "a")).join(right, ["setting", "nx", "ny"]).filter(F.col("a") < F.col("b"))
     gap = F.hypot(F.greatest(F.col("bx0") - F.col("x1"), F.lit(0.0), F.col("x0") - F.col("bx1")),
                   F.greatest(F.col("by0") - F.col("y1"), F.lit(0.0), F.col("y0") - F.col("by1")))
     reach = F.hypot(F.greatest(F.col("bx1") - F.col("x0"), F.col("x1") - F.col("bx0")),
                     F.greatest(F.col("by1") - F.col("y0"), F.col("y1") - F.col("by0")))
-    pairs = cut_lineage(pairs.filter(gap <= eps).select("a", "b", (reach <= eps).alias("sure")))
+    pairs = cut_lineage(pairs.filter(gap <= F.col("eps")).select("a", "b", (reach <= F.col("eps")).alias("sure")))
     sure = pairs.filter("sure").select("a", "b")
     # the other cell pairs: closest point of b's cell for the points of a's cell
-    asked = core.select(F.col("cell").alias("a"), "x", "y", F.col("point_id").alias("q")).join(
+    asked = core.select(F.col("cell").alias("a"), "eps", "x", "y", F.col("point_id").alias("q")).join(
         pairs.filter("NOT sure").select("a", F.col("b").alias("grp")), "a")
-    places = core.groupBy(F.col("cell").alias("grp"), F.col("x").alias("ox"), F.col("y").alias("oy")).agg(F.count("*").alias("on"))
+    places = cut_lineage(core.groupBy(F.col("cell").alias("grp"), F.col("x").alias("ox"), F.col("y").alias("oy")).agg(F.count("*").alias("on")))
     near = candidates(asked, ["x", "y"], places, ["ox", "oy"], ["ox", "oy"], group="grp")
     found = near.filter(within).select("a", F.col("grp").alias("b")).distinct()
     labels = _components(sure.union(found), cells.select(F.col("cell").alias("v")))
-    named = core.join(labels, core.cell == labels.v).select("point_id", "x", "y", "cx", "cy", "label")
-    names = named.groupBy("label").agg(F.min("point_id").alias("cluster"))
-    named = cut_lineage(named.join(names, "label").drop("label"))
-    rest = thin.join(thin_core, "point_id", "left_anti")
-    hosts = named.select(F.col("cx").alias("nx"), F.col("cy").alias("ny"), F.col("x").alias("ox"), F.col("y").alias("oy"), "cluster")
-    border = _around(rest).join(hosts, ["nx", "ny"]).filter(within).groupBy("point_id").agg(F.min("cluster").alias("cluster"))
-    out = named.select("point_id", "cluster").unionByName(border)
-    return df.join(out, "point_id", "left").withColumn("cluster", F.coalesce("cluster", F.lit(-1).cast("bigint")))
+    tagged = cells.select("cell", "lowest").join(labels, F.col("cell") == F.col("v"))
+    names = tagged.groupBy("label").agg(F.min("lowest").alias("cluster"))
+    named = cut_lineage(tagged.join(names, "label").select("cell", "cluster"))
+    rest = thin.join(thin_core, ["setting", "point_id"], "left_anti").drop("cell_n", "min_samples")
+    hosts = cells.select("setting", F.col("cx").alias("nx"), F.col("cy").alias("ny"), F.col("cell").alias("grp"))
+    asked = _around(rest).join(hosts, ["setting", "nx", "ny"]).select("setting", "point_id", "eps", "x", "y", "grp")
+    border = candidates(asked, ["x", "y"], places, ["ox", "oy"], ["ox", "oy"], group="grp").filter(within)
+    border = border.join(named, F.col("grp") == F.col("cell")).groupBy("setting", "point_id").agg(F.min("cluster").alias("cluster"))
+    return core.join(named, "cell").select("setting", "point_id", "cluster").unionByName(border)
 
 
-def dbscan(df: DataFrame, eps: float, min_samples: int, small: int = SMALL) -> DataFrame:
-    """Add ``cluster`` to (point_id, x, y, ...)."""
-    if df.limit(small + 1).count() <= small:
-        labels = _sweep_small(df, [(eps, min_samples)]).select("point_id", "cluster")
-        return df.join(labels, "point_id")
-    return _dbscan_large(df, eps, min_samples)
+def dbscan(df: DataFrame, eps: float, min_samples: int) -> DataFrame:
+    """Add ``cluster`` to (point_id, x, y, ...). Points without id or place are noise; equal ids share a cluster."""
+    found = _clusters(df, [(float(eps), min_samples)]).groupBy("point_id").agg(F.min("cluster").alias("cluster"))
+    return df.join(found, "point_id", "left").withColumn("cluster", F.coalesce("cluster", F.lit(-1).cast("bigint")))
 
 
-def tune_dbscan(df: DataFrame, eps: list[float], min_samples: list[int], small: int = SMALL) -> DataFrame:
+def tune_dbscan(df: DataFrame, eps: list[float], min_samples: list[int]) -> DataFrame:
     """Score (clusters - noise share) of every setting, best first; equal scores keep the order of the settings."""
     settings = [(float(e), m) for e in eps for m in min_samples]
-    if df.limit(small + 1).count() <= small:
-        labelled = _sweep_small(df, settings)
-    else:
-        labelled = functools.reduce(DataFrame.unionByName, [
-            _dbscan_large(df, e, m).select("point_id", F.lit(i).alias("setting"), F.lit(e).alias("eps"),
-                                           F.lit(m).alias("min_samples"), "cluster")
-            for i, (e, m) in enumerate(settings)
-        ])
-    per = labelled.groupBy("setting", "eps", "min_samples", "cluster").agg(F.count("*").alias("n"))
-    noise = F.sum(F.when(F.col("cluster") == -1, F.col("n")).otherwise(0))
-    score = F.sum((F.col("cluster") != -1).cast("int")) - noise / F.sum("n")
-    return per.groupBy("setting", "eps", "min_samples").agg(
-        F.sum((F.col("cluster") != -1).cast("int")).alias("clusters"), noise.alias("noise"), score.alias("score")
-    ).orderBy(F.col("score").desc(), "setting")
+    grid = df.sparkSession.createDataFrame([(i, e, m) for i, (e, m) in enumerate(settings)], "setting int, eps double, min_samples int")
+    per = _clusters(df, settings).groupBy("setting", "cluster").agg(F.count("*").alias("n"))
+    per = per.groupBy("setting").agg(F.count("*").alias("clusters"), F.sum("n").alias("inside"))
+    total = df.agg(F.count("*").alias("total"))
+    out = grid.join(per, "setting", "left").withColumn("total", total.scalar()).withColumns(
+        {"clusters": F.coalesce("clusters", F.lit(0).cast("bigint")), "noise": F.col("total") - F.coalesce("inside", F.lit(0).cast("bigint"))})
+    score = F.col("clusters") - F.try_divide("noise", "total")
+    return out.withColumn("score", score).select("setting", "eps", "min_samples", "clusters", "noise", "score").orderBy(
+        F.col("score").desc(), "setting")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,8 +61,6 @@ def density_layers(areas: DataFrame, layers: dict[str, DataFrame], key: str) ->
 
 def candidate_grid(spark, bounds: tuple[float, float, float, float], step: float) -> DataFrame:
     """Lattice points x = xmin + i*step, y = ymin + j*step, both below the upper bounds."""
-    import math
-
     xmin, ymin, xmax, ymax = bounds
     nx = max(0, math.ceil((xmax - xmin) / step))
     ny = max(0, math.ceil((ymax - ymin) / step))
@@ -85,23 +85,32 @@ def exact_quantiles(df: DataFrame, col: str, shares: list[float], buckets: int =
     """Quantiles with linear interpolation, by narrowing value histograms.
 
     Each round reads the column once per open rank set and returns at most ``buckets`` counts; equal values end
-    a search at once, so neither the size nor a frequent value matters.
+    a search at once, so neither the size nor a frequent value matters. Infinite values and NaN (the largest) are
+    counted and set aside, so every range is finite.
     """
     c = F.col(col).cast("double")
     vals = df.select(c.alias("v")).filter(F.col("v").isNotNull())
-    head = vals.agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+    finite = ~F.isnan("v") & (F.abs("v") < math.inf)
+    head = vals.agg(
+        F.count("*").alias("n"), F.min(F.when(finite, F.col("v"))).alias("lo"), F.max(F.when(finite, F.col("v"))).alias("hi"),
+        F.count_if(F.col("v") == -math.inf).alias("below"), F.count_if(F.col("v") == math.inf).alias("above"),
+        F.count_if(F.isnan("v")).alias("nan")).first()
     n = head["n"]
     if n == 0:
         return [None] * len(shares)
+    vals = vals.filter(finite)
     ranks = sorted({r for s in shares for r in (int((n - 1) * s), min(int((n - 1) * s) + 1, n - 1))})
-    found: dict[int, float] = {}
-    todo = [(head["lo"], head["hi"], 0, ranks)]
+    found: dict[int, float] = {r: -math.inf for r in ranks if r < head["below"]}
+    found |= {r: math.inf for r in ranks if r >= n - head["nan"] - head["above"]}
+    found |= {r: math.nan for r in ranks if r >= n - head["nan"]}
+    left = [r for r in ranks if r not in found]
+    todo = [(head["lo"], head["hi"], head["below"], left)] if left else []
     while todo:
         lo, hi, before, wanted = todo.pop()
         if lo == hi:
             found.update({r: lo for r in wanted})
             continue
-        width = (hi - lo) / buckets
+        width = hi / buckets - lo / buckets
         slot = F.least(F.floor((F.col("v") - lo) / width), F.lit(buckets - 1)) if width > 0 else (F.col("v") > lo).cast("bigint")
         hist = (
             vals.filter(F.col("v").between(lo, hi)).groupBy(slot.alias("b"))
@@ -118,7 +127,7 @@ def exact_quantiles(df: DataFrame, col: str, shares: list[float], buckets: int =
         pos = (n - 1) * s
         low = found[int(pos)]
         high = found[min(int(pos) + 1, n - 1)]
-        out.append(low + (high - low) * (pos - int(pos)))
+        out.append(low if low == high or pos == int(pos) else low + (high - low) * (pos - int(pos)))
     return out
 
 

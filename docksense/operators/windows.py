@@ -20,7 +20,7 @@ def with_previous(df: DataFrame, keys: list[str], order: list[str], values: list
 
     ``slice_col`` must not decrease along the first order column. Rows are shuffled by (keys, slice) only;
     one summary row per slice carries the last value into the next slice, and meets the rows in the
-    partitioning they already have. Keys must not be null.
+    partitioning they already have. Null keys are one key.
     """
     sliced = df.withColumn("_slice", slice_col)
     part = [*keys, "_slice"]
@@ -40,7 +40,10 @@ def with_previous(df: DataFrame, keys: list[str], order: list[str], values: list
         carried = {"_c": F.lag("_e").over(carry_over)}
     edges = sliced.groupBy(*part).agg(*ends).withColumns(carried).select(*part, *carried)
     out = sliced.withColumns(local)
-    joined = out.join(edges, part, "left")
+    names = {c: f"_k{i}" for i, c in enumerate(part)}
+    edges = edges.withColumnsRenamed(names)
+    same = [F.col(c).eqNullSafe(F.col(k)) for c, k in names.items()]  # a null key is a key
+    joined = out.join(edges, same, "left").drop(*names.values())
     if skip_nulls:
         prev = [F.coalesce(f"_l_{v}", f"_c_{v}").alias(f"{v}{suffix}") for v in values]
     else:

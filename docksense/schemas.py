@@ -37,6 +37,7 @@ STATION_FEED = T.StructType([
 ])
 
 STOP = T.StructType([
+    T.StructField("seq", T.LongType()),
     T.StructField("station_id", T.IntegerType()),
     T.StructField("lat", T.DoubleType()),
     T.StructField("lon", T.DoubleType()),
@@ -53,6 +54,9 @@ TRUCK_ROUTE = T.StructType([
     T.StructField("optimal_route", T.ArrayType(STOP)),
     T.StructField("distance", T.DoubleType()),
     T.StructField("balance_bicicletas", T.LongType()),
+    T.StructField("route_id", T.StringType()),
+    T.StructField("part", T.IntegerType()),
+    T.StructField("parts", T.IntegerType()),
 ])
 
 WEATHER_FILE = T.StructType([

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docksense.functions.text import format_es, truck_colour
-from docksense.schemas import TRUCK_ROUTE
+from docksense.schemas import STOP, TRUCK_ROUTE
 from docksense.sources.landing import decode
 
 
@@ -25,16 +25,27 @@ def _routes(df: DataFrame) -> DataFrame:
 
 
 def explode_routes(routes: DataFrame) -> DataFrame:
-    """One row per stop with its order from 1 and the truck's colour."""
-    rest = [c for c in routes.columns if c not in ("optimal_route", "balance_bicicletas", "distance")]
+    """One row per stop with its order from 1 (its place in the message, if it carries none) and the truck's colour."""
+    gone = ("optimal_route", "balance_bicicletas", "distance", "route_id", "part", "parts")
+    rest = [c for c in routes.columns if c not in gone]
     stops = routes.select(*rest, F.posexplode("optimal_route").alias("_p", "_s"))
-    return stops.select(*rest, (F.col("_p") + 1).alias("order"), truck_colour("truck_id").alias("color"), "_s.*")
+    order = F.coalesce(F.col("_s.seq") + 1, F.col("_p") + 1).cast("int").alias("order")
+    fields = [f"_s.{f.name}" for f in STOP.fields if f.name != "seq"]
+    return stops.select(*rest, order, truck_colour("truck_id").alias("color"), *fields)
 
 
 def route_paths(routes: DataFrame) -> DataFrame:
-    """[lon, lat] path of every message with more than one stop."""
-    path = F.transform("optimal_route", lambda s: F.array(s.lon, s.lat))
-    return routes.select("truck_id", path.alias("path"), truck_colour("truck_id").alias("color")).filter(F.size("path") > 1)
+    """[lon, lat] path of every tour with more than one stop, put together from all its parts.
+
+    A message without a tour id is a tour of its own; a part that comes twice counts once.
+    """
+    tour = F.coalesce("route_id", F.concat(F.lit("own "), F.monotonically_increasing_id().cast("string")))
+    parts = routes.withColumn("_tour", tour).groupBy("truck_id", "_tour", F.coalesce("part", F.lit(0)).alias("part")).agg(
+        F.first("optimal_route").alias("stops"))
+    whole = parts.groupBy("truck_id", "_tour").agg(F.sort_array(F.collect_list(F.struct("part", "stops"))).alias("_parts"))
+    stops = F.flatten(F.transform("_parts", lambda p: p["stops"]))
+    path = F.transform(stops, lambda s: F.array(s["lon"], s["lat"]))
+    return whole.select("truck_id", path.alias("path"), truck_colour("truck_id").alias("color")).filter(F.size("path") > 1)
 
 
 def truck_summary(routes: DataFrame, arrival: str) -> DataFrame:

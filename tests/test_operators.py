@@ -221,3 +221,19 @@ def test_tail_positions(spark, n):
     df = spark.range(5).select(F.lit(1).alias("k"), "id")
     got = windows.tail_per_key(df, ["k"], ["id"], n, position="pos").orderBy("pos").collect()
     assert [(r["id"], r["pos"]) for r in got] == [(5 - n + i, i + 1) for i in range(n)]
+
+
+def test_quantiles_with_values_that_are_not_finite(spark):
+    inf, nan = float("inf"), float("nan")
+    df = spark.createDataFrame([(x,) for x in [nan, inf, inf, -inf, 1.0, 2.0, 3.0, 4.0, None]], "v double")
+    assert exact_quantiles(df, "v", [0.0, 1 / 7, 2 / 7, 0.5, 5 / 7]) == [-inf, 1.0, 2.0, 3.5, inf]
+    assert np.isnan(exact_quantiles(df, "v", [1.0])[0])
+    assert exact_quantiles(df.filter("isnan(v)"), "v", [0.5])[0] != 0
+
+
+def test_a_null_key_keeps_its_previous_row(spark):
+    rows = [(i, k, f"2024-01-01 {h:02d}:10:00", b) for i, (k, h, b) in enumerate([(None, 0, 5), (None, 5, 9), (7, 0, 5), (7, 5, 9)])]
+    df = spark.createDataFrame(rows, "event_id int, station_id int, t string, num_bikes_available int").withColumn(
+        "last_reported_local", F.to_timestamp("t")).withColumn("file_date", F.to_date("last_reported_local"))
+    got = {r["event_id"]: (r["num_bikes_available_lag"], r["bikes_returned"]) for r in windows.demand_from_lag(df).collect()}
+    assert got[1] == got[3] == (5, 4) and got[0] == got[2] == (None, 0)

@@ -111,14 +111,41 @@ def plain_dbscan(xy, eps, m):
 
 
 @pytest.mark.parametrize("eps, m", [(60.0, 4), (25.0, 2)])
-def test_dbscan_both_forms_equal_the_plain_one(spark, eps, m):
+def test_dbscan_equals_the_plain_one(spark, eps, m):
     rng = np.random.default_rng(11)
     xy = np.concatenate([skewed(rng, 240), [[0.0, 0.0], [25.0, 0.0], [50.0, 0.0], [5000.0, 5000.0]]])
     want = plain_dbscan(xy, eps, m)
     df = points(spark, xy, "point_id")
-    for small in (10_000, 0):
-        got = density.dbscan(df, eps, m, small=small).orderBy("point_id").toPandas()["cluster"].to_numpy()
-        np.testing.assert_array_equal(got, want)
+    got = density.dbscan(df, eps, m).orderBy("point_id").toPandas()["cluster"].to_numpy()
+    np.testing.assert_array_equal(got, want)
+
+
+def test_sweep_equals_single_runs(spark):
+    rng = np.random.default_rng(4)
+    xy = skewed(rng, 200)
+    out = {(r["eps"], r["min_samples"]): (r["clusters"], r["noise"]) for r in density.tune_dbscan(
+        points(spark, xy, "point_id"), [30.0, 60.0], [2, 5]).collect()}
+    for e in (30.0, 60.0):
+        for m in (2, 5):
+            want = plain_dbscan(xy, e, m)
+            assert out[e, m] == (len(set(want) - {-1}), int((want == -1).sum()))
+
+
+def test_thin_points_meet_a_strip_of_a_full_cell(spark):
+    met = []
+    for n in (3000, 48000):
+        rng = np.random.default_rng(1)
+        full = rng.uniform(0, 0.6, (n, 2))
+        xy = np.concatenate([full, [[1.2, 0.2], [1.25, 0.5], [1.3, 0.9]]])
+        asked = points(spark, xy[n:], "point_id").withColumn("grp", F.lit(0))
+        places = points(spark, xy, "point_id").select(F.lit(0).alias("grp"), F.col("x").alias("ox"), F.col("y").alias("oy"), F.lit(1).cast("bigint").alias("on"))
+        met.append(nearest.candidates(asked, ["x", "y"], places, ["ox", "oy"], ["ox", "oy"], k=4, weight="on", group="grp").count())
+    assert met[0] < 0.15 * 3 * 3000 and met[1] < 0.15 * 3 * 48000
+
+
+def test_points_without_place_are_noise(spark):
+    df = spark.createDataFrame([(1, 0.0, 0.0), (2, 0.1, 0.0), (3, None, 0.0), (None, 0.0, 0.0)], "point_id bigint, x double, y double")
+    assert {tuple(r) for r in density.dbscan(df, 1.0, 2).select("point_id", "cluster").collect()} == {(1, 1), (2, 1), (3, -1), (None, -1)}
 
 
 def test_sweep_prefers_the_first_of_equal_scores(spark):

@@ -63,3 +63,18 @@ def test_route_messages_with_missing_keys(spark):
     assert [r["path"] for r in route_stream.route_paths(good).collect()] == [[[2.0, 41.0], [2.1, 41.1]]]
     text = {r["truck_id"]: (r["distance_text"], r["balance_bicicletas"]) for r in route_stream.truck_summary(good, "arrival").collect()}
     assert text == {3: ("1.234,50", 0), 4: ("0,00", 0)}
+
+
+def test_long_tours_come_back_in_order(spark):
+    from docksense.operators import routes
+
+    stations = spark.createDataFrame(
+        [(i, 1, 2.0 + i * 0.01, 41.0, "low", 20, 3, 7, 0) for i in range(10)] + [(100 + i, 2, 2.0, 41.0 + i * 0.02, "full", 20, 9, 0, 5) for i in range(3)],
+        "station_id int, truck int, lon double, lat double, check_status string, capacity int, num_bikes_available int, bikes_to_refill int, bikes_to_remove int")
+    sent = routes.route_messages(routes.truck_routes(stations, block=4), block=4).select("value")
+    assert sent.count() == 3 + 1
+    decoded = route_stream.decode_routes(sent)
+    orders = [(r["truck_id"], r["order"]) for r in route_stream.explode_routes(decoded).orderBy("truck_id", "order").collect()]
+    assert orders == [(1, i) for i in range(1, 12)] + [(2, i) for i in range(1, 5)]
+    paths = {r["truck_id"]: r["path"] for r in route_stream.route_paths(decoded).collect()}
+    assert {k: len(v) for k, v in paths.items()} == {1: 11, 2: 4} and paths[1][0] == paths[1][-1] == [2.0, 41.0]
