@@ -6,7 +6,6 @@ import math
 import zlib
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,7 +60,3 @@ def scored(docs: DataFrame, score: Column, cut: float) -> DataFrame:
     """doc_id, held_out, score, predicted."""
     return docs.select("doc_id", held_out("doc_id").alias("held_out"), score.alias("score")).withColumn(
         "predicted", (F.col("score") >= cut).cast("int"))
-
-
-def rows(pdf: pd.DataFrame) -> tuple[list[bytes], np.ndarray]:
-    return [(t or "").encode() for t in pdf.text], pdf.y.to_numpy(np.int8)
