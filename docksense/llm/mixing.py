@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docksense.llm.common import WORD
+from docksense.session import cut_lineage
 
 #: Words in a block, and in a shard on average.
 BLOCK = 16
@@ -76,10 +77,13 @@ def sainte_lague(parts: DataFrame, group: list[str], order: str, weight: str, se
         "_all", "_k", "_low", "_high", "_sure", "_won")
 
 
-def _planned(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with _size, _source_size, _target, _start (words before it in its shard), _whole (times the mix takes
-    the whole document) and _extra (words of its beginning that it takes once more)."""
-    sized = docs.withColumn("_size", F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long"))
+def _sized(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("_size", F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long"))
+
+
+def _planned(sized: DataFrame) -> DataFrame:
+    """``sized`` (documents with their _size) with _source_size, _target, _start (words before it in its shard), _whole
+    (times the mix takes the whole document) and _extra (words of its beginning that it takes once more)."""
     targets = source_targets(sized.select("source", F.col("_size").alias("size")))
     targets = targets.withColumn("n_blocks", F.sum("target").over(Window.partitionBy()) / BLOCK)
     targets = targets.withColumn("n_blocks", F.round("n_blocks").cast("long")).withColumn("one", F.lit(1))
@@ -116,7 +120,8 @@ def mix_plan(docs: DataFrame) -> DataFrame:
     Repeated rows are documents each; null ids are ordered like 0. An empty table gives an empty table; other columns
     are ignored. Shards have a few million words whatever a source holds.
     """
-    got = _planned(docs.select("doc_id", "text", "source"))
+    # words are counted once: the counts are read for the sources' totals and again for the documents
+    got = _planned(cut_lineage(_sized(docs.select("doc_id", "text", "source")).drop("text")))
     return got.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"),
                       F.col("_target").alias("target"), (F.col("_size") * F.col("_whole") + F.col("_extra")).alias("taken"))
 
@@ -126,7 +131,7 @@ def mix(docs: DataFrame) -> DataFrame:
 
     Where a quota ends within a document, the last row has its first words only, and n_chars (if there) follows.
     """
-    got = _planned(docs)
+    got = _planned(_sized(docs))
     parts = F.regexp_extract_all(F.col("text"), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
     head = F.array_join(F.slice(parts, 1, F.col("_extra").cast("int")), "")
     cut = (F.col("_extra") > 0) & (F.col("_extra") < F.col("_size"))
