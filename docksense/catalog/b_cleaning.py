@@ -207,17 +207,33 @@ def _(d):
     return clean.select_existing(d("v_station"), ["station_id", "metro_line", "name"])
 
 
+def line_texts(d):
+    """Lines, lines of two parts (WKT) and polygons of two parts, one with a hole (GeoJSON), beside each lane's number."""
+    n = F.col("lane_id")
+    line = F.format_string("LINESTRING (%d 0, %d 2)", n, n + 1)
+    lines = F.format_string("MultiLineString((%d 0,%d 1), ( %d 0, %d 1, %d 1 ))", n, n, n + 2, n + 2, n + 3)
+    polygons = F.format_string(
+        '{"type":"MultiPolygon","coordinates":[[[[%d,0],[%d,0],[%d,9],[%d,0]],[[%d,1],[%d,1],[%d,2],[%d,1]]],'
+        '[[[%d,0],[%d,0],[%d,1],[%d,0]]]]}', *[n + i for i in (0, 9, 9, 0, 6, 7, 7, 6, 20, 21, 21, 20)])
+    texts = F.array(*[F.struct((n + 1000000 * i).alias("area_id"), t.alias("geometry"))
+                      for i, t in enumerate((line, lines, polygons), 2)])
+    return d("v_lane").select(F.inline(texts))
+
+
 @query("b24_geometry_parse", """
 WITH p AS (SELECT area_id, string_split(regexp_extract(geometry, '\\(\\((.*)\\)\\)', 1), ', ') AS pts FROM v_area_wkt),
 v AS (SELECT area_id, unnest(pts) AS pt FROM p)
 SELECT area_id, 'POLYGON' AS kind, COUNT(*) AS points, SUM(CAST(split_part(pt, ' ', 1) AS DOUBLE)) AS sum_x,
   SUM(CAST(split_part(pt, ' ', 2) AS DOUBLE)) AS sum_y FROM v GROUP BY 1
-UNION ALL SELECT poi_id + 1000000, 'POINT', 1, round(lon, 5), round(lat, 5) FROM v_poi""")
+UNION ALL SELECT poi_id + 1000000, 'POINT', 1, round(lon, 5), round(lat, 5) FROM v_poi
+UNION ALL SELECT lane_id + 2000000, 'LINESTRING', 2, 2 * lane_id + 1, 2 FROM v_lane
+UNION ALL SELECT lane_id + 3000000, 'MULTILINESTRING', 5, 5 * lane_id + 7, 3 FROM v_lane
+UNION ALL SELECT lane_id + 4000000, 'MULTIPOLYGON', 12, 12 * lane_id + 126, 15 FROM v_lane""")
 def _(d):
     broken = d("v_lane").select((-F.col("lane_id") - 1).alias("area_id"), F.lit("POLYGON ((0 0, 1").alias("geometry"))
     text = F.concat(F.lit("POINT("), F.format_string("%.5f", "lon"), F.lit(" "), F.format_string("%.5f", "lat"), F.lit(")"))
     points = d("v_poi").select((F.col("poi_id") + 1000000).alias("area_id"), text.alias("geometry"))
-    df = geom.parse_geometry(d("v_area_wkt").union(broken).union(points))
+    df = geom.parse_geometry(d("v_area_wkt").union(broken).union(points).union(line_texts(d)))
     pts = F.flatten("geometry.rings")
 
     def total(field):

@@ -221,11 +221,26 @@ def _(d):
 
 @query("h23_geometry_json", """
 SELECT poi_id, '{"type":"Point","coordinates":[' || (poi_id / 4.0e0) || ',' || (poi_id % 90 + 0.5e0) || ']}' AS doc,
-  poi_id / 4.0e0 AS x, poi_id % 90 + 0.5e0 AS y FROM v_poi""")
-def _(d):
-    df = d("v_poi").select("poi_id", geom.point_json(F.col("poi_id") / 4.0, F.col("poi_id") % 90 + 0.5).alias("doc"))
-    p = F.get(F.get(geom.point_from_json("doc").rings, F.lit(0)), F.lit(0))
-    return df.select("poi_id", "doc", p.x.alias("x"), p.y.alias("y"))
+  poi_id / 4.0e0 AS x, poi_id % 90 + 0.5e0 AS y FROM v_poi
+UNION ALL SELECT area_id, '{"type":"Polygon","coordinates":[[[' || a || ',0.0],[' || b || ',0.0],[' || b || ',1.0],[' || a || ',1.0],['
+  || a || ',0.0]]]}', a, 0 FROM (SELECT -1 - area_id AS area_id, area_id * 1e0 AS a, area_id + 1e0 AS b FROM v_area_wkt)
+UNION ALL SELECT area_id, CASE kind WHEN 2 THEN '{"type":"LineString","coordinates":[[' || n || ',0.0],[' || (n + 1) || ',2.0]]}'
+  WHEN 3 THEN '{"type":"MultiLineString","coordinates":[[[' || n || ',0.0],[' || n || ',1.0]],[[' || (n + 2) || ',0.0],['
+    || (n + 2) || ',1.0],[' || (n + 3) || ',1.0]]]}'
+  ELSE '{"type":"MultiPolygon","coordinates":[[[[' || n || ',0.0],[' || (n + 9) || ',0.0],[' || (n + 9) || ',9.0],[' || n
+    || ',0.0]],[[' || (n + 6) || ',1.0],[' || (n + 7) || ',1.0],[' || (n + 7) || ',2.0],[' || (n + 6) || ',1.0]]],[[['
+    || (n + 20) || ',0.0],[' || (n + 21) || ',0.0],[' || (n + 21) || ',1.0],[' || (n + 20) || ',0.0]]]]}' END, n, 0
+FROM (SELECT -1 - (lane_id + kind * 1000000) AS area_id, kind, lane_id * 1e0 AS n FROM v_lane, (SELECT unnest([2, 3, 4]) AS kind))""")
+def _(d):
+    from docksense.catalog.b_cleaning import line_texts
+
+    point = geom.from_pair(F.array(F.col("poi_id") / 4.0, F.col("poi_id") % 90 + 0.5))
+    points = d("v_poi").select("poi_id", point.alias("geometry"))
+    rest = geom.parse_geometry(d("v_area_wkt").union(line_texts(d))).select((-1 - F.col("area_id")).alias("poi_id"), "geometry")
+    docs = points.union(rest).select("poi_id", geom.geometry_json("geometry").alias("doc"))
+    # and back again
+    p = F.get(F.get(geom.parse_geojson("doc").rings, F.lit(0)), F.lit(0))
+    return docs.select("poi_id", "doc", p.x.alias("x"), p.y.alias("y"))
 
 
 @query("h24_similarity", "SELECT event_id, round(CASE WHEN value = 0 THEN NULL ELSE 1 / value END, 9) AS similarity_score FROM events")

@@ -1,4 +1,8 @@
-"""Geometry values: ``struct<kind, rings array<array<struct<x,y>>>>``."""
+"""Geometry values: ``struct<kind, rings array<array<struct<x,y>>>, parts array<int>>``.
+
+A ring is any run of points: a point, a line, or the shell or a hole of a polygon. ``parts`` names the polygon (or line,
+or point) that each ring belongs to, so that the holes of a multi-part geometry stay with their shell.
+"""
 
 from __future__ import annotations
 
@@ -6,47 +10,119 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-KINDS = ["POINT", "LINESTRING", "POLYGON", "MULTIPOLYGON"]
+# kind -> GeoJSON name and the depth of its coordinates
+KINDS = {"POINT": ("Point", 1), "LINESTRING": ("LineString", 2), "POLYGON": ("Polygon", 3),
+         "MULTILINESTRING": ("MultiLineString", 3), "MULTIPOLYGON": ("MultiPolygon", 4)}
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _valid(kind: Column, rings: Column) -> Column:
-    bad = F.exists(rings, lambda r: F.exists(r, lambda p: p.x.isNull() | p.y.isNull()))
-    return F.when(kind.isin(KINDS) & (F.size(rings) > 0) & ~bad, F.struct(kind.alias("kind"), rings.alias("rings")))
+def _first_parts(rings: Column) -> Column:
+    return F.transform(rings, lambda r, i: F.lit(0))
+
+
+def geometry(kind: Column, rings: Column, parts: Column | None = None) -> Column:
+    """A geometry value; without ``parts`` all rings are of one part."""
+    parts = _first_parts(rings) if parts is None else parts
+    return F.struct(kind.alias("kind"), rings.alias("rings"), parts.alias("parts"))
+
+
+def _valid(kind: Column, grouped: Column) -> Column:
+    """Geometry of a known kind from the rings of each part; null if a coordinate is missing."""
+    def build(rings_of):
+        rings = F.flatten(rings_of)
+        parts = F.flatten(F.transform(rings_of, lambda g, i: F.transform(g, lambda r: i)))
+        bad = F.exists(rings, lambda r: (F.size(r) == 0) | F.exists(r, lambda p: p.x.isNull() | p.y.isNull()))
+        return F.when(kind.isin(*KINDS) & (F.size(rings) > 0) & ~bad, geometry(kind, rings, parts))
+
+    # the parsed rings are bound once by a one-element transform
+    return F.get(F.transform(F.array(grouped), build), F.lit(0))
 
 
 def parse_wkt(text) -> Column:
-    """WKT to a geometry; any text that does not parse gives null."""
+    """WKT to a geometry; any text that does not parse gives null.
+
+    Polygons of a multi-part text are parted by two closing and two opening brackets, rings by one of each.
+    """
     wkt = _col(text)
     kind = F.upper(F.regexp_extract(wkt, r"^\s*([A-Za-z]+)", 1))
-    bodies = F.regexp_extract_all(wkt, F.lit(r"\(([^()]+)\)"), F.lit(1))
+    opened = F.length(F.regexp_replace(wkt, r"[^(]", ""))
+    whole = (opened > 0) & (opened == F.length(F.regexp_replace(wkt, r"[^)]", ""))) & F.rlike(wkt, F.lit(r"\)\s*$"))
+    body = F.regexp_replace(F.regexp_replace(wkt, r"^[^(]*[\s(]*", ""), r"[\s)]*$", "")
+    many = F.split(body, r"\)\s*\)\s*,\s*\(\s*\(")
+    lines = F.split(body, r"\)\s*,\s*\(")
 
     def pair(p):
         xy = F.split(F.trim(p), r"\s+")
         return F.struct(F.get(xy, F.lit(0)).try_cast("double").alias("x"), F.get(xy, F.lit(1)).try_cast("double").alias("y"))
 
-    return _valid(kind, F.transform(bodies, lambda b: F.transform(F.split(b, ","), pair)))
+    def ring(r):
+        return F.transform(F.split(r, ","), pair)
+
+    grouped = F.when(kind == "MULTIPOLYGON", F.transform(many, lambda m: F.transform(F.split(m, r"\)\s*,\s*\("), ring))).when(
+        kind == "MULTILINESTRING", F.transform(lines, lambda x: F.array(ring(x)))).otherwise(F.array(F.transform(lines, ring)))
+    return F.when(whole, _valid(kind, grouped))
 
 
 def from_pair(coordinates) -> Column:
     """``[lon, lat]`` to a point geometry."""
+    return from_coordinates(F.lit("POINT"), coordinates, 1)
+
+
+def from_coordinates(kind: Column, coordinates, depth: int) -> Column:
+    """GeoJSON coordinates (arrays nested ``depth`` deep) to a geometry of ``kind``; null if the two do not agree."""
     c = _col(coordinates)
-    p = F.struct(F.get(c, F.lit(0)).cast("double").alias("x"), F.get(c, F.lit(1)).cast("double").alias("y"))
-    return _valid(F.lit("POINT"), F.array(F.array(p)))
+
+    def pair(p):
+        return F.struct(F.get(p, F.lit(0)).cast("double").alias("x"), F.get(p, F.lit(1)).cast("double").alias("y"))
+
+    def ring(r):
+        return F.transform(r, pair)
+
+    grouped = {
+        1: lambda: F.array(F.array(F.array(pair(c)))),
+        2: lambda: F.array(F.array(ring(c))),
+        3: lambda: F.when(kind == "MULTILINESTRING", F.transform(c, lambda x: F.array(ring(x)))).otherwise(F.array(F.transform(c, ring))),
+        4: lambda: F.transform(c, lambda m: F.transform(m, ring)),
+    }[depth]()
+    kinds = [k for k, (_, d) in KINDS.items() if d == depth]
+    return F.when(kind.isin(kinds), _valid(kind, grouped))
+
+
+def parse_geojson(text) -> Column:
+    """GeoJSON text of any known kind to a geometry; other text gives null."""
+    doc = _col(text)
+    kind = F.upper(F.get_json_object(doc, "$.type"))
+    value = F.lit(None)
+    for depth in range(4, 0, -1):
+        nested = "array<" * depth + "double" + ">" * depth
+        found = F.from_json(doc, f"coordinates {nested}")["coordinates"]
+        kinds = [k for k, (_, d) in KINDS.items() if d == depth]
+        value = F.when(kind.isin(kinds), from_coordinates(kind, found, depth)).otherwise(value)
+    return value
 
 
 def parse_geometry(df: DataFrame, name: str = "geometry") -> DataFrame:
-    """Replace a WKT text, ``[lon, lat]`` array or point struct by a geometry; drop rows without one."""
+    """Replace WKT or GeoJSON text, a ``[lon, lat]`` array or a GeoJSON struct by a geometry; drop rows without one.
+
+    The coordinates of a struct may be arrays of any depth, or text (as a reader leaves them where kinds are mixed).
+    """
     kind = df.schema[name].dataType
     if isinstance(kind, T.StringType):
-        value = parse_wkt(name)
+        value = F.when(F.ltrim(name).startswith("{"), parse_geojson(name)).otherwise(parse_wkt(name))
     elif isinstance(kind, T.ArrayType):
         value = from_pair(name)
     elif "coordinates" in kind.fieldNames():
-        value = from_pair(F.col(name).coordinates)
+        g, inner, depth = F.col(name), kind["coordinates"].dataType, 0
+        if isinstance(inner, T.StringType):
+            value = parse_geojson(F.concat(F.lit('{"type":"'), g.type, F.lit('","coordinates":'), g.coordinates, F.lit("}")))
+        else:
+            while isinstance(inner, T.ArrayType):
+                inner, depth = inner.elementType, depth + 1
+            plain = {1: "POINT", 2: "LINESTRING", 3: "POLYGON", 4: "MULTIPOLYGON"}[depth]
+            value = from_coordinates(F.upper(g.type) if "type" in kind.fieldNames() else F.lit(plain), g.coordinates, depth)
     else:
         value = F.col(name)
     return df.withColumn(name, value).filter(F.col(name).isNotNull())
@@ -61,21 +137,26 @@ def geometry_json(geometry) -> Column:
     """GeoJSON text of a geometry value."""
     g = _col(geometry)
     rings = F.transform(g.rings, lambda r: F.transform(r, lambda p: F.array(p.x, p.y)))
-    names = {"POINT": "Point", "LINESTRING": "LineString", "POLYGON": "Polygon", "MULTIPOLYGON": "MultiPolygon"}
-    label = F.try_element_at(F.create_map(*[F.lit(v) for kv in names.items() for v in kv]), g.kind)
+    polygons = F.transform(F.array_distinct(g.parts), lambda part: F.filter(rings, lambda r, i: F.get(g.parts, i) == part))
+    label = F.try_element_at(F.create_map(*[F.lit(v) for k, (n, _) in KINDS.items() for v in (k, n)]), g.kind)
     body = (
         F.when(g.kind == "POINT", F.to_json(F.get(F.get(rings, F.lit(0)), F.lit(0))))
         .when(g.kind == "LINESTRING", F.to_json(F.get(rings, F.lit(0))))
-        .when(g.kind == "POLYGON", F.to_json(rings))
-        .otherwise(F.to_json(F.transform(rings, lambda r: F.array(r))))
+        .when(g.kind.isin("POLYGON", "MULTILINESTRING"), F.to_json(rings))
+        .otherwise(F.to_json(polygons))
     )
     return F.concat(F.lit('{"type":"'), label, F.lit('","coordinates":'), body, F.lit("}"))
 
 
 def point_from_json(text) -> Column:
     """Point geometry of a GeoJSON text."""
-    doc = F.from_json(_col(text), "type STRING, coordinates ARRAY<DOUBLE>")
-    return F.when(doc.type == "Point", from_pair(doc.coordinates))
+    found = parse_geojson(text)
+    return F.when(found.kind == "POINT", found)
+
+
+def paths(df: DataFrame, name: str = "geometry", path: str = "path") -> DataFrame:
+    """A row per line (or ring) of each geometry, as an array of (x, y) structs in column ``path``."""
+    return df.select(*[c for c in df.columns if c != name], F.explode(F.col(name).rings).alias(path))
 
 
 def edges(geometry) -> Column:
@@ -100,7 +181,7 @@ def rectangle(xmin, ymin, xmax, ymax) -> Column:
     x0, y0, x1, y1 = (_col(c) for c in (xmin, ymin, xmax, ymax))
     pts = [(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)]
     ring = F.array(*[F.struct(x.alias("x"), y.alias("y")) for x, y in pts])
-    return F.struct(F.lit("POLYGON").alias("kind"), F.array(ring).alias("rings"))
+    return geometry(F.lit("POLYGON"), F.array(ring))
 
 
 def bounds(geometry) -> dict[str, Column]:

@@ -38,7 +38,7 @@ def plane_geometry(df: DataFrame, col: str = "geometry") -> DataFrame:
         return F.struct(x.alias("x"), y.alias("y"))
 
     rings = F.transform(F.col(col).rings, lambda r: F.transform(r, move))
-    return df.withColumn(col, F.struct(F.col(col).kind.alias("kind"), rings.alias("rings")))
+    return df.withColumn(col, geom.geometry(F.col(col).kind, rings, F.col(col).parts))
 
 
 def site_distances(points: DataFrame, layers: dict[str, DataFrame], key: str) -> DataFrame:

@@ -107,3 +107,31 @@ def test_hole_and_boundary(spark):
 def test_geojson_text(spark):
     g = geom.parse_wkt(F.lit("POLYGON ((0 0, 1 0, 1 1, 0 0))"))
     assert one(spark, geom.geometry_json(g)) == ('{"type":"Polygon","coordinates":[[[0.0,0.0],[1.0,0.0],[1.0,1.0],[0.0,0.0]]]}',)
+
+
+GEOJSON = {
+    "Point": "[1.0,2.0]", "LineString": "[[0.0,0.0],[1.0,2.0]]", "MultiLineString": "[[[0.0,0.0],[1.0,2.0]],[[5.0,5.0],[6.0,6.0]]]",
+    "Polygon": "[[[0.0,0.0],[4.0,0.0],[4.0,4.0],[0.0,0.0]],[[1.0,1.0],[2.0,1.0],[2.0,2.0],[1.0,1.0]]]",
+    "MultiPolygon": "[[[[0.0,0.0],[4.0,0.0],[4.0,4.0],[0.0,0.0]],[[1.0,1.0],[2.0,1.0],[2.0,2.0],[1.0,1.0]]],"
+                    "[[[9.0,0.0],[9.0,1.0],[8.0,1.0],[9.0,0.0]]]]",
+}
+
+
+@pytest.mark.parametrize("kind", GEOJSON)
+def test_geojson_round_trip(spark, kind):
+    doc = f'{{"type":"{kind}","coordinates":{GEOJSON[kind]}}}'
+    df = spark.createDataFrame([(doc,), ('{"type":"%s"}' % kind,), ('{"type":"Circle","coordinates":[1]}',), ("{",), (None,)], "geometry string")
+    # text; a struct of text coordinates; a struct whose arrays the reader has typed
+    forms = [df, df.select(F.from_json("geometry", "type string, coordinates string").alias("geometry")),
+             spark.read.json(spark.createDataFrame([(f'{{"geometry":{doc}}}',)], "v string").rdd.map(lambda r: r.v))]
+    for form in forms:
+        got = geom.parse_geometry(form).select(geom.geometry_json("geometry")).collect()
+        assert [r[0] for r in got] == [doc]
+
+
+def test_wkt_keeps_holes_with_their_polygon(spark):
+    text = "MULTIPOLYGON (((0 0, 4 0, 4 4, 0 0), (1 1, 2 1, 2 2, 1 1)), ((9 0, 9 1, 8 1, 9 0)))"
+    g = geom.parse_wkt(F.lit(text))
+    doc = f'{{"type":"MultiPolygon","coordinates":{GEOJSON["MultiPolygon"]}}}'
+    assert one(spark, geom.geometry_json(g)) == (doc,)
+    assert one(spark, geom.parse_wkt(F.lit("MULTIPOLYGON EMPTY"))) == (None,)
