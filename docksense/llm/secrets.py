@@ -22,8 +22,9 @@ CLASSES = {
     "entropy_base64": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-",
                        r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}", ("[0-9]", "[a-z]", "[A-Z]"), 3.8),
 }
-#: Candidates that are no secrets: ids, dates with times, paths and addresses, placeholders, alphabets.
-ALLOWED = (r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$|^\d{4}-\d\d-\d\d|^[a-z0-9_.+-]+(/[a-z0-9_.+-]+){3,}/?$"
+#: Candidates that are no secrets: ids, dates with times, paths and addresses, placeholders, alphabets. The repeats are
+#: possessive: they are matched in a loop, where a greedy group would take a stack frame for each part of a long path.
+ALLOWED = (r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$|^\d{4}-\d\d-\d\d|^[a-z0-9_.+-]++(?:/[a-z0-9_.+-]++){3,}+/?$"
            r"|example|sample|dummy|placeholder|xxxx|0123456789|123456789|abcdefghij|qwerty")
 SPANS = "array<struct<start:int,rank:int,end:int,kind:string>>"
 

@@ -49,6 +49,16 @@ def test_odd_texts(spark):
     assert secret_report(df.limit(0)).count() == 0
 
 
+def test_long_candidates(spark):
+    # one string of very many parts must not use up the regex engine's stack
+    texts = ["Ab1/" * 30000, "x/" * 30000 + "Zk3mQ9vT7xLp2WcR8sYbN4dF", "token=" + "a.b/" * 30000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in secret_report(df).collect()}
+    for i, text in enumerate(texts):
+        assert tuple(got[i])[1:5] == brute(text)[0]
+    assert got[0].spans == "" and got[1].spans == ""
+
+
 def test_entropy_adds(spark):
     texts = ["id Zk3mQ9vT7xLp2WcR8sYbN4dF end", "id 550e8400-e29b-41d4-a716-446655440000 end", "Chheitschaueinbeenstverheit",
              "see DEADBEEF0123A7C4E5F69B81 ok", "EXAMPLEKeyZk3mQ9vT7xLp2WcR8", "path a1B/c2D/e3F/g4H/i5J/k6L/m7N"]
