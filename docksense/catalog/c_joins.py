@@ -53,9 +53,19 @@ WIDE_SQL = """SELECT time_bucket(INTERVAL 30 MINUTE, ts) AS bucket,
   MAX(CASE WHEN event_type = 'signup' THEN floor(value) END) AS humedad, CAST(NULL AS DOUBLE) AS viento FROM events GROUP BY 1"""
 
 
+def last_sunday(ts_col: str, month: int) -> str:
+    end = f"make_date(CAST(EXTRACT(YEAR FROM {ts_col}) AS INT), {month}, 31)"
+    return f"({end} - CAST(isodow({end}) % 7 AS INT))"
+
+
+#: UTC half-hour of a local reading: summer time from the last Sunday of March to that of October.
+UTC_BUCKET = f"""time_bucket(INTERVAL 30 MINUTE, last_reported_local - CASE WHEN last_reported_local >= {last_sunday('last_reported_local', 3)} + INTERVAL 2 HOUR
+  AND last_reported_local < {last_sunday('last_reported_local', 10)} + INTERVAL 3 HOUR THEN INTERVAL 2 HOUR ELSE INTERVAL 1 HOUR END)"""
+
+
 @query("c04_time_bucket_join", f"""
-SELECT event_id, {ts('time_bucket(INTERVAL 30 MINUTE, last_reported_local)')} AS last_reported_rounded, temperatura, precipitacion,
-  humedad, viento FROM v_status LEFT JOIN ({WIDE_SQL}) ON bucket = time_bucket(INTERVAL 30 MINUTE, last_reported_local)""")
+SELECT event_id, {ts(UTC_BUCKET)} AS last_reported_rounded, temperatura, precipitacion,
+  humedad, viento FROM v_status LEFT JOIN ({WIDE_SQL}) ON bucket = {UTC_BUCKET}""")
 def _(d):
     out = joins.join_bucketed(d("v_status"), weather_series(d))
     return out.select("event_id", "last_reported_rounded", *joins.WEATHER)

@@ -82,28 +82,36 @@ def _(d):
 
 
 
+# every hour of each station's days: the last mode before it, or the day's first
+FULL_SQL = f"""SELECT g.station_id, g.date_reported, g.hora_dia,
+  COALESCE(LAST_VALUE(num_bikes_available IGNORE NULLS) OVER (w ROWS UNBOUNDED PRECEDING),
+    FIRST_VALUE(num_bikes_available IGNORE NULLS) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS num_bikes_available
+FROM (SELECT DISTINCT station_id, date_reported, CAST(h AS INT) AS hora_dia FROM ({MODE_SQL}), range(24) r(h)) g
+LEFT JOIN ({MODE_SQL}) m ON m.station_id = g.station_id AND m.date_reported = g.date_reported AND m.hora_dia = g.hora_dia
+WINDOW w AS (PARTITION BY g.station_id, g.date_reported ORDER BY g.hora_dia)"""
+
+
 def rotation_sql(positions: int) -> str:
     return f"""SELECT station_id, SUM(CASE WHEN n >= {positions} THEN moved ELSE 0 END) / COUNT(*) AS avg_daily_rotation, COUNT(*) AS "count" FROM (
   SELECT station_id, date_reported, COUNT(*) AS n, CAST(SUM(CASE WHEN pos <= {positions} THEN abs(num_bikes_available - prev) ELSE 0 END) AS DOUBLE) AS moved
-  FROM (SELECT *, LAG(num_bikes_available) OVER w AS prev, ROW_NUMBER() OVER w AS pos FROM ({MODE_SQL})
+  FROM (SELECT *, LAG(num_bikes_available) OVER w AS prev, ROW_NUMBER() OVER w AS pos FROM ({FULL_SQL})
     WINDOW w AS (PARTITION BY station_id, date_reported ORDER BY hora_dia)) GROUP BY 1, 2) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"""
 
 
-@query("d08_daily_rotation", rotation_sql(3))
+@query("d08_daily_rotation", rotation_sql(24))
 def _(d):
-    # the test days hold few readings, so three positions stand in for the 24 hours
-    return aggs.rotation_stations(documents(d), positions=3)
+    return aggs.rotation_stations(aggs.complete_days(documents(d)))
 
 
 @query("d09_reasons", f"""
 SELECT station_id, string_agg(reason, ',' ORDER BY i) AS reasons FROM (
   SELECT station_id, 'No Bikes' AS reason, 0 AS i FROM ({shortage_sql('num_bikes_available')})
   UNION ALL SELECT station_id, 'No Docks', 1 FROM ({shortage_sql('num_docks_available')})
-  UNION ALL SELECT station_id, 'High Rotation', 2 FROM ({rotation_sql(3)})) GROUP BY 1""")
+  UNION ALL SELECT station_id, 'High Rotation', 2 FROM ({rotation_sql(24)})) GROUP BY 1""")
 def _(d):
     docs = documents(d)
     out = aggs.popular_stations(aggs.shortage_stations(docs, "num_bikes_available"), aggs.shortage_stations(docs, "num_docks_available"),
-                                aggs.rotation_stations(docs, positions=3))
+                                aggs.rotation_stations(aggs.complete_days(docs)))
     return out.select("station_id", F.array_join("reason", ",").alias("reasons"))
 
 
@@ -251,9 +259,9 @@ def _(d):
     return out.select(F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"))
 
 
-@query("d27_is_empty", "SELECT 'status' AS part, FALSE AS empty UNION ALL SELECT 'none', TRUE")
+@query("d27_is_empty", """
+SELECT 'status' AS part, COUNT(*) = 0 AS empty FROM v_status UNION ALL SELECT 'holidays', COUNT(*) = 0 FROM v_holiday
+UNION ALL SELECT 'none', COUNT(*) = 0 FROM v_status WHERE station_id < 0""")
 def _(d):
-    found = {"status": aggs.is_empty(d("v_status")), "none": aggs.is_empty(d("v_status").filter("station_id < 0"))}
-    counts = aggs.audit_counts(status=d("v_status"), none=d("v_status").filter("station_id < 0"))
-    flag = F.when(F.col("part") == "status", F.lit(found["status"])).otherwise(F.lit(found["none"]))
-    return counts.select("part", flag.alias("empty"))
+    parts = {"status": d("v_status"), "holidays": d("v_holiday"), "none": d("v_status").filter("station_id < 0")}
+    return d.spark.createDataFrame([(name, aggs.is_empty(df)) for name, df in parts.items()], "part string, empty boolean")

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from docksense.catalog.base import day, query, ts
-from docksense.catalog.c_joins import CALENDAR_SQL, HAV_SQL, KNN, PLANE, WIDE_SQL, areas, features, plane, state, weather_series
+from docksense.catalog.c_joins import CALENDAR_SQL, HAV_SQL, KNN, PLANE, UTC_BUCKET, WIDE_SQL, areas, features, plane, state, weather_series
 from docksense.catalog.d_aggregates import documents
 from docksense.catalog.i_streaming import TOUR
 from docksense.functions import geometry as geom
@@ -78,12 +78,12 @@ def plane_areas(d):
 
 @query("j07_candidate_grid", """
 WITH b AS (SELECT MIN(xmin) * 83000 AS x0, MIN(ymin) * 111000 AS y0, MAX(xmax) * 83000 AS x1, MAX(ymax) * 111000 AS y1 FROM v_area),
-n AS (SELECT *, CAST(ceil((x1 - x0) / 100) AS BIGINT) AS nx, CAST(ceil((y1 - y0) / 100) AS BIGINT) AS ny FROM b)
-SELECT j * nx + i AS point_id, round(x0 + i * 100, 4) AS x, round(y0 + j * 100, 4) AS y
-FROM n, (SELECT unnest(range(1000)) AS i), (SELECT unnest(range(1000)) AS j) WHERE i < nx AND j < ny""")
+n AS (SELECT *, CAST(ceil((x1 - x0) / 10) AS BIGINT) AS nx, CAST(ceil((y1 - y0) / 10) AS BIGINT) AS ny FROM b)
+SELECT j * nx + i AS point_id, round(x0 + i * 10, 4) AS x, round(y0 + j * 10, 4) AS y
+FROM n, (SELECT unnest(range(2000)) AS i), (SELECT unnest(range(2000)) AS j) WHERE i < nx AND j < ny""")
 def _(d):
     box = aggs.total_bounds(plane_areas(d)).first()
-    grid = spatial.candidate_grid(d.spark, (box["xmin"], box["ymin"], box["xmax"], box["ymax"]), 100.0)
+    grid = spatial.candidate_grid(d.spark, (box["xmin"], box["ymin"], box["xmax"], box["ymax"]), 10.0)
     return grid.select("point_id", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"))
 
 
@@ -113,7 +113,7 @@ def _(d):
 def _(d):
     docs = documents(d)
     top = aggs.popular_stations(aggs.shortage_stations(docs, "num_bikes_available"), aggs.shortage_stations(docs, "num_docks_available"),
-                                aggs.rotation_stations(docs, positions=3))
+                                aggs.rotation_stations(aggs.complete_days(docs)))
     stations = expansion.with_plane(d("v_station")).select("station_id", "x", "y")
     poi = expansion.with_plane(d("v_poi")).select("x", "y", "category")
     cuts = ["Brand#1", "Brand#2", "Brand#3", "Brand#4", "Brand#5", "Brand#6"]
@@ -160,7 +160,7 @@ FROM (SELECT *, COUNT(*) OVER (PARTITION BY station_id, date_reported) AS entrie
   FROM (SELECT c.*, CASE WHEN capacity > 0 THEN capacity - (num_bikes_available + num_docks_available) ELSE 0 END AS num_bikes_error, temperatura, precipitacion, humedad, viento,
       num_bikes_available - LAG(num_bikes_available) OVER (PARTITION BY c.station_id, date_reported ORDER BY last_reported_local, event_id) AS diff
     FROM ({CALENDAR_SQL}) c LEFT JOIN (SELECT station_id AS sid, capacity FROM v_station) ON c.station_id = sid
-    LEFT JOIN ({WIDE_SQL}) ON bucket = time_bucket(INTERVAL 30 MINUTE, last_reported_local))
+    LEFT JOIN ({WIDE_SQL}) ON bucket = {UTC_BUCKET})
   WINDOW h AS (PARTITION BY station_id, date_reported, hora_dia)) WHERE last_reported_local = newest) WHERE entries > 1"""
 
 _COLS = ["station_id", "hora_dia", "num_bikes_available", "num_docks_available", "num_bikes_error", "total_bikes_taken",
@@ -190,7 +190,11 @@ SELECT station_id, {day('gd')} AS d, gh AS hora_dia, {ts('hour_ts')} AS last_rep
   COALESCE(weekday, CAST(isodow(hour_ts) AS INT)) AS weekday, COALESCE(num_bikes_error, 0) AS num_bikes_error,
   COALESCE(laborable, CASE WHEN f = 0 AND COALESCE(weekday, isodow(hour_ts)) <= 5 THEN 1 ELSE 0 END) AS laborable,
   COALESCE(hora_info, CASE WHEN gh <= 5 THEN 'night' WHEN gh <= 9 THEN 'early_morning' WHEN gh <= 14 THEN 'morning' WHEN gh <= 19 THEN 'afternoon' ELSE 'evening' END) AS hora_info,
-  COALESCE(season, 'Invierno') AS season,
+  COALESCE(season, CASE WHEN strftime(gd, '%m-%d') BETWEEN '03-21' AND '06-20' THEN 'Primavera' WHEN strftime(gd, '%m-%d') BETWEEN '06-21' AND '09-22' THEN 'Verano'
+    WHEN strftime(gd, '%m-%d') BETWEEN '09-23' AND '12-20' THEN 'Otoño' ELSE 'Invierno' END) AS season,
+  COALESCE(num_docks_available, CAST(round({_mean('num_docks_available')}) AS INT)) AS num_docks_available,
+  COALESCE(total_bikes_returned, CAST(round({_mean('total_bikes_returned')}) AS INT)) AS total_bikes_returned,
+  round(COALESCE(precipitacion, {_mean('precipitacion')}), 6) AS precipitacion, viento,
   COALESCE(num_bikes_available, CAST(round({_mean('num_bikes_available')}) AS INT)) AS num_bikes_available,
   COALESCE(total_bikes_taken, CAST(round({_mean('total_bikes_taken')}) AS INT)) AS total_bikes_taken,
   COALESCE(humedad, CAST(round({_mean('humedad')}) AS INT)) AS humedad,
@@ -200,5 +204,5 @@ def _(d):
     out = demand.preprocess(cut_lineage(demand_table(d)), None, None, "2024-01-25", 20)
     return out.select(
         "station_id", F.make_date("year", "month", "day").alias("d"), "hora_dia", "last_reported_local", "status_station", "festivo", "weekday",
-        "num_bikes_error", "laborable", "hora_info", "season", "num_bikes_available", "total_bikes_taken", "humedad",
-        F.round("temperatura", 6).alias("temperatura"))
+        "num_bikes_error", "laborable", "hora_info", "season", "num_bikes_available", "num_docks_available", "total_bikes_taken",
+        "total_bikes_returned", "humedad", "viento", *[F.round(c, 6).alias(c) for c in ("temperatura", "precipitacion")])

@@ -29,6 +29,11 @@ def utc_to_local(ts: Column | str, zone: str = "Europe/Madrid") -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), _col(ts))
 
 
+def local_to_utc(ts: Column | str, zone: str = "Europe/Madrid") -> Column:
+    """UTC wall time of a local one; of the hour that comes twice in autumn the first is taken."""
+    return F.convert_timezone(F.lit(zone), F.lit("UTC"), _col(ts))
+
+
 def floor_time(ts: Column | str, seconds: int) -> Column:
     """Start of the bucket of ``seconds`` that holds the wall time."""
     s = to_epoch(ts)

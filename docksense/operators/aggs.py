@@ -64,6 +64,16 @@ def shortage_stations(docs: DataFrame, field: str, k: int | None = 10) -> DataFr
     return top_k(out, "avg_monthly_count", k, "station_id") if k else out
 
 
+def complete_days(docs: DataFrame) -> DataFrame:
+    """Documents with all 24 hours: a missing hour has the values of the day's hour before it, or of its first hour."""
+    def at(status, h):
+        known = F.filter(status, lambda s: s.hour <= h)
+        return F.coalesce(F.try_element_at(known, F.lit(-1)), F.get(status, F.lit(0))).withField("hour", h)
+
+    hours = F.transform(F.sequence(F.lit(0), F.lit(23)), lambda h: at(F.col("status"), h))
+    return docs.withColumn("status", hours)
+
+
 def rotation_stations(docs: DataFrame, k: int | None = 10, positions: int = 24, skip_incomplete: bool = False) -> DataFrame:
     """Stations by average daily sum of absolute changes over the day's positions.
 

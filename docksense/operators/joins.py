@@ -31,12 +31,24 @@ def join_calendar(df: DataFrame, holidays: DataFrame, date_col: str = "date_repo
 WEATHER = ["temperatura", "precipitacion", "humedad", "viento"]
 
 
-def join_bucketed(df: DataFrame, series: DataFrame, ts_col: str = "last_reported_local", seconds: int = 1800,
+def weather_clock(df: DataFrame, as_reference: bool = False) -> Column:
+    """The readings' time on the clock of the weather series, which is UTC.
+
+    ``as_reference`` takes the local time as it is, which joins weather that is one or two hours off.
+    """
+    if as_reference:
+        return F.col("last_reported_local")
+    return F.col("last_reported_GMT") if "last_reported_GMT" in df.columns else cal.local_to_utc("last_reported_local")
+
+
+def join_bucketed(df: DataFrame, series: DataFrame, ts_col: Column | str | None = None, seconds: int = 1800,
                   variables: list[str] = WEATHER) -> DataFrame:
     """Left join of a long series (variable, ts, valor) on the time bucket; absent variables give null.
 
-    The series is made wide first, so all variables need one join.
+    Both sides are on the UTC clock, unless ``ts_col`` says otherwise. The series is made wide first, so all variables
+    need one join.
     """
+    ts_col = weather_clock(df) if ts_col is None else ts_col
     picked = [F.max(F.when(F.col("variable") == v, F.col("valor"))).alias(v) for v in variables]
     wide = series.groupBy(F.col("ts").alias("last_reported_rounded")).agg(*picked)
     return df.withColumn("last_reported_rounded", cal.floor_time(ts_col, seconds)).join(

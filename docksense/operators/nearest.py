@@ -184,11 +184,38 @@ def _nearest(a: DataFrame, b: DataFrame, name: str, key: str, x: str, y: str, ex
     return pairs.groupBy(key).agg(F.min("_d").alias(name))
 
 
+def short_pieces(seg: DataFrame) -> DataFrame:
+    """Rows (sx1, sy1, sx2, sy2) once for each piece of the segment, with the piece's box (slox, sloy, shix, shiy).
+
+    A long segment's box is close to every point, so the search would meet it everywhere; the boxes of its pieces are
+    not. A piece is at most 1/sqrt(n) of the extent of n segments, which leaves the short ones of a street network whole
+    and cuts none into more than sqrt(n) pieces. The distance is still that to the whole segment, so it stays exact.
+    """
+    ends = ["sx1", "sy1", "sx2", "sy2"]
+    for c in ends:
+        seg = seg.filter(F.abs(F.col(c).cast("double")) < float("inf"))
+    size = seg.agg(F.count("*").alias("n"), *[
+        f(g(a, b)).alias(name) for name, f, g, a, b in (
+            ("x0", F.min, F.least, "sx1", "sx2"), ("x1", F.max, F.greatest, "sx1", "sx2"),
+            ("y0", F.min, F.least, "sy1", "sy2"), ("y1", F.max, F.greatest, "sy1", "sy2"))]).first()
+    longest = max(size["x1"] - size["x0"], size["y1"] - size["y0"]) / math.sqrt(size["n"]) if size["n"] else 0.0
+    dx, dy = F.col("sx2") - F.col("sx1"), F.col("sy2") - F.col("sy1")
+    many = F.greatest(F.ceil(F.greatest(F.abs(dx), F.abs(dy)) / longest), F.lit(1)) if longest > 0 else F.lit(1)
+    cut = seg.withColumn("_m", many.cast("bigint")).withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_m"))))
+
+    def at(start: str, d: Column, i: Column) -> Column:
+        return F.col(start) + d * (i / F.col("_m"))
+
+    xa, xb, ya, yb = (at(s, d, i) for s, d in (("sx1", dx), ("sy1", dy)) for i in (F.col("_i") - 1, F.col("_i")))
+    return cut.select(*ends, F.least(xa, xb).alias("slox"), F.greatest(xa, xb).alias("shix"),
+                      F.least(ya, yb).alias("sloy"), F.greatest(ya, yb).alias("shiy"))
+
+
 def line_distance(points: DataFrame, lines: DataFrame, name: str, key: str, path: str = "path",
                   x: str = "x", y: str = "y") -> DataFrame:
     """Plane distance of every point to the closest segment of a line layer.
 
-    ``path`` is an array of (x, y) structs.
+    ``path`` is an array of (x, y) structs. Segments with an infinite or missing coordinate are left out.
     """
     from docksense.functions.geo import segment_distance
 
@@ -197,10 +224,7 @@ def line_distance(points: DataFrame, lines: DataFrame, name: str, key: str, path
         F.slice(path, 1, F.size(path) - 1).alias("a"), F.slice(path, 2, F.size(path) - 1).alias("b"))).alias("s"))
     seg = parts.select(F.col("s.a.x").alias("sx1"), F.col("s.a.y").alias("sy1"),
                        F.col("s.b.x").alias("sx2"), F.col("s.b.y").alias("sy2")).distinct()
-    seg = seg.withColumns({
-        "slox": F.least("sx1", "sx2"), "shix": F.greatest("sx1", "sx2"),
-        "sloy": F.least("sy1", "sy2"), "shiy": F.greatest("sy1", "sy2"),
-    })
+    seg = cut_lineage(short_pieces(seg))
     pairs = candidates(points.select(key, x, y), [x, y], seg, ["slox", "sloy"], ["shix", "shiy"])
     dist = segment_distance(x, y, "sx1", "sy1", "sx2", "sy2")
     best = pairs.groupBy(key).agg(F.min(dist).alias(name))

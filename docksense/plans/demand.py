@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,13 +32,31 @@ def format_status(raw: DataFrame, folder_year=None, folder_month=None) -> DataFr
     return out
 
 
-def status_variables(status: DataFrame, info: DataFrame | None, holidays: DataFrame, weather: DataFrame) -> DataFrame:
+def feed_readings(raw: DataFrame) -> DataFrame:
+    """Landed monthly status rows to the readings that ``demand_dataset`` takes.
+
+    Readings of one station and second are ordered by the time of their file, as ``event_id``.
+    """
+    rows = clean.dedupe(format_status(raw))
+    return rows.withColumns({"hora_dia": F.hour("last_reported_local"), "event_id": cal.to_epoch("last_updated_GMT")})
+
+
+def weather_series(**rows: DataFrame) -> DataFrame:
+    """Weather rows (codi, fecha, hora, valor) of each variable to one long series (variable, ts, valor) in UTC."""
+    parts = [df.select(F.lit(name).alias("variable"), F.to_timestamp_ntz(
+        F.concat_ws(" ", F.date_format("fecha", "yyyy-MM-dd"), "hora"), F.lit("yyyy-MM-dd HH:mm:ss")).alias("ts"), "valor")
+        for name, df in rows.items()]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def status_variables(status: DataFrame, info: DataFrame | None, holidays: DataFrame, weather: DataFrame,
+                     as_reference: bool = False) -> DataFrame:
     """Readings with capacity, calendar, unusable slots, demand against the previous reading and weather."""
     df = joins.join_capacity(status, info)
     df = joins.join_calendar(df, holidays)
     df = df.withColumns({"file_date": F.col("date_reported"), "num_bikes_error": bikes_error()})
     df = windows.demand_from_lag(df)
-    return joins.weather_struct(joins.join_bucketed(df, weather))
+    return joins.weather_struct(joins.join_bucketed(df, weather, joins.weather_clock(df, as_reference)))
 
 
 def hourly_rows(variables: DataFrame) -> DataFrame:
@@ -49,9 +69,10 @@ def hourly_rows(variables: DataFrame) -> DataFrame:
     return hours.join(busy.select("station_id", "date_reported"), ["station_id", "date_reported"], "left_semi")
 
 
-def demand_dataset(status: DataFrame, info: DataFrame | None, holidays: DataFrame, weather: DataFrame) -> DataFrame:
+def demand_dataset(status: DataFrame, info: DataFrame | None, holidays: DataFrame, weather: DataFrame,
+                   as_reference: bool = False) -> DataFrame:
     """The flat hourly demand table."""
-    hours = hourly_rows(status_variables(status, info, holidays, weather))
+    hours = hourly_rows(status_variables(status, info, holidays, weather, as_reference))
     # rows are dropped while still partitioned by station and day, before the derived columns
     rows = clean.dedupe(hours.select(
         "station_id", "date_reported", "hora_dia", "num_bikes_available", "num_docks_available", "num_bikes_error",

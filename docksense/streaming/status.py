@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,18 +15,24 @@ from docksense.schemas import LIVE_STATUS
 from docksense.session import new_path
 
 
-def read_status_stream(spark: SparkSession, source: str | dict, start: str = "earliest",
+def read_status_stream(spark: SparkSession, source: str | dict, start: str | datetime = "earliest",
                        files_per_trigger: int | None = None) -> DataFrame:
-    """One text column ``value`` per message: files of a folder, or a broker given by its options."""
+    """One text column ``value`` per message: files of a folder, or a broker given by its options.
+
+    ``start`` is ``earliest``, ``latest`` (messages from now on), or for files a time: those written at it or before are
+    skipped by their modification time, without being read.
+    """
     if isinstance(source, dict):
         raw = spark.readStream.format("kafka").option("startingOffsets", start).options(**source).load()
         return raw.select(F.col("value").cast("string").alias("value"))
     reader = spark.readStream.format("text")
-    if start == "latest":
-        reader = reader.option("latestFirst", "true")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.load(source)
+    rows = reader.load(source)
+    if start != "earliest":
+        since = datetime.now(UTC) if start == "latest" else start
+        rows = rows.filter(F.col("_metadata.file_modification_time") > F.lit(since))
+    return rows
 
 
 def decode_status(messages: DataFrame, schema: T.StructType = LIVE_STATUS) -> DataFrame:

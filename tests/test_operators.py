@@ -237,3 +237,35 @@ def test_a_null_key_keeps_its_previous_row(spark):
         "last_reported_local", F.to_timestamp("t")).withColumn("file_date", F.to_date("last_reported_local"))
     got = {r["event_id"]: (r["num_bikes_available_lag"], r["bikes_returned"]) for r in windows.demand_from_lag(df).collect()}
     assert got[1] == got[3] == (5, 4) and got[0] == got[2] == (None, 0)
+
+
+def test_feed_files_to_demand_on_one_clock(spark):
+    # 10:05 and 10:40 local summer time are 08:05 and 08:40 UTC
+    start = int(dt.datetime(2024, 7, 1, 8, 5, tzinfo=dt.UTC).timestamp())
+    raw = [(7, 5, 3, 2, 9, start, 1), (7, 2, 1, 1, 12, start + 2100, 2), (7, 4, 2, 2, 10, start + 7200, 3), (7, 4, 2, 2, 10, start + 7200, 3)]
+    raw = spark.createDataFrame(
+        [(*r[:6], True, 1, 1, 1, "IN_SERVICE", start + r[6]) for r in raw],
+        "station_id int, num_bikes_available int, `num_bikes_available_types.mechanical` int, `num_bikes_available_types.ebike` int, "
+        "num_docks_available int, last_reported long, is_charging_station boolean, is_installed int, is_renting int, is_returning int, "
+        "status string, last_updated long")
+    readings = [{"data": "2024-07-01T08:30Z", "valor": 21.04}, {"data": "2024-07-01T10:00Z", "valor": 25.0}, {"data": "2024-07-01T10:30Z", "valor": 30.0}]
+    files = spark.createDataFrame([(1, readings)], "codi int, lectures array<struct<data:string,valor:double>>")
+    weather = demand.weather_series(temperatura=landing.weather_rows(files))
+    info = spark.createDataFrame([(7, 20)], "station_id int, capacity int")
+    holidays = spark.createDataFrame([(day("2024-07-02"),)], "data date")
+
+    def table(**how):
+        rows = demand.demand_dataset(demand.feed_readings(raw), info, holidays, weather, **how).orderBy("hora_dia").collect()
+        return [(r.hora_dia, r.num_bikes_available, r.total_bikes_taken, r.total_bikes_returned, r.temperatura, r.festivo) for r in rows]
+
+    assert table() == [(10, 2, 3, 0, 21.0, 0), (12, 4, 0, 2, 25.0, 0)]
+    assert [r[4] for r in table(as_reference=True)] == [30.0, None]
+
+
+def test_days_are_completed_to_24_hours(spark):
+    entry = "struct<hour:int,num_bikes_available:int,num_docks_available:int>"
+    docs = spark.createDataFrame([(1, [(3, 5, 1), (20, 9, 2)]), (2, [])], f"station_id int, status array<{entry}>")
+    got = {r.station_id: [s.num_bikes_available if s else None for s in r.status] for r in aggs.complete_days(docs).collect()}
+    assert got[1] == [5] * 20 + [9] * 4 and got[2] == [None] * 24
+    hours = aggs.complete_days(docs.filter("station_id = 1")).selectExpr("status.hour AS h").first().h
+    assert hours == list(range(24))

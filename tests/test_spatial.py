@@ -224,3 +224,37 @@ def test_propose_sites(spark):
     out = expansion.propose_sites(stations.limit(6), stations, layers, lane, box, step=100.0).collect()
     assert out and all(r["dist_bike_station"] > 200 and r["dist_bike_lanes"] < 60 for r in out)
     assert len({r["cluster"] for r in out}) == len(out)
+
+
+def segments(spark, ends):
+    rows = [([(float(a), float(b)), (float(c), float(d))],) for a, b, c, d in ends]
+    return spark.createDataFrame(rows, "path array<struct<x:double,y:double>>")
+
+
+def to_segments(p, s):
+    a, d = s[:, :2], s[:, 2:] - s[:, :2]
+    t = ((p[:, None, :] - a) * d).sum(axis=2) / np.maximum((d * d).sum(axis=1), 1e-300)
+    near = a + np.clip(t, 0, 1)[:, :, None] * d
+    return np.sqrt(((p[:, None, :] - near) ** 2).sum(axis=2)).min(axis=1)
+
+
+def test_long_segments_equal_brute_force(spark):
+    rng = np.random.default_rng(3)
+    p, s = rng.uniform(0, 1000, size=(200, 2)), rng.uniform(0, 1000, size=(300, 4))
+    s[0, 2:] = s[0, :2]  # a segment of one point
+    lines = segments(spark, s).union(segments(spark, [(0, 0, float("inf"), 5), (float("nan"), 1, 2, 3)]))
+    got = nearest.line_distance(points(spark, p), lines, "d", "id").orderBy("id").toPandas()
+    assert np.allclose(got.d.to_numpy(), to_segments(p, s), atol=1e-6)
+    none = nearest.line_distance(points(spark, p[:2]), lines.limit(0), "d", "id").collect()
+    assert [r.d for r in none] == [None, None]
+
+
+def test_candidates_per_point_stay_few_with_more_long_segments(spark):
+    rng = np.random.default_rng(4)
+    p = points(spark, rng.uniform(0, 1000, size=(100, 2)))
+    met = []
+    for n in (200, 2000):
+        seg = spark.createDataFrame(pd.DataFrame(rng.uniform(0, 1000, size=(n, 4)), columns=["sx1", "sy1", "sx2", "sy2"]))
+        pairs = nearest.candidates(p, ["x", "y"], nearest.short_pieces(seg), ["slox", "sloy"], ["shix", "shiy"])
+        met.append(pairs.count() / 100)
+    assert met[1] < 1.5 * met[0]  # of about 2 700 and 45 000 pieces

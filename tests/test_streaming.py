@@ -1,4 +1,5 @@
 import json
+import time
 
 from pyspark.sql import functions as F
 
@@ -78,3 +79,18 @@ def test_long_tours_come_back_in_order(spark):
     assert orders == [(1, i) for i in range(1, 12)] + [(2, i) for i in range(1, 5)]
     paths = {r["truck_id"]: r["path"] for r in route_stream.route_paths(decoded).collect()}
     assert {k: len(v) for k, v in paths.items()} == {1: 11, 2: 4} and paths[1][0] == paths[1][-1] == [2.0, 41.0]
+
+
+def test_files_before_the_start_are_skipped(spark, tmp_path):
+    feed = tmp_path / "feed"
+    feed.mkdir()
+    (feed / "a.json").write_text(message(1, 20, 200) + "\n")
+    mark = spark.read.text(str(feed)).agg(F.max("_metadata.file_modification_time")).first()[0]
+    time.sleep(0.05)
+    (feed / "b.json").write_text(message(2, 5, 150) + "\n")
+
+    def ids(name, start):
+        stream = live.decode_status(live.read_status_stream(spark, str(feed), start=start)).select("station_id")
+        return sorted(r.station_id for r in live.run_to_table(stream, str(tmp_path / name), str(tmp_path / f"{name}-at")).collect())
+
+    assert ids("all", "earliest") == [1, 2] and ids("late", mark) == [2] and ids("now", "latest") == []
