@@ -129,29 +129,29 @@ def lifespan(df: DataFrame, date: Column | str = "date_reported") -> DataFrame:
     return df.groupBy("station_id").agg(F.min(date).alias("creation_date"), F.max(date).alias("end_date"))
 
 
-def rank_thresholds(df: DataFrame, col: str, shares: tuple = (0.25, 0.60, 0.75)) -> DataFrame:
-    """One row: the value at 0-based position ``int(n * share)`` of the sorted column, per share.
+def rank_thresholds(df: DataFrame, col: str, shares: tuple = (0.25, 0.60, 0.75), by: list[str] = ()) -> DataFrame:
+    """Per group one row: the value at 0-based position ``int(n * share)`` of the sorted column, per share.
 
-    Works on the histogram. Counts that sum to N have at most about sqrt(2N) distinct values, which bounds the
-    single ordered task.
+    ``col`` is a count: the ranks are found on the histogram, and counts that sum to N have at most about sqrt(2N)
+    distinct values, which bounds the ordered task of a group. For other columns there is ``exact_quantiles``.
     """
-    hist = df.groupBy(F.col(col).alias("v")).agg(F.count("*").alias("f"))
+    hist = df.groupBy(*by, F.col(col).alias("v")).agg(F.count("*").alias("f"))
     upto = hist.withColumns({
-        "hi": F.sum("f").over(W.orderBy("v").rowsBetween(W.unboundedPreceding, 0)),
-        "n": F.sum("f").over(W.partitionBy(F.lit(0))),
+        "hi": F.sum("f").over(W.partitionBy(*by).orderBy("v").rowsBetween(W.unboundedPreceding, 0)),
+        "n": F.sum("f").over(W.partitionBy(*by)),
     })
     at = [F.floor(F.col("n") * F.lit(p)) for p in shares]
-    return upto.agg(*[F.min(F.when(F.col("hi") > a, F.col("v"))).alias(f"t{i}") for i, a in enumerate(at)])
+    return upto.groupBy(*by).agg(*[F.min(F.when(F.col("hi") > a, F.col("v"))).alias(f"t{i}") for i, a in enumerate(at)])
 
 
 def density_class(df: DataFrame, col: str = "count", out: str = "classification",
-                  shares: tuple = (0.25, 0.60, 0.75)) -> DataFrame:
-    """``low`` / ``medium`` / ``high`` / ``very_high`` by inclusive rank thresholds."""
-    t = rank_thresholds(df, col, shares)
-    low, high, very = (t.select(f"t{i}").scalar() for i in range(3))
-    v = F.col(col)
-    label = F.when(v <= low, "low").when(v <= high, "medium").when(v <= very, "high").otherwise("very_high")
-    return df.withColumn(out, label)
+                  shares: tuple = (0.25, 0.60, 0.75), by: list[str] = ()) -> DataFrame:
+    """``low`` / ``medium`` / ``high`` / ``very_high`` by inclusive rank thresholds, within each group of ``by``."""
+    limits = rank_thresholds(df, col, shares, by).select(*by, F.struct("t0", "t1", "t2").alias("_t"))
+    graded = df.join(limits, list(by)) if by else df.withColumn("_t", limits.scalar())
+    v, t = F.col(col), F.col("_t")
+    label = F.when(v <= t.t0, "low").when(v <= t.t1, "medium").when(v <= t.t2, "high").otherwise("very_high")
+    return graded.withColumn(out, label).drop("_t")
 
 
 def station_means(df: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -49,14 +50,22 @@ def count_points(areas: DataFrame, points: DataFrame, key: str, out: str = "coun
 
 
 def density_layers(areas: DataFrame, layers: dict[str, DataFrame], key: str) -> DataFrame:
-    """Count and class of each point layer per area, as structs ``<layer>{classification, count}``."""
+    """Count and class of each point layer per area, as structs ``<layer>{classification, count}``.
+
+    The points carry their layer's name, so that one join places all of them.
+    """
     from docksense.operators.aggs import density_class
 
-    out = areas
-    for name, points in layers.items():
-        graded = density_class(count_points(areas.select(key, "geometry"), points, key), "count")
-        out = out.join(graded.select(key, F.struct("classification", "count").alias(name)), key, "left")
-    return out
+    tagged = functools.reduce(DataFrame.unionByName, [
+        points.select(F.lit(name).alias("_layer"), "x", "y") for name, points in layers.items()])
+    hits = spatial_join_within(tagged, areas.select(key, "geometry"), boundary=True)
+    counts = hits.groupBy("_layer", key).agg(F.count("*").alias("count"))
+    every = areas.select(key, F.explode(F.array(*[F.lit(name) for name in layers])).alias("_layer"))
+    counted = every.join(counts, ["_layer", key], "left").withColumn("count", F.coalesce("count", F.lit(0).cast("bigint")))
+    graded = density_class(counted, "count", by=["_layer"])
+    value = F.struct("classification", "count")
+    wide = graded.groupBy(key).agg(*[F.max(F.when(F.col("_layer") == name, value)).alias(name) for name in layers])
+    return areas.join(wide, key, "left")
 
 
 def candidate_grid(spark, bounds: tuple[float, float, float, float], step: float) -> DataFrame:
