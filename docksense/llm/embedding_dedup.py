@@ -161,8 +161,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, tile_rows: int
     every = tiled.select(*key, "tile").distinct()
     reach = math.ceil(math.sqrt(max(0.0, 2 - 2 * threshold)) / STRIP)
     other = every.select("label", "d", F.col("strip").alias("strip2"), F.col("tile").alias("tile2"))
-    pairs = every.join(other, ["label", "d"]).filter(
-        f"strip2 - strip between 0 and {reach} and (strip2 > strip or tile2 >= tile)")
+    near = every.withColumn("strip2", F.explode(F.sequence(F.col("strip"), F.col("strip") + reach)))
+    pairs = near.join(other, ["label", "d", "strip2"]).filter("strip2 > strip or tile2 >= tile")
     pairs = cut_lineage(pairs.withColumn("pair", F.xxhash64("label", "d", "strip", "tile", "strip2", "tile2")))
     cols = ["pair", "side", "cls", "copies", "embedding", "axes_"]
     at = [*key, "tile"]

@@ -118,7 +118,7 @@ def mix_plan(docs: DataFrame) -> DataFrame:
     all blocks as often as it can and the first ones once more. So no document is taken more than twice, most are taken
     whole, and a source misses its target by a block or so. Null and blank texts have size 0 and nothing is taken.
     Repeated rows are documents each; null ids are ordered like 0. An empty table gives an empty table; other columns
-    are ignored. Shards have a few million words whatever a source holds.
+    are ignored. Shards have ``SHARD_WORDS`` words on average whatever a source holds.
     """
     # words are counted once: the counts are read for the sources' totals and again for the documents
     got = _planned(cut_lineage(_sized(docs.select("doc_id", "text", "source")).drop("text")))
@@ -168,8 +168,14 @@ b AS (SELECT g.*, (SELECT count(*) FROM q WHERE q.pos = g.pos AND r <= (SELECT n
 o AS (SELECT d.doc_id, d.size, b.*, ((coalesce(d.doc_id, 0) % {_PRIME} + {SEED}) % {_PRIME} + {_PRIME}) % {_PRIME} AS u0
       FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source),
 u AS (SELECT *, ((u0 * {_FACTOR}) % {_PRIME} * {_FACTOR} + {SEED}) % {_PRIME} AS u FROM o),
-x AS (SELECT *, sum(size) OVER (PARTITION BY pos ORDER BY u, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) - size AS start,
-        ceil(source_size / {BLOCK}.0) AS nb, least(blocks, ceil(source_size / {BLOCK}.0) * {EPOCHS}) AS quota FROM u)
+v AS (SELECT *, CAST(u % shards AS BIGINT) AS shard FROM u),
+h AS (SELECT pos, shard, sum(size) AS shard_size, max(blocks) AS blocks, max(source_size) AS whole, max(shards) AS shards_of FROM v GROUP BY pos, shard),
+hq AS (SELECT pos, shard, blocks, row_number() OVER (PARTITION BY pos ORDER BY shard_size / (s.s + 0.5) DESC, shard) AS r
+      FROM h, range(0, 1000000) AS s(s) WHERE shard_size > 0 AND s.s <= shard_size * blocks / whole + shards_of + 2),
+hb AS (SELECT h.*, ceil(shard_size / {BLOCK}.0) AS nb, least((SELECT count(*) FROM hq WHERE hq.pos = h.pos AND hq.shard = h.shard
+        AND r <= hq.blocks), ceil(shard_size / {BLOCK}.0) * {EPOCHS}) AS quota FROM h),
+x AS (SELECT v.*, nb, quota, sum(size) OVER (PARTITION BY v.pos, v.shard ORDER BY u, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING)
+        - size AS start FROM v JOIN hb ON hb.pos = v.pos AND hb.shard = v.shard)
 SELECT doc_id, size, source_size, target, CAST(CASE WHEN nb = 0 THEN 0 ELSE
   size * floor(quota / nb) + greatest(least((quota % nb) * {BLOCK} - start, size), 0) END AS BIGINT) AS taken FROM x
 """
