@@ -7,14 +7,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docksense.llm.common import components, usable
 from docksense.session import cut_lineage
 
-#: Vectors in a tile, on average; a task holds two tiles.
-TILE_ROWS = 1024
+#: Vectors in a tile, on average; a task holds two tiles and compares blocks of them.
+TILE_ROWS = 4096
+BLOCK_ROWS = 1024
 #: Width of the strips along the first principal axis.
 STRIP = 0.1
 #: Dimensions accumulated before the first and between later bounds.
@@ -96,31 +97,44 @@ def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         lab = new
 
 
+def _block_links(pa_: np.ndarray, pb: np.ndarray, a: pd.Series, b: pd.Series, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of two blocks (axes, original vectors) with cosine >= ``threshold``."""
+    i, j = linked_pairs(pa_, pb, threshold - _ROUNDING)
+    close = np.abs(np.einsum("ij,ij->i", pa_[i], pb[j]) - threshold) <= 2 * _ROUNDING
+    if close.any():  # at the limit the original vectors decide
+        x = np.stack([np.asarray(v, np.float64) for v in a.iloc[i[close]]])
+        y = np.stack([np.asarray(v, np.float64) for v in b.iloc[j[close]]])
+        cos = (x * y).sum(1) / np.sqrt((x * x).sum(1) * (y * y).sum(1))
+        keep = np.ones(len(i), bool)
+        keep[np.flatnonzero(close)[cos < threshold]] = False
+        i, j = i[keep], j[keep]
+    return i, j
+
+
 def _compare(threshold: float):
+    """Link counts and a spanning forest of two tiles, or of one with itself; pairs live for one block at a time."""
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b = pdf[pdf.side == 0], pdf[pdf.side == 1]
-        same = b.empty
-        if same:
-            b = a
-        pa_, pb = np.stack(a.axes_.to_list()), np.stack(b.axes_.to_list())
-        i, j = linked_pairs(pa_, pb, threshold - _ROUNDING)
-        if same:
-            i, j = i[i < j], j[i < j]
-        close = np.abs(np.einsum("ij,ij->i", pa_[i], pb[j]) - threshold) <= 2 * _ROUNDING
-        if close.any():  # at the limit the original vectors decide
-            x = np.stack([np.asarray(v, np.float64) for v in a.embedding.iloc[i[close]]])
-            y = np.stack([np.asarray(v, np.float64) for v in b.embedding.iloc[j[close]]])
-            cos = (x * y).sum(1) / np.sqrt((x * x).sum(1) * (y * y).sum(1))
-            keep = np.ones(len(i), bool)
-            keep[np.flatnonzero(close)[cos < threshold]] = False
-            i, j = i[keep], j[keep]
-        ids = np.r_[a.cls.to_numpy(), b.cls.to_numpy()] if not same else a.cls.to_numpy()
-        copies = np.r_[a.copies.to_numpy(), b.copies.to_numpy()] if not same else a.copies.to_numpy()
-        j = j if same else j + len(a)
-        links = np.zeros(len(ids), np.int64)
-        np.add.at(links, i, copies[j])
-        np.add.at(links, j, copies[i])
-        root = _roots(len(ids), i, j)
+        pdf = pdf.sort_values("side", kind="stable").reset_index(drop=True)
+        n, n_left = len(pdf), int((pdf.side == 0).sum())
+        same = n_left == n
+        x = np.stack(pdf.axes_.to_list())
+        ids, copies = pdf.cls.to_numpy(), pdf.copies.to_numpy()
+        links, trees = np.zeros(n, np.int64), []
+        for at in range(0, n_left, BLOCK_ROWS):
+            up = min(at + BLOCK_ROWS, n_left)
+            for to in range(at if same else n_left, n, BLOCK_ROWS):
+                end = min(to + BLOCK_ROWS, n)
+                i, j = _block_links(x[at:up], x[to:end], pdf.embedding.iloc[at:up], pdf.embedding.iloc[to:end], threshold)
+                i, j = i + at, j + to
+                if same and at == to:
+                    i, j = i[i < j], j[i < j]
+                np.add.at(links, i, copies[j])
+                np.add.at(links, j, copies[i])
+                root = _roots(n, i, j)
+                child = np.flatnonzero(root != np.arange(n))
+                trees.append((child, root[child]))
+        root = _roots(n, np.concatenate([c for c, _ in trees]), np.concatenate([r for _, r in trees]))
         some = links > 0
         return pd.DataFrame({"cls": ids[some], "links": links[some], "root": ids[root[some]]})
 
@@ -137,8 +151,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, tile_rows: int
     count as copies). An empty table gives an empty table; other columns are ignored.
 
     Classes lie in strips along the first principal axis; two unit vectors that far apart in one coordinate cannot
-    reach the cosine, so only near strips meet. A strip is cut into tiles by a hash, whatever it holds. A task compares
-    two tiles and returns link counts and a spanning forest, never the pairs.
+    reach the cosine, so only near strips meet. Tiles follow the axis: thin neighbouring strips share one, full strips
+    are cut by a hash, whatever they hold. A task compares two tiles, block by block, and returns link counts and a
+    spanning forest, never the pairs.
     """
     rows = vectors.select("vec_id", "embedding", "label", (F.col("vec_id").isNotNull() & F.col("label").isNotNull()
                                                             & usable("embedding")).alias("ok"))
@@ -154,21 +169,29 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, tile_rows: int
 
     placed = cut_lineage(classes.mapInPandas(
         project, classes.schema.simpleString()[7:-1] + ", d int, strip int, axes_ array<double>"))
-    key = ["label", "d", "strip"]
-    tiles = placed.groupBy(*key).count().select(*key, F.ceil(F.col("count") / tile_rows).cast("int").alias("n"))
-    tiled = cut_lineage(placed.join(tiles, key).withColumn(
-        "tile", F.pmod(F.xxhash64("cls"), F.col("n")).cast("int")).drop("n"))
-    every = tiled.select(*key, "tile").distinct()
+    # neighbouring strips share a tile until it is full, fuller ones are cut by a hash
+    by = Window.partitionBy("label", "d").orderBy("strip")
+    counts = placed.groupBy("label", "d", "strip").count()
+    before = F.coalesce(F.sum("count").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    strips = cut_lineage(counts.withColumn("range", F.floor(before / tile_rows).cast("int")))
+    key = ["label", "d", "range"]
+    ranges = strips.groupBy(*key).agg(F.min("strip").alias("low"), F.max("strip").alias("high"),
+                                      F.ceil(F.sum("count") / tile_rows).cast("int").alias("n"))
+    tiled = cut_lineage(placed.join(strips.drop("count"), ["label", "d", "strip"]).join(ranges, key).withColumn(
+        "tile", F.pmod(F.xxhash64("cls"), F.col("n")).cast("int")).drop("n", "low", "high"))
     reach = math.ceil(math.sqrt(max(0.0, 2 - 2 * threshold)) / STRIP)
-    other = every.select("label", "d", F.col("strip").alias("strip2"), F.col("tile").alias("tile2"))
-    near = every.withColumn("strip2", F.explode(F.sequence(F.col("strip"), F.col("strip") + reach)))
-    pairs = near.join(other, ["label", "d", "strip2"]).filter("strip2 > strip or tile2 >= tile")
-    pairs = cut_lineage(pairs.withColumn("pair", F.xxhash64("label", "d", "strip", "tile", "strip2", "tile2")))
+    near = ranges.withColumn("strip", F.explode(F.sequence(F.col("low"), F.col("high") + reach)))
+    near = near.join(strips.select("label", "d", "strip", F.col("range").alias("range2")), ["label", "d", "strip"])
+    near = near.filter("range2 >= range").select(*key, "range2").distinct()
+    every = tiled.select(*key, "tile").distinct()
+    other = every.withColumnsRenamed({"range": "range2", "tile": "tile2"})
+    pairs = near.join(every, key).join(other, ["label", "d", "range2"]).filter("range2 > range or tile2 >= tile")
+    pairs = cut_lineage(pairs.withColumn("pair", F.xxhash64("label", "d", "range", "tile", "range2", "tile2")))
     cols = ["pair", "side", "cls", "copies", "embedding", "axes_"]
     at = [*key, "tile"]
     left = tiled.join(pairs.select(*at, "pair"), at).withColumn("side", F.lit(0)).select(*cols)
-    twin = pairs.filter("strip2 <> strip or tile2 <> tile").select(
-        "label", "d", F.col("strip2").alias("strip"), F.col("tile2").alias("tile"), "pair")
+    twin = pairs.filter("range2 <> range or tile2 <> tile").select(
+        "label", "d", F.col("range2").alias("range"), F.col("tile2").alias("tile"), "pair")
     right = tiled.join(twin, at).withColumn("side", F.lit(1)).select(*cols)
     found = cut_lineage(left.union(right).groupBy("pair").applyInPandas(
         _compare(threshold), "cls long, links long, root long"))

@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from docksense.llm import ann
@@ -70,6 +71,33 @@ def test_links_of_nothing(spark):
     assert {tuple(r) for r in near_duplicates(odd).collect()} == {(None, 0, None, False), (3, 0, 3, True)}
 
 
+@pytest.mark.parametrize("two", [False, True])
+def test_blocks_of_a_tile_give_all_links(monkeypatch, two):
+    from docksense.llm import embedding_dedup
+
+    monkeypatch.setattr(embedding_dedup, "BLOCK_ROWS", 7)
+    rng = np.random.default_rng(5)
+    x = np.repeat(rng.standard_normal((20, 12)), 3, axis=0) + 0.15 * rng.standard_normal((60, 12))
+    x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+    side = rng.integers(0, 2, 60) if two else np.zeros(60, int)
+    copies = rng.integers(1, 4, 60)
+    pdf = pd.DataFrame({"pair": 1, "side": side, "cls": np.arange(60), "copies": copies, "embedding": list(x), "axes_": list(x)})
+    near = (x @ x.T >= 0.93) & ~np.eye(60, dtype=bool)
+    if two:
+        near &= side[:, None] != side[None, :]
+    links = near @ copies
+    got = embedding_dedup._compare(0.93)(pdf).set_index("cls")
+    assert near.any() and got.links.to_dict() == {int(k): int(links[k]) for k in np.flatnonzero(links)}
+    root = np.arange(60)
+    while True:
+        new = np.array([min([root[k], *root[near[k]]]) for k in range(60)])
+        if (new == root).all():
+            break
+        root = new
+    a, b = got.root.to_dict(), {int(k): int(root[k]) for k in np.flatnonzero(links)}
+    assert all((a[k] == a[m]) == (b[k] == b[m]) for k in b for m in b)
+
+
 def test_bounds_drop_no_pair():
     rng = np.random.default_rng(0)
     x = rng.standard_normal((300, 20)) * np.linspace(3, 0.1, 20)
