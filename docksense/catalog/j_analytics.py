@@ -31,7 +31,7 @@ def demand_table(d):
 
 def prepared(d):
     # the series has no wind readings, which leaves nothing to average
-    return clean.fill_constant(demand.preprocess(cut_lineage(demand_table(d)), None, None, "2024-01-25", 20), {"viento": 0.0})
+    return clean.fill_constant(demand.preprocess(demand_table(d), None, None, "2024-01-25", 20), {"viento": 0.0})
 
 
 def train_test(d):
@@ -104,7 +104,25 @@ def _(d):
     return density.dbscan(poi_points(d), 400.0, 4).select("point_id", "cluster")
 
 
-@query("j09_dbscan_sweep")
+@query("j09_dbscan_sweep", f"""
+WITH RECURSIVE p AS MATERIALIZED (SELECT CAST(poi_id AS BIGINT) AS id, x, y FROM {PLANE.format(v='v_poi')}),
+pairs AS MATERIALIZED (SELECT a.id AS a, b.id AS b, sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2)) AS d
+  FROM p a JOIN p b ON b.x BETWEEN a.x - 500 AND a.x + 500 AND b.y BETWEEN a.y - 500 AND a.y + 500),
+settings AS (SELECT CAST(e AS DOUBLE) AS eps, CAST(m AS INT) AS m FROM range(100, 501, 100) AS r(e), range(2, 6) AS q(m)),
+near AS MATERIALIZED (SELECT eps, m, a, b FROM settings JOIN pairs ON d <= eps),
+core AS MATERIALIZED (SELECT eps, m, a AS id FROM near GROUP BY ALL HAVING COUNT(*) >= m),
+edges AS MATERIALIZED (SELECT near.* FROM near JOIN core x ON x.eps = near.eps AND x.m = near.m AND x.id = a
+  JOIN core y ON y.eps = near.eps AND y.m = near.m AND y.id = b),
+named(eps, m, id, cluster) USING KEY (eps, m, id) AS (
+  SELECT eps, m, id, id FROM core
+  UNION
+  SELECT e.eps, e.m, e.b, MIN(n.cluster) FROM named n JOIN edges e ON e.eps = n.eps AND e.m = n.m AND e.a = n.id
+  JOIN recurring.named o ON o.eps = e.eps AND o.m = e.m AND o.id = e.b WHERE n.cluster < o.cluster GROUP BY 1, 2, 3),
+found AS (SELECT eps, m, COUNT(DISTINCT cluster) AS clusters FROM named GROUP BY 1, 2),
+inside AS (SELECT near.eps, near.m, COUNT(DISTINCT a) AS n FROM near JOIN core ON core.eps = near.eps AND core.m = near.m AND core.id = b GROUP BY 1, 2)
+SELECT s.eps, s.m AS min_samples, COALESCE(clusters, 0) AS clusters, total - COALESCE(n, 0) AS noise,
+  COALESCE(clusters, 0) - (total - COALESCE(n, 0)) / total AS score
+FROM settings s LEFT JOIN found USING (eps, m) LEFT JOIN inside USING (eps, m), (SELECT COUNT(*) AS total FROM p)""")
 def _(d):
     return density.tune_dbscan(poi_points(d), [100.0, 200.0, 300.0, 400.0, 500.0], [2, 3, 4, 5]).select("eps", "min_samples", "clusters", "noise", "score")
 
@@ -201,7 +219,7 @@ SELECT station_id, {day('gd')} AS d, gh AS hora_dia, {ts('hour_ts')} AS last_rep
   round(COALESCE(temperatura, {_mean('temperatura')}), 6) AS temperatura
 FROM u""")
 def _(d):
-    out = demand.preprocess(cut_lineage(demand_table(d)), None, None, "2024-01-25", 20)
+    out = demand.preprocess(demand_table(d), None, None, "2024-01-25", 20)
     return out.select(
         "station_id", F.make_date("year", "month", "day").alias("d"), "hora_dia", "last_reported_local", "status_station", "festivo", "weekday",
         "num_bikes_error", "laborable", "hora_info", "season", "num_bikes_available", "num_docks_available", "total_bikes_taken",

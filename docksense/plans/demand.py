@@ -5,11 +5,13 @@ from __future__ import annotations
 import functools
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docksense.functions import calendar as cal
 from docksense.functions.status import bikes_error
 from docksense.operators import clean, joins, windows
+from docksense.session import cut_lineage
 
 KEYS = ["station_id", "date_reported", "hora_dia"]
 INT_GAPS = ["num_bikes_available", "num_docks_available", "total_bikes_taken", "total_bikes_returned", "humedad"]
@@ -51,29 +53,34 @@ def weather_series(**rows: DataFrame) -> DataFrame:
 
 def status_variables(status: DataFrame, info: DataFrame | None, holidays: DataFrame, weather: DataFrame,
                      as_reference: bool = False) -> DataFrame:
-    """Readings with capacity, calendar, unusable slots, demand against the previous reading and weather."""
+    """Readings with capacity, calendar, unusable slots and weather."""
     df = joins.join_capacity(status, info)
-    df = joins.join_calendar(df, holidays)
-    df = df.withColumns({"file_date": F.col("date_reported"), "num_bikes_error": bikes_error()})
-    df = windows.demand_from_lag(df)
+    df = joins.join_calendar(df, holidays).withColumn("num_bikes_error", bikes_error())
     return joins.weather_struct(joins.join_bucketed(df, weather, joins.weather_clock(df, as_reference)))
 
 
-def hourly_rows(variables: DataFrame) -> DataFrame:
-    """Last reading of each station hour (ties kept) with the hour's demand, for days with more than one entry."""
-    hours = windows.last_in_group(
-        variables, KEYS, "last_reported_local",
-        {"total_bikes_taken": "bikes_taken", "total_bikes_returned": "bikes_returned"},
-    )
-    busy = hours.groupBy("station_id", "date_reported").agg(F.count("*").alias("_n")).filter(F.col("_n") > 1)
-    return hours.join(busy.select("station_id", "date_reported"), ["station_id", "date_reported"], "left_semi")
+def hourly_rows(status: DataFrame) -> DataFrame:
+    """Last reading of each station hour (ties kept) with the hour's demand, for days with more than one entry.
+
+    Demand is the difference to the previous reading of the station's day. All windows share one shuffle by station and
+    day: a station's day holds what the feed polls in a day, so no group grows with the data.
+    """
+    day, hour = W.partitionBy("station_id", "date_reported"), W.partitionBy(*KEYS)
+    bikes = F.col("num_bikes_available")
+    rows = status.withColumn("_diff", bikes - F.lag(bikes).over(day.orderBy("last_reported_local", "event_id")))
+    demand = {"total_bikes_taken": F.greatest(-F.col("_diff"), F.lit(0)), "total_bikes_returned": F.greatest("_diff", F.lit(0))}
+    # a reading without a predecessor, or without a count, adds nothing
+    sums = {c: F.sum(F.when(F.col("_diff").isNotNull(), v).otherwise(0)).over(hour).cast("int") for c, v in demand.items()}
+    rows = rows.withColumns({**sums, "_newest": F.rank().over(hour.orderBy(F.desc("last_reported_local")))})
+    last = rows.filter("_newest = 1").withColumn("_entries", F.count("*").over(day))
+    return last.filter("_entries > 1").drop("_diff", "_newest", "_entries")
 
 
 def demand_dataset(status: DataFrame, info: DataFrame | None, holidays: DataFrame, weather: DataFrame,
                    as_reference: bool = False) -> DataFrame:
-    """The flat hourly demand table."""
-    hours = hourly_rows(status_variables(status, info, holidays, weather, as_reference))
-    # rows are dropped while still partitioned by station and day, before the derived columns
+    """The flat hourly demand table; attributes, calendar and weather meet the hours, not the readings."""
+    hours = status_variables(hourly_rows(status), info, holidays, weather, as_reference)
+    # equal rows meet while still partitioned by station and day, before the derived columns
     rows = clean.dedupe(hours.select(
         "station_id", "date_reported", "hora_dia", "num_bikes_available", "num_docks_available", "num_bikes_error",
         "total_bikes_taken", "total_bikes_returned", F.col("status").alias("status_station"), "festivo", "weekday",
@@ -121,7 +128,8 @@ def fill_gaps(full: DataFrame, facts: DataFrame | None = None) -> DataFrame:
 
 
 def preprocess(demand: DataFrame, first: str | None, last: str | None, cutoff: str, min_days: int = 365) -> DataFrame:
-    """Completed, filtered and filled demand table."""
+    """Completed, filtered and filled demand table. The demand table is written once, since three steps read it."""
+    demand = cut_lineage(demand)
     if first is not None or last is not None:
         known = clean.between_dates(demand.withColumn("_d", F.make_date("year", "month", "day")), "_d",
                                     first or "0001-01-01", last or "9999-12-31").drop("_d")

@@ -49,3 +49,9 @@ def test_density_layers_take_one_spatial_join(spark, sf_dir):
     assert windows and all("windowspecdefinition(_layer" in w for w in windows)
     # the areas' levels and the spatial join, each with the three layers
     assert text.count("scalar-subquery") <= 2 and text.count("Relation [") <= 13
+
+
+def test_demand_reads_the_status_once(spark, sf_dir):
+    text = entry_module.queries()["j13_demand_dataset"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    # status and weather come from one table, calendar and stations from one each
+    assert text.count("Relation [") <= 5
