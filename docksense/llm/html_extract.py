@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from docksense.session import cut_lineage
 
 #: A text is template if at least this share of a host's different pages that have the slot show it there, and there
-#: are at least so many. Pages with one main text count once, so copies of an article do not make it a template.
+#: are at least two to compare. Pages with one main text count once, so copies of an article do not make it a template.
 CONSTANT_SHARE = 0.9
-LEAST_PAGES = 5
+LEAST_PAGES = 2
 #: Elements nested deeper are taken as children of the one at this depth.
 MAX_DEPTH = 150
 OUTLINE = "skeleton string, n int, nodes array<int>, texts array<long>, main long"

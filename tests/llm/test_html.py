@@ -52,6 +52,17 @@ def test_constant_blocks_are_template(spark):
     assert extract(df.limit(0)).count() == 0
 
 
+def test_small_hosts_have_templates(spark):
+    # an unmarked block that is the same on all pages of a host of 2 and of 3; one page alone shows no constant
+    page = "<body><div class=post><h1>Title {i}</h1><p>Text {i}.</p></div><div class=box><p>Join our club.</p></div></body>"
+    hosts = {"one": [0], "two": [1, 2], "three": [3, 4, 5]}
+    rows = [(i, f"http://{name}.example/{i}", page.format(i=i)) for name, ids in hosts.items() for i in ids]
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[0] == "Title 0\n\nText 0.\n\nJoin our club."
+    for i in range(1, 6):
+        assert got[i] == f"Title {i}\n\nText {i}."
+
+
 def test_tree_matching():
     a = Page("<body><nav>x</nav><div class=m><h1>t</h1><p>a</p></div><footer>f</footer></body>").skeleton()
     b = Page("<body><div class=m><p>a</p><h1>t</h1></div><aside>s</aside><footer>f</footer></body>").skeleton()
