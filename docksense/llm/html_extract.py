@@ -43,10 +43,13 @@ NOT_MAIN_WORDS = {
     "pager", "pagination", "popup", "promo", "recommended", "related", "replies", "respond", "search", "share", "sharing",
     "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "tags", "toolbar", "topbar", "widget",
 }
+#: The attributes that are read.
+ATTRIBUTES = {"class", "id", "role", "hidden", "aria-hidden", "itemprop"}
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>"
     r"|<[!?/][^>]*+(?:>|\Z)|<[a-zA-Z][^>]*+\Z", re.S)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|itemprop)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+#: One attribute: name, then a quoted (to the end, if the quote stays open) or bare value, or none.
+_ATTRIBUTE = re.compile(r"([^\s/>=]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"?|'([^']*+)'?|([^\s>]++)))?")
 _RAW_END = {name: re.compile(rf"</{name}\b[^>]*>?", re.I) for name in RAW}
 
 
@@ -165,6 +168,8 @@ class Page:
         if attributes:
             for m in _ATTRIBUTE.finditer(attributes):
                 key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+                if key not in ATTRIBUTES:
+                    continue
                 if key == "role":
                     out |= value in NOT_MAIN_ROLES
                     article |= value in ("main", "article")

@@ -63,6 +63,17 @@ def test_small_hosts_have_templates(spark):
         assert got[i] == f"Title {i}\n\nText {i}."
 
 
+def test_attribute_names_are_exact():
+    # words in quoted values, in addresses and in data-* names are no attributes
+    for kept in ('<div style="overflow:hidden">text</div>', '<div title="the hidden valley">text</div>',
+                 '<div data-id="comment-12">text</div>', '<div><a href="/a?id=login">text</a></div>',
+                 "<div data-role=navigation x-hidden data-class='sidebar'>text</div>", '<div title = "a id=login hidden>text</div>'):
+        assert [t for _, t in Page(kept).candidates()] == ["text"], kept
+    for dropped in ("<div hidden>text</div>", '<div title="x"HIDDEN=""class=a>text</div>', "<div id = 'comments'>text</div>",
+                    '<div style="a:b" role=navigation>text</div>', "<p><a href=/a?b=c aria-hidden=true>text</a></p>"):
+        assert Page(dropped).candidates() == [], dropped
+
+
 def test_tree_matching():
     a = Page("<body><nav>x</nav><div class=m><h1>t</h1><p>a</p></div><footer>f</footer></body>").skeleton()
     b = Page("<body><div class=m><p>a</p><h1>t</h1></div><aside>s</aside><footer>f</footer></body>").skeleton()
