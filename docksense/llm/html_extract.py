@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -33,7 +34,7 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 #: An open paragraph does not end through these.
 SCOPES = {"html", "body", "article", "main", "section", "div", "td", "th", "li", "blockquote", "aside", "nav", "header",
           "footer", "form", "table", "ul", "ol", "dl", "figure", "button", "dd", "caption"}
-#: Elements, roles, and words of a class or id, that are never main text.
+#: Elements and roles that are never main text, and words of a class or id that speak against it.
 NOT_MAIN = {"head", "nav", "footer", "aside", "form", "menu", "button", "select", "dialog", "input"}
 NOT_MAIN_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu"}
 NOT_MAIN_WORDS = {
@@ -43,6 +44,13 @@ NOT_MAIN_WORDS = {
     "pager", "pagination", "popup", "promo", "recommended", "related", "replies", "respond", "search", "share", "sharing",
     "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "tags", "toolbar", "topbar", "widget",
 }
+#: Of these, what readers write: the words hold however much text there is.
+READERS = {"comment", "comments", "disqus", "replies", "respond"}
+#: With one of these beside it, a word names what is laid out in an element, and "header" that of the text.
+LAYOUT = {"body", "container", "content", "inner", "layout", "main", "page", "wrap", "wrapper"}
+HEADED = {"article", "content", "entry", "headline", "page", "post", "story", "title"}
+#: First words of a class name that tells what an element has, not what it is.
+STATES = {"has", "hide", "no", "with", "without"}
 #: The attributes that are read.
 ATTRIBUTES = {"class", "id", "role", "hidden", "aria-hidden", "itemprop"}
 _TOKEN = re.compile(
@@ -57,14 +65,16 @@ class Page:
     """Blocks of text with their place in the page's skeleton.
 
     The skeleton is the tree of block elements; siblings with one label (name, first class word without digits) are one
-    node. ``labels`` and ``parents`` list its nodes in order of appearance. A block is (node, text, whether it may be
-    main text, whether it lies in an article).
+    node. ``labels`` and ``parents`` list its nodes in order of appearance. A block is (node, text, elements around it);
+    of these only articles and doubtful elements count, those whose class or id has a word of NOT_MAIN_WORDS. ``kinds``
+    holds the kind of each: article, layout, readers or other.
     """
 
     def __init__(self, source: str) -> None:
         self.labels, self.parents = [""], [-1]
         self.index: dict[tuple[int, str], int] = {}
-        self.blocks: list[tuple[int, str, bool, bool]] = []
+        self.blocks: list[tuple[int, str, tuple[int, ...]]] = []
+        self.kinds: list[str] = []
         self._parse(source)
 
     def _node(self, parent: int, label: str) -> int:
@@ -76,17 +86,17 @@ class Page:
             self.parents.append(parent)
         return node
 
-    def _flush(self, text: list[str], stack: list[tuple[str, int, bool, bool]]) -> None:
+    def _flush(self, text: list[str], stack: list[tuple[str, int, bool, tuple[int, ...]]]) -> None:
         if text:
             block = " ".join(html.unescape("".join(text)).split())
             text.clear()
-            if block:
-                _, node, main, inside = stack[-1]
-                self.blocks.append((node, block, main, inside))
+            _, node, main, around = stack[-1]
+            if block and main:
+                self.blocks.append((node, block, around))
 
     def _parse(self, source: str) -> None:
-        # (name, skeleton node, may be main text, in an article); inline elements are not on the stack
-        stack: list[tuple[str, int, bool, bool]] = [("", 0, True, False)]
+        # (name, skeleton node, may be main text, articles and doubtful elements); inline elements are not on the stack
+        stack: list[tuple[str, int, bool, tuple[int, ...]]] = [("", 0, True, ())]
         hidden: list[tuple[str, int]] = []  # open inline elements that are not main text: name, depth
         text: list[str] = []
         at, end = 0, len(source)
@@ -125,7 +135,7 @@ class Page:
             if name in INLINE:
                 if name == "br":
                     text.append(" ")
-                elif name not in VOID and (hidden and hidden[-1][0] == name or self._role(name, attributes)[1]):
+                elif name not in VOID and (hidden and hidden[-1][0] == name or self._speaks_against(name, attributes)):
                     hidden.append((name, len(stack)))
                 continue
             self._flush(text, stack)
@@ -133,18 +143,27 @@ class Page:
             hidden = [h for h in hidden if h[1] <= len(stack)]
             if name in VOID:
                 continue
-            word, out, article = self._role(name, attributes)
-            _, parent, main, inside = stack[-1]
+            word, out, article, doubt = self._role(name, attributes)
+            _, parent, main, around = stack[-1]
+            inside = any(self.kinds[i] == "article" for i in around)
             if name == "header" and inside:
                 out = False
             if name in ("html", "body", "article", "main"):
-                out = False
+                # a reader's article among those of readers is not the page's
+                own = doubt == "readers" and any(self.kinds[i] == "readers" for i in around)
+                out, doubt, article = False, "readers" if own else "", article and not own
+            if doubt == "header":
+                doubt = "" if inside else "other"
             node = parent if len(stack) > MAX_DEPTH else self._node(parent, name + word)
-            stack.append((name, node, main and not out, inside or article))
+            for kind in (doubt, "article" if article else ""):
+                if kind and main and not out:
+                    around = (*around, len(self.kinds))
+                    self.kinds.append(kind)
+            stack.append((name, node, main and not out, around))
         self._flush(text, stack)
 
     @staticmethod
-    def _end_open(name: str, stack: list[tuple[str, int, bool, bool]]) -> None:
+    def _end_open(name: str, stack: list[tuple[str, int, bool, tuple[int, ...]]]) -> None:
         ends = CLOSES.get(name)
         if ends:
             for depth in range(len(stack) - 1, 0, -1):
@@ -162,9 +181,26 @@ class Page:
                 return
 
     @staticmethod
-    def _role(name: str, attributes: str) -> tuple[str, bool, bool]:
-        """Label's second part, whether the element is no main text, whether it is an article."""
-        out, article, label = name in NOT_MAIN or name == "header", name in ("article", "main"), ""
+    def _doubt(value: str) -> str:
+        """What a class or id says against an element: readers, other, header, layout, or nothing; the first that holds."""
+        found = set()
+        for name in value.split():
+            words = re.findall("[a-z]+", name)
+            against = NOT_MAIN_WORDS.intersection(words)
+            if not against or words[0] in STATES:
+                continue
+            if not READERS.isdisjoint(against):
+                found.add("readers")
+            elif against == {"header"}:
+                found.add("" if not HEADED.isdisjoint(words) else "header")
+            else:
+                found.add("layout" if not LAYOUT.isdisjoint(words) else "other")
+        return next((x for x in ("readers", "other", "header", "layout") if x in found), "")
+
+    @classmethod
+    def _role(cls, name: str, attributes: str) -> tuple[str, bool, bool, str]:
+        """Label's second part, whether the element is no main text, whether it is an article, what its names say."""
+        out, article, label, names = name in NOT_MAIN or name == "header", name in ("article", "main"), "", []
         if attributes:
             for m in _ATTRIBUTE.finditer(attributes):
                 key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
@@ -181,22 +217,59 @@ class Page:
                 elif key == "aria-hidden":
                     out |= value == "true"
                 else:
+                    names.append(value)
                     words = re.findall("[a-z]+", value)
-                    out |= not NOT_MAIN_WORDS.isdisjoint(words)
                     if key == "class" and words and not label:
                         label = "." + words[0]
-        return label, out, article
+        return label, out, article, cls._doubt(" ".join(names)) if names else ""
+
+    @classmethod
+    def _speaks_against(cls, name: str, attributes: str) -> bool:
+        """Whether an inline element is no main text."""
+        _, out, _, doubt = cls._role(name, attributes)
+        return out or doubt != ""
 
     def skeleton(self) -> str:
         """Label and parent of each node, a line each."""
         return "\n".join(f"{p} {x}" for p, x in zip(self.parents[1:], self.labels[1:]))
 
-    def candidates(self) -> list[tuple[int, str]]:
-        """Blocks that may be main text: those in articles if the page has any, else all that are not ruled out."""
-        own = [(n, t, inside) for n, t, main, inside in self.blocks if main]
-        if any(inside for *_, inside in own):
-            own = [b for b in own if b[2]]
-        return [(n, t) for n, t, _ in own]
+    def candidates(self, blocks: list[tuple[int, str, tuple[int, ...]]] | None = None) -> list[tuple[int, str]]:
+        """Those of the blocks (all, if none are given) that are main text by their place and share of the text.
+
+        The article is the outermost one with most text, of those outside of readers' elements if there are any, and counts
+        if it holds at least as much text as lies outside of articles and doubtful elements. Then only articles are main
+        text, and doubtful elements around the article or around half of it are none. Without one, doubtful elements around
+        half of the text are none. Readers' elements are only cleared around the article.
+        """
+        blocks = self.blocks if blocks is None else blocks
+        kinds = self.kinds
+        if not kinds:
+            return [(n, t) for n, t, _ in blocks]
+        articles: Counter[int] = Counter()
+        free = 0
+        for _, text, around in blocks:
+            first = next((i for i in around if kinds[i] == "article"), None)
+            if first is not None:
+                articles[first] += len(text)
+            elif all(kinds[i] == "layout" for i in around):
+                free += len(text)
+        over = {i: around[:around.index(i)] for _, _, around in blocks for i in around if i in articles}
+        clean = [i for i in articles if all(kinds[j] != "readers" for j in over[i])]
+        best = max(clean or articles, key=lambda i: articles[i], default=None)
+        if best is not None and articles[best] >= free:
+            core = [b for b in blocks if best in b[2]]
+            cleared = set(over[best])
+            own = [b for b in blocks if any(kinds[i] == "article" for i in b[2])]
+        else:
+            own = core = [b for b in blocks if all(kinds[i] != "readers" for i in b[2])]
+            cleared = set()
+        held: Counter[int] = Counter()
+        for _, text, around in core:
+            for i in around:
+                held[i] += len(text)
+        half = sum(len(t) for _, t, _ in core) / 2
+        cleared.update(i for i, n in held.items() if n >= half and kinds[i] != "readers")
+        return [(n, t) for n, t, around in own if all(kinds[i] == "article" or i in cleared for i in around)]
 
 
 def _tree(skeleton: str) -> tuple[list[str], list[list[int]]]:
@@ -265,14 +338,14 @@ def text_hash(text: str) -> int:
 
 
 def outline(pages: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    """Skeleton of a page, node and hash of each candidate block, and the hash of them all."""
+    """Skeleton of a page, node and hash of each block, and the hash of its main text."""
     for sources in pages:
         out = []
         for source in sources:
             page = Page(source or "")
-            own = page.candidates()
-            hashes = [text_hash(t) for _, t in own]
-            out.append((page.skeleton(), len(page.labels), [n for n, _ in own], hashes, text_hash(repr(hashes))))
+            main = [text_hash(t) for _, t in page.candidates()]
+            nodes, texts = [n for n, _, _ in page.blocks], [text_hash(t) for _, t, _ in page.blocks]
+            out.append((page.skeleton(), len(page.labels), nodes, texts, text_hash(repr(main))))
         yield pd.DataFrame(out, columns=["skeleton", "n", "nodes", "texts", "main"])
 
 
@@ -282,17 +355,17 @@ def aligned(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]
 
 
 def content(rows: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    """Candidate blocks of a page whose text is not the constant of their slot."""
+    """Main text of a page, chosen from the blocks whose text is not the constant of their slot."""
     for sources, references, constants in rows:
         out = []
         for source, reference, constant in zip(sources, references, constants):
             page = Page(source or "")
-            own = page.candidates()
+            own = page.blocks
             if constant is not None and len(constant):
                 known = set(constant)
                 slot = slots(page.skeleton(), reference or "")
-                own = [(n, t) for n, t in own if f"{slot[n]}={text_hash(t)}" not in known]
-            out.append("\n\n".join(t for _, t in own))
+                own = [b for b in own if f"{slot[b[0]]}={text_hash(b[1])}" not in known]
+            out.append("\n\n".join(t for _, t in page.candidates(own)))
         yield pd.Series(out, dtype=object)
 
 
@@ -326,9 +399,11 @@ def wrappers(pages: DataFrame, share: float = CONSTANT_SHARE, least: int = LEAST
 def extract(pages: DataFrame) -> DataFrame:
     """One row per page: page_id, url, text, n_chars.
 
-    Blocks of menus, headers, footers, sidebars, notices, adverts, forms and reader comments are ruled out by element,
-    role or class; if a page has articles, only their blocks are candidates. A candidate whose text is constant in its
-    slot over the pages of the host is template and goes; the rest is content, in page order, joined by blank lines.
+    Blocks of menus, headers, footers, sidebars, notices, adverts, forms and reader comments are ruled out by element or
+    role. A block whose text is constant in its slot over the pages of the host is template and goes. Of what varies,
+    articles are content if one holds as much text as lies outside, else all of it; elements whose class or id speaks
+    against them are none, unless they are wrappers, around the article or most of the text (see ``Page.candidates``). Content is
+    in page order, joined by blank lines.
     Scripts, styles and markup never count; character references are decoded; white space in a block is one blank. Null
     and empty pages have an empty text; broken markup is read as far as it goes. Pages without a host form one group.
     Repeated rows are extracted each. An empty table gives an empty table; other columns are ignored. Pages are not

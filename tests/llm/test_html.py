@@ -74,6 +74,44 @@ def test_attribute_names_are_exact():
         assert Page(dropped).candidates() == [], dropped
 
 
+def texts(source):
+    return [t for _, t in Page(source).candidates()]
+
+
+def test_wrappers_keep_the_article():
+    article = "<article><div class=\"article-header\"><h1>Headline</h1></div><p>Story of the day.</p></article>"
+    for wrapper in ("content-sidebar-wrap", "layout has-sidebar", "sidebar", "page-header-wrap", "has-comments", "comments-open"):
+        aside = "<div class=sidebar><p>Much longer text beside the story, of no use to it at all.</p></div>"
+        for inside, outside in ((aside, ""), ("", aside)):
+            assert texts(f'<body><div class="{wrapper}">{article}{inside}</div>{outside}</body>') == ["Headline", "Story of the day."], wrapper
+    # without an article, an element around most of the text is a wrapper
+    plain = '<div class="post-header"><h1>Headline</h1></div><div class=post><p>Story of the day.</p></div>'
+    for wrapper in ("content-sidebar-wrap", "layout has-sidebar", "two-column-sidebar"):
+        assert texts(f'<div class="{wrapper}">{plain}<div class="left-sidebar">Menu</div></div>') == ["Headline", "Story of the day."]
+
+
+def test_class_words_still_rule_out():
+    post = "<div class=post><p>A story.</p></div>"
+    reader = "<div id=comments><article class=comment><p>Much more text by a reader, who goes on and on.</p></article></div>"
+    assert texts(post + reader) == texts(f"<article><p>A story.</p></article>{reader}") == ["A story."]
+    assert texts(post + "<div class=ad-box>Buy</div><div class=sidebar><article>More</article></div>") == ["A story."]
+    assert texts(f"<article>{post}<div class=share>Share</div><div class=related><article>Other</article></div></article>") == ["A story."]
+    assert texts(f"<div class=site-header><h1>Site</h1></div>{post}") == ["A story."]
+
+
+def test_teaser_cards(spark):
+    # cards that vary stay beside the main text, cards that are the same on all pages go
+    cards = "".join(f"<article class=card><h2>Card {k}</h2></article>" for k in "abc")
+    page = "<body>{top}<div class=text><p>The main text of page {i} lies in a plain element.</p></div>{cards}</body>"
+    rows = [(i, "http://x.example/", page.format(i=i, top="", cards=cards)) for i in range(4)]
+    rows += [(10 + i, "http://y.example/", page.format(i=i, top='<div class="content-sidebar-wrap">', cards=f"</div>{cards}")) for i in range(4)]
+    rows += [(20, "http://z.example/", page.format(i=20, top="", cards=cards))]
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(4):
+        assert got[i] == got[10 + i] == f"The main text of page {i} lies in a plain element."
+    assert got[20] == "The main text of page 20 lies in a plain element.\n\nCard a\n\nCard b\n\nCard c"
+
+
 def test_tree_matching():
     a = Page("<body><nav>x</nav><div class=m><h1>t</h1><p>a</p></div><footer>f</footer></body>").skeleton()
     b = Page("<body><div class=m><p>a</p><h1>t</h1></div><aside>s</aside><footer>f</footer></body>").skeleton()
