@@ -22,10 +22,16 @@ CLASSES = {
     "entropy_base64": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-",
                        r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}", ("[0-9]", "[a-z]", "[A-Z]"), 3.8),
 }
-#: Candidates that are no secrets: ids, dates with times, paths and addresses, placeholders, alphabets. The repeats are
-#: possessive: they are matched in a loop, where a greedy group would take a stack frame for each part of a long path.
-ALLOWED = (r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$|^\d{4}-\d\d-\d\d|^[a-z0-9_.+-]++(?:/[a-z0-9_.+-]++){3,}+/?$"
+#: Candidates that are no secrets: ids, dates with times, placeholders, alphabets.
+ALLOWED = (r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$|^\d{4}-\d\d-\d\d"
            r"|example|sample|dummy|placeholder|xxxx|0123456789|123456789|abcdefghij|qwerty")
+#: Paths and addresses are none either if at most this share of their characters lies in segments that do not look like
+#: words: random base64 has slashes too. A word is of one case but for its first letter, or several such words run together,
+#: with a number behind it or before it. The repeats are possessive: they are matched in a loop, where a greedy group would
+#: take a stack frame for each part of a long path.
+PATH = r"(?i)^[a-z0-9_.+-]++(?:/[a-z0-9_.+-]++){3,}+/?$"
+WORDS = (r"(?<![^/])(?:[._+-]|(?:[A-Z]?[a-z]++(?:[A-Z][a-z]{2,}+)*+[0-9]*+|[A-Z]++[0-9]*+|[0-9]++[a-z]*+)(?=[._+/-]|$))++(?=/|$)")
+ODD_SHARE = 0.25
 SPANS = "array<struct<start:int,rank:int,end:int,kind:string>>"
 
 
@@ -83,6 +89,11 @@ def window_entropy(run: Column, alphabet: str, window: int = WINDOW) -> Column:
     return F.get(F.transform(F.array(codes), merged), F.lit(0))
 
 
+def _is_path(run: Column) -> Column:
+    odd = F.length(F.regexp_replace(F.regexp_replace(run, WORDS, ""), "/", ""))
+    return F.rlike(run, F.lit(PATH)) & (odd <= F.length(F.regexp_replace(run, "/", "")) * ODD_SHARE)
+
+
 def secret_spans(text: Column) -> tuple[Column, Column]:
     """Base spans, and the spans that entropy adds: candidates with a window of high entropy that are not on the allow
     list and overlap no base span."""
@@ -94,7 +105,7 @@ def secret_spans(text: Column) -> tuple[Column, Column]:
     added = []
     for rank, (kind, (alphabet, pattern, holds, least)) in enumerate(CLASSES.items(), len(BASE)):
         def high(t: Column, alphabet=alphabet, holds=holds, least=least) -> Column:
-            ok = ~F.rlike(t, F.lit(ALLOWED))
+            ok = ~F.rlike(t, F.lit(ALLOWED)) & ~_is_path(t)
             for h in holds:
                 ok = ok & F.rlike(t, F.lit(h))
             return F.when(ok, F.coalesce(window_entropy(F.rtrim(t, F.lit("=")), alphabet) >= least, F.lit(False))

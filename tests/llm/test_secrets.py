@@ -69,6 +69,24 @@ def test_entropy_adds(spark):
     assert clean[0] == "id [secret] end" and clean[1] == texts[1]
 
 
+def test_random_base64_is_no_path(spark):
+    import random
+
+    rng = random.Random(5)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    keys = ["".join(rng.choices(letters, k=n)) for n in (40, 88, 200, 256, 344) for _ in range(100)]
+    keys = [k for k in keys if k.count("/") > 2 and "//" not in k and k[0] not in "/+" and k[-1] != "/"]
+    paths = ["usr/local/lib/python3.13/site-packages/PySpark/Sql/4.1.2", "Photos/2024/IMG_20240501/DSC0123.JPG",
+             "com/acme/Billing/src/InvoiceController/V2/quickBrownFox_jumps/2nd-lazyDog"]
+    df = spark.createDataFrame(list(enumerate(f"see {x} ok" for x in keys + paths)), "doc_id long, text string")
+    got = {r.doc_id: r.spans.split(",") for r in secret_report(df).collect()}
+    assert len(keys) > 200
+    for i, k in enumerate(keys):
+        assert f"entropy_base64:4:{4 + len(k)}" in got[i], k
+    for i, p in enumerate(paths, len(keys)):
+        assert got[i] == [""], p
+
+
 def test_redact(spark):
     df = spark.createDataFrame([(1, "é token=abcdef0123456789abcdef012345 x", 1), (2, "clean", 5), (3, None, None)],
                                "doc_id long, text string, n_chars long")
