@@ -96,7 +96,7 @@ def _is_path(run: Column) -> Column:
 
 def secret_spans(text: Column) -> tuple[Column, Column]:
     """Base spans, and the spans that entropy adds: candidates with a window of high entropy that are not on the allow
-    list and overlap no base span."""
+    list. ``scan`` leaves out those that lie within another span."""
     text = F.coalesce(text, F.lit(""))
     keep = {"assign": lambda t: F.length(F.regexp_extract(t, _ASSIGN, 2)) >= ASSIGN_VALUE}
     base = F.array_sort(F.concat(*[
@@ -119,12 +119,12 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """All columns and two more: ``_base`` and ``_spans`` (base and added), arrays of start, rank, end, kind by start."""
     base, added = secret_spans(F.col(text))
     both = docs.withColumn("_base", base).withColumn("_added", added)
-    own = F.filter("_added", lambda a: ~F.exists("_base", lambda b: (b["start"] < a["end"]) & (a["start"] < b["end"])))
-    hexes = F.filter(own, lambda a: a["rank"] == len(BASE))
-    rest = F.filter(own, lambda a: (a["rank"] > len(BASE)) & ~F.exists(
-        hexes, lambda b: (b["start"] < a["end"]) & (a["start"] < b["end"])))
+    # a span within another adds nothing; of equal ones the first class has the place
+    own = F.filter("_added", lambda a: ~F.exists("_base", lambda b: (b["start"] <= a["start"]) & (a["end"] <= b["end"]))
+                   & ~F.exists("_added", lambda b: (b["start"] <= a["start"]) & (a["end"] <= b["end"]) & (
+                       (b["end"] - b["start"] > a["end"] - a["start"]) | (b["rank"] < a["rank"]))))
     return both.withColumn("_spans", F.when(F.size("_added") == 0, F.col("_base")).otherwise(
-        F.array_sort(F.concat("_base", hexes, rest)))).drop("_added")
+        F.array_sort(F.concat("_base", own)))).drop("_added")
 
 
 def _joined(spans: str) -> Column:

@@ -87,6 +87,19 @@ def test_random_base64_is_no_path(spark):
         assert got[i] == [""], p
 
 
+def test_spans_that_a_base_span_covers_in_part(spark):
+    access, key, run = "AKIA" + "Q7" * 8, "Zk3mQ9vT7xLp2WcR8sYbN4dFhJ6gKqMw1XzTrVs5", "0123abcd4567ef89" * 2
+    run = run.replace("0123", "9a1c")
+    texts = [f"{access}/{key} x", f"id Zk3mQ9vT7xLp2WcR8sYbN4dF{run}Zq end", f"token={key}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secret_report(df).collect()}
+    # the access pattern is greedy: it stops at the slash
+    assert got[0] == "access:0:20,entropy_base64:0:61" and got[2] == "assign:0:46"
+    at = texts[1].index("F" + run) + 1
+    assert f"hex:{at}:{at + 32}" in got[1].split(",") and "entropy_base64:3:61" in got[1].split(",")
+    assert {r.doc_id: r.text for r in redact(df).collect()} == {0: "[secret] x", 1: "id [secret] end", 2: "[secret]"}
+
+
 def test_redact(spark):
     df = spark.createDataFrame([(1, "é token=abcdef0123456789abcdef012345 x", 1), (2, "clean", 5), (3, None, None)],
                                "doc_id long, text string, n_chars long")
