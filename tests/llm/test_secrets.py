@@ -100,6 +100,20 @@ def test_spans_that_a_base_span_covers_in_part(spark):
     assert {r.doc_id: r.text for r in redact(df).collect()} == {0: "[secret] x", 1: "id [secret] end", 2: "[secret]"}
 
 
+def test_tokens_of_one_letter_case(spark):
+    import random
+
+    rng = random.Random(6)
+    alphabets = {"entropy_lower": "abcdefghijklmnopqrstuvwxyz0123456789", "entropy_upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"}
+    rows = [(kind, "".join(rng.choices(a, k=n))) for kind, a in alphabets.items() for n in (24, 32, 52) for _ in range(30)]
+    words = ["AAAAAAAAAAAAAAAAAAAAAAAA1111", "ouleleelleouoneaument", "KONTROLLAUSSCHUSSVORSITZ"]
+    df = spark.createDataFrame([(i, f"see {t} ok") for i, (_, t) in enumerate(rows + [("", w) for w in words])], "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secret_report(df).collect()}
+    found = sum(got[i] == f"{kind}:4:{4 + len(t)}" for i, (kind, t) in enumerate(rows))
+    assert found >= 0.97 * len(rows)
+    assert [got[len(rows) + i] for i in range(len(words))] == [""] * 3
+
+
 def test_redact(spark):
     df = spark.createDataFrame([(1, "é token=abcdef0123456789abcdef012345 x", 1), (2, "clean", 5), (3, None, None)],
                                "doc_id long, text string, n_chars long")
