@@ -144,7 +144,7 @@ def _(d):
         F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y"))).alias("ring"))
     lines = expansion.plane_geometry(lines.select("lane_id", geom.geometry(F.lit("LINESTRING"), F.array("ring")).alias("geometry")))
     lines = geom.paths(lines)
-    out = expansion.propose_sites(top.join(stations, "station_id"), stations, layers, lines, zones, step=100.0)
+    out = expansion.propose_sites(top.join(stations, "station_id"), stations, layers, lines, zones, step=10.0)
     return out.select("cluster", "point_id", F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"),
                       F.round("similarity_score", 6).alias("similarity_score"))
 

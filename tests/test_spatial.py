@@ -258,3 +258,18 @@ def test_candidates_per_point_stay_few_with_more_long_segments(spark):
         pairs = nearest.candidates(p, ["x", "y"], nearest.short_pieces(seg), ["slox", "sloy"], ["shix", "shiy"])
         met.append(pairs.count() / 100)
     assert met[1] < 1.5 * met[0]  # of 1 441 and 42 783 pieces
+
+
+def test_registered_site_selection_step(spark, sf_dir, monkeypatch):
+    import __spark_entry__ as entry_module
+
+    class Seen(Exception):
+        pass
+
+    def seen(*_, step=10.0, **__):
+        raise Seen(step)
+
+    monkeypatch.setattr(expansion, "propose_sites", seen)
+    with pytest.raises(Seen) as caught:
+        entry_module.queries()["j10_site_selection"](spark, sf_dir)
+    assert caught.value.args == (10.0,)
