@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from docksense.llm import (
     ann,
+    decontaminate,
     embedding_dedup,
     html_extract,
     mixing,
@@ -87,3 +88,11 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(read(spark, sf_dir, "pages"))
+
+
+@query
+def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), window=10)
+
+
+ORACLE["op11_decontaminate"] = decontaminate.ORACLE_SQL
