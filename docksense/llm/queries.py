@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from docksense.llm import (
     ann,
+    conversations,
     decontaminate,
     embedding_dedup,
     html_extract,
@@ -96,3 +97,8 @@ def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op11_decontaminate"] = decontaminate.ORACLE_SQL
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_report(read(spark, sf_dir, "conversations"))
