@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from docksense.llm import (
+    alignment,
     ann,
     conversations,
     decontaminate,
@@ -102,3 +103,8 @@ ORACLE["op11_decontaminate"] = decontaminate.ORACLE_SQL
 @query
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair_report(read(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))

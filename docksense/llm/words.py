@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import types
+from array import array
 from collections.abc import Callable, Iterator
 from typing import Any, NamedTuple
 
@@ -70,3 +71,72 @@ def per_process(key: str, make: Callable[[], Any]) -> Any:
     if key not in store.__dict__:
         store.__dict__[key] = make()
     return store.__dict__[key]
+
+
+class Known:
+    """Numbers of words that a task has met, kept while they repeat.
+
+    ``numbers`` gives the numbers of distinct words; a subclass computes what belongs to new ones in ``add`` and moves its
+    arrays in ``keep``. When there are more than ``limit`` words, those met in one batch only are dropped.
+    """
+
+    def __init__(self, limit: int) -> None:
+        self.limit = limit
+        self.number: dict[str, int] = {}
+        self.batches = np.zeros(0, np.int32)  # batches that a word was met in
+
+    def numbers(self, words: list[str]) -> np.ndarray:
+        if len(self.number) > self.limit:
+            self._drop()
+        out = list(map(self.number.get, words))
+        if None in out:
+            new = [w for w, n in zip(words, out) if n is None]
+            self.add(new)
+            first = len(self.number)
+            self.number.update(zip(new, range(first, first + len(new))))
+            self.batches = np.concatenate([self.batches, np.zeros(len(new), np.int32)])
+            out = list(map(self.number.get, words))
+        found = np.array(out, np.int64)
+        self.batches[found] += 1
+        return found
+
+    def _drop(self) -> None:
+        kept = np.flatnonzero(self.batches > 1)
+        if len(kept) > self.limit // 2:
+            kept = kept[:0]  # nearly all repeat: begin anew rather than sort out again and again
+        words = list(self.number)
+        self.number = {words[i]: n for n, i in enumerate(kept.tolist())}
+        self.batches = np.zeros(len(kept), np.int32)
+        self.keep(kept)
+
+    def add(self, words: list[str]) -> None:
+        raise NotImplementedError
+
+    def keep(self, kept: np.ndarray) -> None:
+        raise NotImplementedError
+
+
+class Ragged:
+    """Rows of numbers of different lengths, one after the other; grows in place."""
+
+    def __init__(self, code: str) -> None:
+        self.flat, self.bounds = array(code), array("q", [0])
+
+    def extend(self, flat: np.ndarray, sizes: np.ndarray) -> None:
+        """Rows of the given sizes, their numbers in a row."""
+        self.bounds.frombytes((np.cumsum(sizes, dtype=np.int64) + len(self.flat)).tobytes())
+        self.flat.frombytes(flat.astype(self.flat.typecode).tobytes())
+
+    def sizes(self, rows: np.ndarray) -> np.ndarray:
+        bounds = np.frombuffer(self.bounds, np.int64)
+        return bounds[rows + 1] - bounds[rows]
+
+    def take(self, rows: np.ndarray) -> np.ndarray:
+        """The numbers of the rows, row after row."""
+        flat = np.frombuffer(self.flat, self.flat.typecode) if len(self.flat) else np.zeros(0, self.flat.typecode)
+        return flat[spread(np.frombuffer(self.bounds, np.int64)[rows], self.sizes(rows))]
+
+    def keep(self, rows: np.ndarray) -> None:
+        flat, sizes = self.take(rows), self.sizes(rows)
+        self.flat, self.bounds = array(self.flat.typecode), array("q", [0])
+        self.extend(flat, sizes)
