@@ -27,9 +27,12 @@ CLASSES = {
     "entropy_upper": ("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ", r"(?<![A-Za-z0-9])[A-Z0-9]{20,}(?![A-Za-z0-9])",
                       ("[0-9]", "[A-Z]"), 3.3),
 }
-#: Candidates that are no secrets: ids, dates with times, placeholders, alphabets.
-ALLOWED = (r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$|^\d{4}-\d\d-\d\d"
-           r"|example|sample|dummy|placeholder|xxxx|0123456789|123456789|abcdefghij|qwerty")
+#: Candidates that are no secrets as a whole: ids.
+ALLOWED = r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"
+#: Parts that say nothing: a date in front with its time, words of placeholders, rows of signs. They are taken out and what is
+#: left is judged, so a key beside such a part is found.
+ALLOWED_PARTS = (r"(?i)^\d{4}-\d\d-\d\d(?:[t_-]?\d\d[-_]?\d\d(?:[-_]?\d\d)?z?(?![a-z0-9]))?"
+                 r"|example|sample|dummy|placeholder|x{4,}|0?123456789|abcdefghij|qwerty")
 #: Paths and addresses are none either if at most this share of their characters lies in segments that do not look like
 #: words: random base64 has slashes too. A word is of one case but for its first letter, or several such words run together,
 #: with a number behind it or before it. The repeats are possessive: they are matched in a loop, where a greedy group would
@@ -110,10 +113,11 @@ def secret_spans(text: Column) -> tuple[Column, Column]:
     added = []
     for rank, (kind, (alphabet, pattern, holds, least)) in enumerate(CLASSES.items(), len(BASE)):
         def high(t: Column, alphabet=alphabet, holds=holds, least=least) -> Column:
+            rest = F.regexp_replace(t, F.lit(ALLOWED_PARTS), F.lit(""))
             ok = ~F.rlike(t, F.lit(ALLOWED)) & ~_is_path(t)
             for h in holds:
-                ok = ok & F.rlike(t, F.lit(h))
-            return F.when(ok, F.coalesce(window_entropy(F.rtrim(t, F.lit("=")), alphabet) >= least, F.lit(False))
+                ok = ok & F.rlike(rest, F.lit(h))
+            return F.when(ok, F.coalesce(window_entropy(F.rtrim(rest, F.lit("=")), alphabet) >= least, F.lit(False))
                           ).otherwise(False)
 
         added.append(_located(text, pattern, high, rank, kind))
@@ -159,7 +163,7 @@ def redact(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
 
     A column n_chars, if there is one, follows the text. All other columns are returned as they are.
     """
-    found = scan(docs)
+    found = scan(docs.select(F.struct(*docs.columns).alias("doc"), F.col("text")))  # the caller's columns keep their names
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
@@ -169,8 +173,13 @@ def redact(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
 
     clean = F.aggregate("_spans", zero, step, lambda acc: F.concat(acc["out"], F.substring(
         F.col("text"), acc["at"] + 1, F.length("text"))))
-    out = found.withColumn("text", F.when(F.size("_spans") > 0, clean).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.size("_spans") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    hit = F.size("_spans") > 0
+    out = found.select(F.col("doc"), hit.alias("hit"), F.when(hit, clean).otherwise(F.col("text")).alias("text"))
+
+    def column(name: str) -> Column:
+        own = F.col("doc").getField(name)
+        if name == "n_chars":
+            own = F.when(F.col("hit"), F.length("text").cast(docs.schema[name].dataType)).otherwise(own)
+        return (F.col("text") if name == "text" else own).alias(name)
+
+    return out.select(*[column(c) for c in docs.columns])

@@ -61,7 +61,7 @@ def test_long_candidates(spark):
 
 def test_entropy_adds(spark):
     texts = ["id Zk3mQ9vT7xLp2WcR8sYbN4dF end", "id 550e8400-e29b-41d4-a716-446655440000 end", "Chheitschaueinbeenstverheit",
-             "see DEADBEEF0123A7C4E5F69B81 ok", "EXAMPLEKeyZk3mQ9vT7xLp2WcR8", "path a1B/c2D/e3F/g4H/i5J/k6L/m7N"]
+             "see DEADBEEF0123A7C4E5F69B81 ok", "EXAMPLE_Key123456789_dummyA1", "path a1B/c2D/e3F/g4H/i5J/k6L/m7N"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r.spans for r in secret_report(df).collect()}
     assert got == {0: "entropy_base64:3:27", 1: "", 2: "", 3: "entropy_hex:4:28", 4: "", 5: ""}
@@ -120,6 +120,27 @@ def test_redact(spark):
     assert sorted(map(tuple, redact(df).collect())) == [(1, "é [secret] x", 12), (2, "clean", 5), (3, None, None)]
 
 
+def test_allowed_parts_hide_no_key(spark):
+    key = "Zk3mQ9vT7xLp2WcR8sYbN4dFhJ6gKqMw1XzTrVs5"
+    tokens = [f"2024-01-01-{key}", f"{key}example", f"{key[:17]}123456789{key[17:]}", f"2024-01-01T12-30-45Z-{key}", f"{key}xxxx",
+              f"dummy_{key}_placeholder", f"{key[:20]}qwerty{key[20:]}"]
+    none = ["2024-01-01T12-30-45-example-A1", "Your-Example-Token-Placeholder-123456789", "ABCDEFGHIJ0123456789abcdefghij",
+            "550e8400-e29b-41d4-a716-446655440000"]
+    df = spark.createDataFrame(list(enumerate(f"see {t} ok" for t in tokens + none)), "doc_id long, text string")
+    got = {r.doc_id: r.spans.split(",") for r in secret_report(df).collect()}
+    for i, t in enumerate(tokens):
+        assert f"entropy_base64:4:{4 + len(t)}" in got[i], t
+    assert [got[len(tokens) + i] for i in range(len(none))] == [[""]] * len(none)
+    clean = {r.doc_id: r.text for r in redact(df).collect()}
+    assert all(clean[i] == "see [secret] ok" for i in range(len(tokens)))
+
+
+def test_redact_keeps_columns_of_any_name(spark):
+    df = spark.createDataFrame([(1, "token=abcdef99 x", "a", 7, 2.5, "d", 3)],
+                               "doc_id long, text string, _spans string, _base int, _added double, doc string, hit int")
+    assert [tuple(r) for r in redact(df).collect()] == [(1, "[secret] x", "a", 7, 2.5, "d", 3)] and redact(df).columns == df.columns
+
+
 def test_window_entropy(spark):
     runs = ["abcdefghijklmnopqrstuvwxyz", "a" * 30, "abab" * 10, "short", "aaaaaaaaaaaaaaaaaaaabcdefghijklmnopqrst"]
     letters = "abcdefghijklmnopqrstuvwxyz"
