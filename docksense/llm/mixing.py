@@ -131,7 +131,8 @@ def mix(docs: DataFrame) -> DataFrame:
 
     Where a quota ends within a document, the last row has its first words only, and n_chars (if there) follows.
     """
-    got = _planned(_sized(docs))
+    # the caller's row travels as one column, so that its names meet none of the plan's
+    got = _planned(_sized(docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("_doc"))))
     parts = F.regexp_extract_all(F.col("text"), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
     head = F.array_join(F.slice(parts, 1, F.col("_extra").cast("int")), "")
     cut = (F.col("_extra") > 0) & (F.col("_extra") < F.col("_size"))
@@ -139,11 +140,15 @@ def mix(docs: DataFrame) -> DataFrame:
     rows = got.filter((F.col("_size") > 0) & (copies > 0)).withColumn(
         "_copy", F.explode(F.sequence(F.lit(1), copies.cast("int"))))
     short = cut & (F.col("_copy") > F.col("_whole"))
-    rows = rows.withColumn("text", F.when(short, head).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        rows = rows.withColumn("n_chars", F.when(short, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return rows.select(*docs.columns)
+    rows = rows.select("_doc", short.alias("short"), F.when(short, head).otherwise(F.col("text")).alias("text"))
+
+    def column(name: str) -> Column:
+        own = F.col("_doc").getField(name)
+        if name == "n_chars":
+            own = F.when(F.col("short"), F.length("text").cast(docs.schema[name].dataType)).otherwise(own)
+        return (F.col("text") if name == "text" else own).alias(name)
+
+    return rows.select(*[column(c) for c in docs.columns])
 
 
 #: The same plan in DuckDB SQL.

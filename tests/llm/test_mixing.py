@@ -77,6 +77,22 @@ def test_odd_rows_and_shards(spark, monkeypatch):
     assert mixing.mix_plan(df.limit(0)).count() == 0 and mixing.mix(df.limit(0)).count() == 0
 
 
+def test_mix_keeps_columns_of_any_name(spark):
+    names = ["pos", "_blocks", "_size", "_doc", "_source", "quota", "short", "_copy", "n_chars", "size", "target", "_pos"]
+    rows = [(i, "w " * (i % 7 + 1), "a" if i % 3 else "b", *range(7, 7 + len(names))) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"{n} int" for n in names))
+    plain = df.select("doc_id", "text", "source")
+    got = mixing.mix(df)
+    assert got.columns == df.columns
+    taken = got.collect()
+    assert sorted((r.doc_id, r.text) for r in taken) == sorted((r.doc_id, r.text) for r in mixing.mix(plain).collect())
+    at = names.index("n_chars")
+    for r in taken:
+        rest = list(r)[3:]
+        assert rest[at] in (7 + at, len(r.text))
+        assert rest[:at] + rest[at + 1:] == [v for v in range(7, 7 + len(names)) if v != 7 + at]
+
+
 def test_repeated_and_null_ids(spark):
     df = spark.createDataFrame([(None, "a b c d", "s")] * 3 + [(7, "e f", "s")] * 2, "doc_id long, text string, source string")
     out = mixing.mix_plan(df).collect()
