@@ -221,14 +221,15 @@ def drop_near_copies(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFr
 
     Repeated rows of the kept document are one row in the result. All columns are returned as they are.
     """
-    key = [F.col("doc_id").alias("_id"), F.xxhash64("doc_id", "text").alias("_row")]
-    rows = cut_lineage(docs.select(*key, fingerprint("text", words).alias("fp")).distinct())
-    order = F.struct(F.col("_id").isNull().alias("n"), "_id", "_row")
+    # 128 bits name a row; with 64, unrelated rows of a very large corpus would share a name
+    key = [F.xxhash64("doc_id", "text").alias("_row"), F.xxhash64(F.lit(1), "text", "doc_id").alias("_more")]
+    named = docs.select("doc_id", "text", *key)
+    rows = cut_lineage(named.select(F.col("doc_id").alias("_id"), "_row", "_more", fingerprint("text", words).alias("fp")).distinct())
+    order = F.struct(F.col("_id").isNull().alias("n"), "_id", "_row", "_more")
     firsts = rows.groupBy("fp").agg(F.min(order).alias("first"))
     roots = link_fingerprints(firsts.select("fp"), radius)
-    kept = (firsts.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp")).agg(F.min("first").alias("first"))
-            .select(F.col("first._row").alias("_row"), F.col("first._id").alias("_id")))
-    marked = docs.withColumn("_row", F.xxhash64("doc_id", "text")).alias("d")
-    both = marked.join(kept.alias("k"), (F.col("d._row") == F.col("k._row"))
-                       & F.col("d.doc_id").eqNullSafe(F.col("k._id")))
-    return both.select("d.*").dropDuplicates(["_row"]).drop("_row")
+    kept = firsts.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp")).agg(F.min("first").alias("first"))
+    # the caller's row travels as one column, and once: the copies of a kept row lie where the join has put them
+    marked = docs.select(F.struct(*docs.columns).alias("doc"), *key)
+    both = marked.join(kept.select("first._row", "first._more"), ["_row", "_more"])
+    return both.dropDuplicates(["_row", "_more"]).select("doc.*")

@@ -63,6 +63,14 @@ def test_odd_texts(spark):
     assert drop_near_copies(df.limit(0)).count() == 0 and simhash_groups(df.limit(0)).count() == 0
 
 
+def test_drop_near_copies_keeps_columns_of_any_name(spark):
+    rows = [(i, f"text number {i // 2} of some words {i // 2}", i, "r", 1.5, "d", "x") for i in range(10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _row long, _more string, first double, doc string, _id string")
+    kept = drop_near_copies(df.union(df))
+    assert kept.columns == df.columns
+    assert {tuple(r) for r in kept.collect()} <= set(rows) and kept.count() == len({r.doc_id for r in kept.collect()})
+
+
 @pytest.mark.parametrize("shard_rows", [3, 4096])
 def test_links_keep_every_component(spark, shard_rows):
     rng = random.Random(5)
