@@ -15,13 +15,17 @@ from pyspark.sql import functions as F
 
 from docksense.session import cut_lineage
 
-#: A text is template if at least this share of a host's different pages that have the slot show it there, and there
-#: are at least two to compare. Pages with one main text count once, so copies of an article do not make it a template.
+#: A text is constant in a slot if at least this share of a host's different pages that have the slot show it there, and
+#: there are at least two to compare. Pages with one main text, or with one longest text that varies, count once, so exact
+#: and near copies of an article do not make it a template.
 CONSTANT_SHARE = 0.9
 LEAST_PAGES = 2
+#: A constant text among others that vary, in a slot that a page shows several texts in, may be a sentence that pages share by
+#: chance; it is template if so many pages are there to compare.
+LEAST_SHARING = 5
 #: Elements nested deeper are taken as children of the one at this depth.
 MAX_DEPTH = 150
-OUTLINE = "skeleton string, n int, nodes array<int>, texts array<long>, main long"
+OUTLINE = "skeleton string, n int, nodes array<int>, texts array<long>, sizes array<int>, homes array<int>, main long"
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 RAW = {"script", "style", "title", "textarea", "noscript", "template", "iframe", "svg", "math", "object", "noframes"}
@@ -67,7 +71,7 @@ class Page:
     The skeleton is the tree of block elements; siblings with one label (name, first class word without digits) are one
     node. ``labels`` and ``parents`` list its nodes in order of appearance. A block is (node, text, elements around it);
     of these only articles and doubtful elements count, those whose class or id has a word of NOT_MAIN_WORDS. ``kinds``
-    holds the kind of each: article, layout, readers or other.
+    holds the kind of each (article, layout, readers or other), ``places`` its node.
     """
 
     def __init__(self, source: str) -> None:
@@ -75,6 +79,7 @@ class Page:
         self.index: dict[tuple[int, str], int] = {}
         self.blocks: list[tuple[int, str, tuple[int, ...]]] = []
         self.kinds: list[str] = []
+        self.places: list[int] = []
         self._parse(source)
 
     def _node(self, parent: int, label: str) -> int:
@@ -159,6 +164,7 @@ class Page:
                 if kind and main and not out:
                     around = (*around, len(self.kinds))
                     self.kinds.append(kind)
+                    self.places.append(node)
             stack.append((name, node, main and not out, around))
         self._flush(text, stack)
 
@@ -229,6 +235,10 @@ class Page:
         _, out, _, doubt = cls._role(name, attributes)
         return out or doubt != ""
 
+    def home(self, around: tuple[int, ...]) -> int:
+        """Node of the outermost article around a block, -1 without one."""
+        return next((self.places[i] for i in around if self.kinds[i] == "article"), -1)
+
     def skeleton(self) -> str:
         """Label and parent of each node, a line each."""
         return "\n".join(f"{p} {x}" for p, x in zip(self.parents[1:], self.labels[1:]))
@@ -338,15 +348,16 @@ def text_hash(text: str) -> int:
 
 
 def outline(pages: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    """Skeleton of a page, node and hash of each block, and the hash of its main text."""
+    """Skeleton of a page; node, hash, length and article of each block; hash of the main text."""
     for sources in pages:
         out = []
         for source in sources:
             page = Page(source or "")
             main = [text_hash(t) for _, t in page.candidates()]
             nodes, texts = [n for n, _, _ in page.blocks], [text_hash(t) for _, t, _ in page.blocks]
-            out.append((page.skeleton(), len(page.labels), nodes, texts, text_hash(repr(main))))
-        yield pd.DataFrame(out, columns=["skeleton", "n", "nodes", "texts", "main"])
+            sizes, homes = [len(t) for _, t, _ in page.blocks], [page.home(a) for _, _, a in page.blocks]
+            out.append((page.skeleton(), len(page.labels), nodes, texts, sizes, homes, text_hash(repr(main))))
+        yield pd.DataFrame(out, columns=["skeleton", "n", "nodes", "texts", "sizes", "homes", "main"])
 
 
 def aligned(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -374,24 +385,47 @@ def host(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)", 1), F.lit("")))
 
 
-def wrappers(pages: DataFrame, share: float = CONSTANT_SHARE, least: int = LEAST_PAGES) -> DataFrame:
+def wrappers(pages: DataFrame, share: float = CONSTANT_SHARE, least: int = LEAST_PAGES, sharing: int = LEAST_SHARING) -> DataFrame:
     """host, reference, constants: one row per host, from all its pages.
 
-    The reference is the host's tree with most nodes. Every page is aligned to it, and (slot, text) pairs are counted
-    over different main texts, aggregated before each shuffle, so a host with a third of all pages is no single task.
+    The reference is the host's tree with most nodes. Every page is aligned to it, and what its slots show is counted over
+    different pages, aggregated before each shuffle, so a host with a third of all pages is no single task.
+
+    A slot is judged, not a text alone: a constant text is template where it is the slot's only one on a page, where all that
+    the slot shows is constant, or, among texts that vary, if ``sharing`` pages show it. Within an article nothing is
+    template as long as any of the article's text varies: a byline and a sentence that articles share belong to them.
     """
     found = cut_lineage(pages.select(host(F.col("url")).alias("host"), F.pandas_udf(outline, OUTLINE)(F.coalesce("html", F.lit(""))).alias("o"))
                         .select("host", "o.*"))
     best = found.groupBy("host").agg(F.max(F.struct("n", "skeleton")).alias("best"))
     best = cut_lineage(best.select("host", F.col("best.skeleton").alias("reference")))
     placed = found.join(best, "host").withColumn("slots", F.pandas_udf(aligned, "array<string>")("skeleton", "reference"))
-    blocks = placed.select("host", "main", "slots", F.explode(F.arrays_zip("nodes", "texts")).alias("b")).select(
-        "host", "main", F.get("slots", F.col("b.nodes")).alias("slot"), F.col("b.texts").alias("value"))
+    each = F.explode(F.arrays_zip("nodes", "texts", "sizes", "homes")).alias("b")
+    slot = lambda node: F.when(F.col(node) >= 0, F.get("slots", F.col(node)))
+    blocks = placed.select("host", "main", "slots", each).select(
+        "host", "main", slot("b.nodes").alias("slot"), F.col("b.texts").alias("value"), F.col("b.sizes").alias("size"),
+        slot("b.homes").alias("home"))
     blocks = cut_lineage(blocks.distinct())
-    pages_of = blocks.groupBy("host", "slot", "main").agg(F.lit(1)).groupBy("host", "slot").agg(F.count("*").alias("n"))
-    shown = blocks.groupBy("host", "slot", "value").agg(F.count("*").alias("c"))
-    constant = shown.filter(F.col("c") >= least * share).join(pages_of, ["host", "slot"]).filter(
-        (F.col("n") >= least) & (F.col("c") >= F.col("n") * share))
+    shows = blocks.groupBy("host", "slot", "main").agg(F.count_distinct("value").alias("k"))
+    slots_of = shows.groupBy("host", "slot").agg(F.count("*").alias("of"), F.max("k").alias("most"))
+    texts_of = blocks.groupBy("host", "slot", "value").agg(F.count_distinct("main").alias("by")).join(slots_of, ["host", "slot"])
+    texts_of = cut_lineage(texts_of.select("host", "slot", "value", "most", (F.col("by") < F.col("of") * share).alias("varies")))
+    marked = blocks.join(texts_of, ["host", "slot", "value"])
+    varying = texts_of.groupBy("host", "slot").agg(F.max("varies").alias("slot_varies"))
+    # near copies share their longest text among those that vary, or lie in a slot that does
+    known = marked.join(varying, ["host", "slot"])
+    sign = known.filter("slot_varies").groupBy("host", "main").agg(F.max(F.struct("size", "value")).alias("longest"))
+    known = known.join(sign, ["host", "main"], "left").withColumn("page", F.coalesce("longest.value", F.lit(0)))
+    known = cut_lineage(known.select("host", "slot", "value", "home", "most", "varies", "slot_varies", "page"))
+    pages_of = known.groupBy("host", "slot").agg(F.count_distinct("page").alias("n"))
+    articles = known.filter("home is not null").groupBy("host", "home").agg(F.max("varies").alias("alive"))
+    own = known.join(articles, ["host", "home"], "left")
+    shown = own.groupBy("host", "slot", "value").agg(
+        F.count_distinct("page").alias("c"), F.max(F.coalesce("alive", F.lit(False))).alias("alive"),
+        F.first("most").alias("most"), F.first("slot_varies").alias("slot_varies"))
+    constant = shown.join(pages_of, ["host", "slot"]).filter(
+        (F.col("n") >= least) & (F.col("c") >= F.col("n") * share) & ~F.col("alive")
+        & ((F.col("most") == 1) | ~F.col("slot_varies") | (F.col("n") >= sharing)))
     named = constant.groupBy("host").agg(F.collect_list(F.concat_ws("=", "slot", F.col("value").cast("string"))).alias("constants"))
     return cut_lineage(best.join(named, "host", "left"))
 
@@ -400,7 +434,8 @@ def extract(pages: DataFrame) -> DataFrame:
     """One row per page: page_id, url, text, n_chars.
 
     Blocks of menus, headers, footers, sidebars, notices, adverts, forms and reader comments are ruled out by element or
-    role. A block whose text is constant in its slot over the pages of the host is template and goes. Of what varies,
+    role. A block whose text is constant in its slot over the pages of the host, outside of articles that vary, is template
+    and goes (see ``wrappers``). Of what varies,
     articles are content if one holds as much text as lies outside, else all of it; elements whose class or id speaks
     against them are none, unless they are wrappers, around the article or most of the text (see ``Page.candidates``). Content is
     in page order, joined by blank lines.

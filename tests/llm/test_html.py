@@ -63,6 +63,45 @@ def test_small_hosts_have_templates(spark):
         assert got[i] == f"Title {i}\n\nText {i}."
 
 
+def extracted(spark, rows):
+    return {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_articles_keep_what_they_share(spark):
+    shared = [f"Paragraph {k} of the story, the same in both editions." for k in range(10)]
+    rows, want = [], {}
+
+    def put(page_id, host, blocks, element="article", box=True):
+        inside = "".join(f"<{t}>{x}</{t.split(' ')[0]}>" for t, x in blocks)
+        tail = "<div class=box><p>Join our club.</p></div>" if box else ""
+        rows.append((page_id, f"http://{host}.example/{page_id}", f"<body><{element}>{inside}</{element.split(' ')[0]}>{tail}</body>"))
+        want[page_id] = "\n\n".join(x for _, x in blocks)
+
+    # two editions of one article on a host of two pages, marked as an article or not
+    for i, edition in enumerate(("First edition.", "Second edition.")):
+        blocks = [("h1", "The heading"), *(("p", x) for x in shared), ("p", edition)]
+        put(i, "editions", blocks)
+        put(10 + i, "plain", blocks, "div class=post", box=False)
+    # more editions than it takes for a sentence among others to be template
+    for i in range(8):
+        put(20 + i, "many", [("h1", "The heading"), *(("p", x) for x in shared), ("p", f"Edition {i}.")], "div class=post", box=False)
+    # a byline on all pages of a host, and one sentence that the only two articles share
+    for i in range(9):
+        put(40 + i, "byline", [("h1", f"Title {i}"), ("p class=byline", "By Jane Doe"), ("p", f"What happened on day {i}.")])
+    for i in range(2):
+        put(60 + i, "sentence", [("h1", f"Title {i}"), ("p", f"What happened on day {i}."), ("p", "More tomorrow.")])
+        put(70 + i, "unmarked", [("h1", f"Title {i}"), ("p", f"What happened on day {i}."), ("p", "More tomorrow.")], "div class=post")
+    assert extracted(spark, rows) == want
+
+
+def test_unmarked_lists_are_template(spark):
+    """A list with several texts in one slot, the same on both pages of a host; cards whose text does not vary."""
+    page = "<body><div class=links><ul><li>One<li>Two<li>Three</ul></div><article class=card><h2>Card</h2></article>" \
+           "<article><p>Only on page {i} is this text to be found.</p></article></body>"
+    got = extracted(spark, [(i, "http://l.example/", page.format(i=i)) for i in range(2)])
+    assert got == {i: f"Only on page {i} is this text to be found." for i in range(2)}
+
+
 def test_attribute_names_are_exact():
     # words in quoted values, in addresses and in data-* names are no attributes
     for kept in ('<div style="overflow:hidden">text</div>', '<div title="the hidden valley">text</div>',
