@@ -5,117 +5,140 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from docksense.llm.words import Known, Ragged, per_process, split_words, text_slices
 from docksense.session import cut_lineage
 
 CAPACITY = 2048
 #: Hash buckets that a length is dealt into for ranking, so that no length is ranked in one task.
 RANK_BUCKETS = 64
-#: Distinct words whose ids a task keeps; when there are more it starts anew.
-CACHE_WORDS = 400_000
-_TEXT_STEP = 1 << 20  # characters whose ids are laid out at once
-
-#: A word of plain Latin letters and the signs behind it: the tokenizer's rules cut between the two and keep each whole.
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-/:-@\\[-`{-~]*)")
-
-
-def _byte_letters() -> list[str]:
-    """The letter that byte-level vocabularies use for each byte: itself if printable, else the next one from 256 on."""
-    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    hidden = iter(range(256, 512))
-    return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
-
-
-class WordIds:
+#: Distinct words whose ids a task keeps; when there are more, those met in one batch only go.
+CACHE_WORDS = 600_000
+#: Slots that one row of the plan is opened to at once.
+SLOT_STEP = 1 << 16
+_TEXT_STEP = 1 << 20  # characters of a long text that are laid out at once
+
+#: Classes of bytes: 1 letter, 2 digit, 3 sign, 4 apostrophe, 0 all else. The tokenizer's rules end a token between two
+#: classes, but a letter may belong to an apostrophe before it.
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[[*range(65, 91), *range(97, 123)]] = 1
+_CLASS[48:58] = 2
+_CLASS[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = 3
+_CLASS[39] = 4
+_ENDS = np.zeros(25, bool)
+for _x, _y in ((1, 2), (1, 3), (1, 4), (2, 1), (2, 3), (2, 4), (3, 1), (3, 2), (4, 2)):
+    _ENDS[_x * 5 + _y] = True
+#: ASCII lower case; all ASCII white space is a space.
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
+#: A word that is one token to merge: letters of the first two Unicode blocks, or signs.
+_ONE = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+|[!-/:-@\\[-`{-~]+")
+
+
+def parted(texts: pa.Array) -> pa.Array:
+    """The texts in lower case (ASCII) with a space wherever a token surely ends, so that fewer words differ.
+
+    The tokenizer drops white space and case, so its ids stay the same. Texts that may name a special token are left alone.
+    """
+    special = pc.match_substring(texts, "<|")
+    if pc.any(special).as_py():
+        out = pc.if_else(special, texts, parted(pc.if_else(special, "", texts)))
+        return out.combine_chunks() if isinstance(out, pa.ChunkedArray) else out
+    texts = pa.concat_arrays([texts])
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]
+    whole = texts.buffers()[2]
+    data = np.frombuffer(bytes(whole).translate(_LOWER) if whole is not None else b"", np.uint8)[offsets[0]:offsets[-1]]
+    offsets = offsets.astype(np.int64) - offsets[0]
+    kind = _CLASS[data]
+    ends = _ENDS[kind[:-1] * 5 + kind[1:]]
+    # a letter of two bytes before a sign; the multiplication and division signs are not letters
+    two = (data[:-2] == 0xC3) & (data[1:-1] != 0x97) & (data[1:-1] != 0xB7) & (kind[2:] >= 3)
+    ends[1:] |= two[:len(ends[1:])]
+    at = np.flatnonzero(ends) + 1
+    moved = offsets + np.searchsorted(at, offsets, side="left")
+    return pa.StringArray.from_buffers(len(texts), pa.py_buffer(moved.astype(np.int32).tobytes()),
+                                       pa.py_buffer(np.insert(data, at, 32).tobytes()))
+
+
+class WordIds(Known):
     """Token ids of texts, word by word.
 
-    The tokenizer never joins what white space parts, so the ids of a text are the ids of its words in a row, and a
-    word needs to be tokenized once. Plain words go straight to the vocabulary's merges; every other word takes the
-    tokenizer's whole path.
+    The tokenizer never joins what white space parts, so the ids of a text are the ids of its words in a row. New words
+    are tokenized many at a time: a word of letters, digits or signs only has as many tokens with a word's end as it has
+    parts, which tells where its ids end. Every other word is tokenized alone.
     """
 
     def __init__(self, path: str) -> None:
+        super().__init__(CACHE_WORDS)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.letters = str.maketrans(dict(enumerate(_byte_letters())))
-        self.clear()
-
-    def clear(self) -> None:
-        self.number: dict[str, int] = {}
-        self.parts: dict[str, list[int]] = {"": []}
-        self.flat = array("I")  # ids of all known words in a row
-        self.bounds = array("q", [0])
-
-    def part(self, text: str) -> list[int]:
-        ids = self.parts.get(text)
-        if ids is None:
-            letters = text if text.isascii() else text.encode().decode("latin-1").translate(self.letters)
-            ids = self.parts[text] = [t.id for t in self.model.tokenize(letters)]
-        return ids
-
-    def word_ids(self, word: str) -> list[int]:
-        plain = _PLAIN.fullmatch(word)
-        if plain:
-            return self.part(plain[1].lower()) + self.part(plain[2])
-        return self.tokenizer.encode(word, add_special_tokens=False).ids
-
-    def words(self, words: list[str]) -> np.ndarray:
-        """Numbers of the words, new ones tokenized."""
-        out = list(map(self.number.get, words))
-        if None in out:
-            for i, word in enumerate(words):
-                if out[i] is None:
-                    if word not in self.number:
-                        self.number[word] = len(self.bounds) - 1
-                        self.flat.extend(self.word_ids(word))
-                        self.bounds.append(len(self.flat))
-                    out[i] = self.number[word]
-        return np.array(out, np.int64)
-
-    def ids(self, text: str) -> Iterator[np.ndarray]:
-        """The ids of a text, piece by piece, so that a very long text is never laid out whole."""
-        for words in _word_groups(text):
-            k = self.words(words)
-            yield self._laid_out(k)
-
-    def _laid_out(self, k: np.ndarray) -> np.ndarray:
-        flat, bounds = np.frombuffer(self.flat or b"", np.uint32), np.frombuffer(self.bounds, np.int64)
-        starts, sizes = bounds[k], bounds[k + 1] - bounds[k]
-        first = np.cumsum(sizes) - sizes
-        return flat[np.repeat(starts - first, sizes) + np.arange(int(sizes.sum()))]
-
-
-def _word_groups(text: str) -> Iterator[list[str]]:
-    if len(text) <= _TEXT_STEP:
-        yield text.replace("\n", " ").split(" ")
-        return
-    at = 0
-    while at < len(text):
-        end = at + _TEXT_STEP
-        if end < len(text):
-            cut = max(text.rfind(" ", at, end), text.rfind("\n", at, end))
-            if cut <= at:  # one endless word
-                found = [p for p in (text.find(" ", end), text.find("\n", end)) if p >= 0]
-                cut = min(found, default=len(text))
-            end = cut
-        yield text[at:end].replace("\n", " ").split(" ")
-        at = end + 1
-
-
-@lru_cache(maxsize=2)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.ids = Ragged("I")
+
+    def _encoded(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def add(self, words: list[str]) -> None:
+        parts = [len(w) if w.isdigit() and w.isascii() else 1 if _ONE.fullmatch(w) else 0 for w in words]
+        ids = self._encoded(" ".join([w for w, n in zip(words, parts) if n]))
+        last = np.flatnonzero(self.ends[ids]) + 1
+        ends = np.r_[0, last][np.cumsum(parts)].tolist()
+        out, at = [], 0
+        for word, n, end in zip(words, parts, ends):
+            out.append(ids[at:end] if n else self._encoded(word))
+            at = end
+        self.ids.extend(np.concatenate(out), np.array(list(map(len, out)), np.int64))
+
+    def keep(self, kept: np.ndarray) -> None:
+        self.ids.keep(kept)
+
+    def of(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text (none null)."""
+        for lo, hi in text_slices(texts):
+            got = split_words(parted(texts.slice(lo, hi - lo)))
+            numbers = self.numbers(got.distinct.to_pylist())[got.codes]
+            flat = self.ids.take(numbers)
+            ends = np.r_[0, np.cumsum(self.ids.sizes(numbers))][got.starts].tolist()
+            for a, b in zip(ends, ends[1:]):
+                yield flat[a:b]
+
+
+def _in_parts(texts: pa.Array) -> tuple[pa.Array, list[int]]:
+    """The texts, long ones cut at spaces or line feeds, and the text that each part belongs to."""
+    texts = pc.fill_null(texts, "")
+    sizes = np.asarray(pc.binary_length(texts))
+    if not len(sizes) or sizes.max() <= _TEXT_STEP:
+        return texts, list(range(len(texts)))
+    parts, owner = [], []
+    for i, text in enumerate(texts.to_pylist()):
+        at = 0
+        while at < len(text) or at == 0:
+            end = at + _TEXT_STEP
+            if end < len(text):
+                cut = max(text.rfind(" ", at, end), text.rfind("\n", at, end))
+                if cut <= at:  # one endless word
+                    found = [p for p in (text.find(" ", end), text.find("\n", end)) if p >= 0]
+                    cut = min(found, default=len(text))
+                end = cut
+            parts.append(text[at:end])
+            owner.append(i)
+            at = end + 1
+    return pa.array(parts, pa.string()), owner
+
+
 def word_ids(path: str) -> WordIds:
-    return WordIds(path)
+    return per_process(f"word ids {path}", lambda: WordIds(path))
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
@@ -124,37 +147,27 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0
     ``path`` is the tokenizer's file, at the same place on every executor.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = word_ids(path)
-        for pdf in batches:
-            if len(known.number) > CACHE_WORDS:
-                known.clear()
+        for batch in batches:
+            texts, owner = _in_parts(batch.column(1))
             rows = []
-            for row, text in enumerate(pdf.text):
-                rest, piece = np.empty(0, np.uint32), 0
-                for ids in [*known.ids(text or ""), None] if len(text or "") <= _TEXT_STEP else _ended(known, text):
-                    rest = np.append(rest, np.uint32(end_id) if ids is None else ids)
-                    full = len(rest) // capacity + (ids is None and len(rest) % capacity > 0)
-                    for p in range(full):
-                        one = rest[p * capacity:(p + 1) * capacity]
-                        rows.append((row, piece, piece * capacity, len(one), zlib.crc32(one.astype("<u4").tobytes())))
-                        piece += 1
-                    rest = rest[full * capacity:]
-            out = pd.DataFrame(rows, columns=["row", "piece", "start", "length", "ids_crc32"])
-            out.insert(0, "doc_id", pdf.doc_id.take(out.row).array)
-            yield out.drop(columns="row")
-
-    named = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")  # pandas would round long ids with nulls
-    got = named.mapInPandas(run, "doc_id string, piece int, start long, length long, ids_crc32 long")
-    return got.withColumn("doc_id", F.col("doc_id").cast("long"))
-
-
-def _ended(known: WordIds, text: str) -> Iterator[np.ndarray | None]:
-    for ids in known.ids(text):
-        yield ids
-        if len(known.number) > CACHE_WORDS:
-            known.clear()
-    yield None
+            rest, piece = np.zeros(0, np.uint32), 0
+            for i, ids in enumerate(known.of(texts)):
+                ended = i + 1 == len(owner) or owner[i + 1] != owner[i]
+                rest = np.concatenate([rest, ids, np.full(int(ended), end_id, np.uint32)])
+                for at in range(0, len(rest) if ended else len(rest) - capacity + 1, capacity):
+                    one = rest[at:at + capacity]
+                    rows.append((owner[i], piece, piece * capacity, len(one), zlib.crc32(one.astype("<u4").tobytes())))
+                    piece += 1
+                rest, piece = (rest[:0], 0) if ended else (rest[len(rest) // capacity * capacity:], piece)
+            columns = list(zip(*rows)) if rows else [[]] * 5
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(columns[0], pa.int64())), pa.array(columns[1], pa.int32()),
+                 *(pa.array(c, pa.int64()) for c in columns[2:])], ["doc_id", "piece", "start", "length", "ids_crc32"])
+
+    schema = StructType([docs.schema["doc_id"], *StructType.fromDDL("piece int, start long, length long, ids_crc32 long")])
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def best_fit(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:
@@ -212,6 +225,15 @@ def ranked(rows: DataFrame, by: str, order: list[str | Column], bucket: Column)
         "_bucket", "_by", "_of", "_before", "_own")
 
 
+def planned_slots(spark: SparkSession, counts: dict[int, int], capacity: int = CAPACITY) -> DataFrame:
+    """length, rank, sequence_id, offset: the place of each piece, opened from the plan's rows in steps."""
+    plan = spark.createDataFrame(best_fit(counts, capacity), "length long, first long, number long, sequence long, offset long")
+    steps = plan.select("*", F.explode(F.sequence(F.lit(0), F.col("number") - 1, F.lit(SLOT_STEP))).alias("at"))
+    k = F.explode(F.sequence(F.col("at"), F.least(F.col("at") + SLOT_STEP, F.col("number")) - 1)).alias("k")
+    return steps.repartition("length", "first", "at").select("*", k).select(
+        "length", (F.col("first") + F.col("k")).alias("rank"), (F.col("sequence") + F.col("k")).alias("sequence_id"), "offset")
+
+
 def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
@@ -219,25 +241,11 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0)
     cut. Sequences are filled without gaps from offset 0. An empty text is a piece of one id. Repeated rows are packed
     each; their equal pieces may swap slots between runs, which changes no row. Null ids are kept. An empty table gives
     an empty table; other columns are ignored. The plan has a bounded size whatever the corpus: the driver sees one
-    count per length, and every task gets the slots (a few per length).
+    count per length and makes a few rows per length. Pieces take their slots by a join on length and rank.
     """
     cut = cut_lineage(pieces(docs, path, capacity, end_id))
     counts = {r.length: r.n for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    slots = sorted(best_fit(counts, capacity))
-    by_length = {n: tuple(np.array(x, np.int64) for x in list(zip(*[s for s in slots if s[0] == n]))[1:]) for n in counts}
-
-    @F.pandas_udf("sequence_id long, offset long")
-    def place(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
-        out = np.zeros((len(length), 2), np.int64)
-        n, r = length.to_numpy(), rank.to_numpy()
-        for one in np.unique(n):
-            at = np.flatnonzero(n == one)
-            first, _, sequence, offset = by_length[int(one)]
-            k = np.searchsorted(first, r[at], side="right") - 1
-            out[at, 0], out[at, 1] = sequence[k] + r[at] - first[k], offset[k]
-        return pd.DataFrame(out, columns=["sequence_id", "offset"])
-
     order = ["doc_id", "piece", "start", "ids_crc32"]
     rows = ranked(cut, "length", order, F.xxhash64("doc_id", "piece"))
-    return rows.withColumn("at", place("length", "rank")).select(
-        "doc_id", "piece", "start", "length", "ids_crc32", "at.sequence_id", "at.offset")
+    return rows.join(planned_slots(docs.sparkSession, counts, capacity), ["length", "rank"]).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

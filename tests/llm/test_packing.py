@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from docksense.llm.packing import WordIds, best_fit, pack
@@ -75,9 +76,15 @@ def test_odd_texts(spark, tokenizer):
 def test_word_ids_equal_the_tokenizer(tokenizer):
     rng, known = random.Random(2), WordIds(tokenizer_path())
     letters = "abcXYZéÀßøñç'’.,;-_#0189 \n\t ́日😀"
-    for _ in range(3000):
-        text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 40)))
-        assert np.concatenate([*known.ids(text)]).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+    letters += "<|endoftext|>&(\"*=^~Aa\x85\x1c\u00a0\u0338×÷İſKΣ\U0001d400"
+    known.limit = 700
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(6000)]
+    texts += ["<|EndOfText|> x<|endoftext|>y", "don't 'tis i'll we've 'S", "a=\u0338b", "x\u0301, é, É; ÷, ×! ñ'll", "12.5%3,000a1b2"]
+    texts += [a + b for a in "aé1,'÷ß日\u0301" for b in "aé1,'÷ß日\u0301"]
+    for i in range(0, len(texts), 200):
+        for text, ids in zip(texts[i:i + 200], known.of(pa.array(texts[i:i + 200]))):
+            assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+    assert len(known.number) < 2000
 
 
 @pytest.mark.parametrize("seed", range(30))
