@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 from docksense.catalog.base import day, query, ts
 from docksense.functions import calendar as cal
 from docksense.schemas import STATION_FEED
-from docksense.sources import landing, readers, writers
+from docksense.sources import landing, readers, versions, writers
 from docksense.streaming import status as live
 
 STATION_DDL = "station_id INT, name STRING, capacity INT, lon DOUBLE, lat DOUBLE, truck INT"
@@ -119,7 +119,10 @@ FROM old o FULL OUTER JOIN new n ON o.station_id = n.station_id""")
 def _(d):
     old = d("v_hourly").groupBy("station_id").agg(F.sum("total_bikes_taken").alias("amount"), F.max("hora_dia").alias("mark"))
     new = d("v_snapshot").groupBy("station_id").agg(F.max("snap_id").alias("amount"), F.max("capacity").alias("mark"))
-    return writers.upsert(old, new, ["station_id"])
+    path = d.path("amounts")
+    versions.replace_table(old, path)
+    writers.upsert_table(new, path, ["station_id"])
+    return versions.read_table(d.spark, path)
 
 
 def _messages(d):
@@ -148,8 +151,9 @@ def _(d):
     a = d("supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("balance"))
     b = d("customer").select("c_custkey", "c_name", "c_acctbal")
     path = d.path("merged")
-    writers.replace_table(writers.merge_datasets(a, b), path)
-    return readers.read_parquet(d.spark, path)
+    versions.replace_table(a, path)
+    versions.replace_table(writers.merge_datasets(versions.read_table(d.spark, path), b), path)  # over the path it reads
+    return versions.read_table(d.spark, path)
 
 
 @query("a15_partition_repair", f"""
@@ -206,9 +210,9 @@ def _(d):
 @query("a19_drop_and_replace", "SELECT station_id, capacity FROM v_station")
 def _(d):
     path = d.path("replace")
-    writers.replace_table(d("v_station").select("station_id", "truck"), path)
-    writers.replace_table(d("v_station").select("station_id", "capacity"), path)
-    return readers.read_parquet(d.spark, path)
+    versions.replace_table(d("v_station").select("station_id", "truck"), path)
+    versions.replace_table(d("v_station").select("station_id", "capacity"), path)
+    return versions.read_table(d.spark, path)
 
 
 @query("a20_nested_feed", "SELECT station_id, name, lat, lon, capacity FROM v_station")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docksense.sources.versions import read_table, replace_table
+
 
 def write_days(df: DataFrame, root: str, date_col: str) -> None:
     """One partition per day; only the days in ``df`` are replaced. Rows without a date are left out.
@@ -22,8 +24,8 @@ def write_days(df: DataFrame, root: str, date_col: str) -> None:
 
 
 def export_csv(df: DataFrame, path: str, single: bool = False) -> None:
-    """Header CSV. ``single`` merges into one file and is meant for small reports only."""
-    (df.coalesce(1) if single else df).write.mode("overwrite").option("header", True).csv(path)
+    """Header CSV. ``single`` brings the rows into one file, for small reports; the work before stays parallel."""
+    (df.repartition(1) if single else df).write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_documents(df: DataFrame, target: str, mode: str = "append", fmt: str = "parquet", **options) -> None:
@@ -31,10 +33,6 @@ def write_documents(df: DataFrame, target: str, mode: str = "append", fmt: str =
     df.write.format(fmt).options(**options).mode(mode).save(target)
 
 
-def replace_table(df: DataFrame, target: str) -> None:
-    df.write.mode("overwrite").parquet(target)
-
-
 def upsert(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``updates`` replace those of the same key, new keys are added."""
     cols = target.columns
@@ -45,6 +43,11 @@ def upsert(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
     return old.join(new, keys, "full_outer").select(*keys, *[row[c].alias(c) for c in rest]).select(*cols)
 
 
+def upsert_table(updates: DataFrame, target: str, keys: list[str]) -> int:
+    """``upsert`` into the versioned table at ``target``; the result is its next version, whose number is returned."""
+    return replace_table(upsert(read_table(updates.sparkSession, target), updates, keys), target)
+
+
 def merge_datasets(a: DataFrame, b: DataFrame, by_name: bool = False) -> DataFrame:
     return a.unionByName(b, allowMissingColumns=True) if by_name else a.union(b)
 
