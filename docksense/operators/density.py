@@ -10,7 +10,6 @@ of their levels and the pair's on, and the links' spanning forest tells the clus
 
 from __future__ import annotations
 
-import functools
 import math
 
 import numpy as np
@@ -52,7 +51,7 @@ def _contractions(edges: DataFrame) -> list[DataFrame]:
 def _components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """(v, label): one node id per connected component."""
     labels = nodes.select("v", F.col("v").alias("label"))
-    for root in _contractions(cut_lineage(edges.select("a", "b"))):
+    for root in _contractions(edges.select("a", "b")):
         joined = labels.join(root, labels.label == root.n, "left")
         labels = joined.select("v", F.coalesce("root", "label").alias("label"))
     return cut_lineage(labels)
@@ -203,7 +202,7 @@ def dbscan(df: DataFrame, eps: float, min_samples: int) -> DataFrame:
     near = Neighbours(df, [float(eps)], min_samples)
     cores = cut_lineage(near.cores([min_samples]).filter(F.col("from")[0].isNotNull()).select("node"))
     links = near.links.join(cores.select(F.col("node").alias("a")), "a").join(cores.select(F.col("node").alias("b")), "b")
-    labels = _components(links, cores.select(F.col("node").alias("v")))
+    labels = _components(cut_lineage(links.select("a", "b")), cores.select(F.col("node").alias("v")))
     names = labels.groupBy("label").agg(F.min(F.col("v")["id"]).alias("cluster"))
     named = cut_lineage(labels.join(names, "label").select(F.col("v").alias("node"), "cluster"))
     border = near.near.join(named.withColumnRenamed("node", "b"), "b").join(cores, F.col("a") == F.col("node"), "left_anti").groupBy(
@@ -241,10 +240,10 @@ def tune_dbscan(df: DataFrame, eps: list[float], min_samples: list[int]) -> Data
     edges = forest.select("setting", "a", "b", each).select(key("a").alias("a"), key("b").alias("b"))
     nodes = cores.select("node", F.posexplode("from").alias("setting", "level")).filter("level IS NOT NULL").select("setting", "node", each)
     alone = nodes.groupBy("setting", "e").agg(F.count("*").alias("nodes"))
-    gone = [r.filter("n <> root").select("n") for r in _contractions(cut_lineage(edges))]
-    none = edges.select(F.col("a").alias("n")).limit(0)
-    merged = functools.reduce(DataFrame.union, gone, none).groupBy(
-        F.col("n.setting").alias("setting"), F.col("n.e").alias("e")).agg(F.count("*").alias("merged"))
+    edges = cut_lineage(edges)
+    linked = edges.select(F.col("a").alias("v")).union(edges.select("b")).distinct()
+    merged = _components(edges, linked).groupBy(F.col("v.setting").alias("setting"), F.col("v.e").alias("e")).agg(
+        (F.count("*") - F.count_distinct("label")).alias("merged"))
     clusters = alone.join(merged, ["setting", "e"], "left").select(
         "setting", "e", (F.col("nodes") - F.coalesce("merged", F.lit(0))).alias("clusters"))
     pairs = df.sparkSession.createDataFrame([(s, i, e, m) for s, m in enumerate(ms) for i, e in enumerate(steps)], "s int, e int, eps double, min_samples int")

@@ -37,9 +37,9 @@ def explode_routes(routes: DataFrame) -> DataFrame:
 def route_paths(routes: DataFrame) -> DataFrame:
     """[lon, lat] path of every tour with more than one stop, put together from all its parts.
 
-    A message without a tour id is a tour of its own; a part that comes twice counts once.
+    A message without a tour id is a tour of its own, named by what it holds; a part that comes twice counts once.
     """
-    tour = F.coalesce("route_id", F.concat(F.lit("own "), F.monotonically_increasing_id().cast("string")))
+    tour = F.coalesce("route_id", F.concat(F.lit("own "), F.sha2(F.to_json("optimal_route").cast("binary"), 256)))
     parts = routes.withColumn("_tour", tour).groupBy("truck_id", "_tour", F.coalesce("part", F.lit(0)).alias("part")).agg(
         F.first("optimal_route").alias("stops"))
     whole = parts.groupBy("truck_id", "_tour").agg(F.sort_array(F.collect_list(F.struct("part", "stops"))).alias("_parts"))

@@ -1,3 +1,4 @@
+import json
 import time
 
 import numpy as np
@@ -53,8 +54,18 @@ def test_work_per_query_does_not_grow_with_the_hot_spot(spark):
     assert pairs(9000) < 2 * pairs(900)
 
 
-def test_shuffled_tree_gives_the_same(spark, monkeypatch):
-    monkeypatch.setattr(nearest, "BROADCAST_ROWS", 0)
+@pytest.mark.parametrize("fan", [64, 2])
+def test_shuffled_tree_gives_the_same(spark, monkeypatch, fan):
+    monkeypatch.setattr(nearest, "FAN", fan)
+    with_size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled_tree(spark)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", with_size)
+
+
+def shuffled_tree(spark):
     rng = np.random.default_rng(8)
     a, b = rng.uniform(0, 100, size=(100, 2)), rng.uniform(0, 100, size=(400, 2))
     got = nearest.nearest_distance(points(spark, a), points(spark, b), "d", "id").orderBy("id").toPandas()["d"].to_numpy()
@@ -131,6 +142,32 @@ def test_sweep_equals_single_runs(spark):
             assert out[e, m] == (len(set(want) - {-1}), int((want == -1).sum()))
 
 
+def test_sweep_along_chains(spark):
+    """Long chains, which take several rounds of contraction, and a grid of equal distances."""
+    line = np.array([(float(i * (1 if i % 50 else 1.2)), 0.0) for i in range(160)])
+    grid = np.array([(1000.0 + 10 * i, 5.0 * j) for i in range(7) for j in range(6)])
+    xy = np.random.default_rng(2).permutation(np.concatenate([line, grid]))
+    eps, ms = [1.0, 2.0, 5.0, 12.0], [2, 3, 5]
+    got = {(r["eps"], r["min_samples"]): (r["clusters"], r["noise"]) for r in density.tune_dbscan(points(spark, xy, "point_id"), eps, ms).collect()}
+    for e in eps:
+        for m in ms:
+            want = plain_dbscan(xy, e, m)
+            assert got[e, m] == (len(set(want.tolist()) - {-1}), int((want == -1).sum()))
+
+
+def test_full_cells_in_a_sweep(spark):
+    """Cells with very many points, beside thin ones, at distances around every eps; repeated places."""
+    rng = np.random.default_rng(4)
+    spots = [np.array(c) + rng.uniform(0, 0.5, (60, 2)) for c in ((0, 0), (1.4, 0), (4.2, 0.3), (4.2, 2.9), (9, 9))]
+    xy = np.concatenate([*spots, np.repeat([[20.0, 20.0]], 40, axis=0), [[20.9, 20.0], [22.5, 20.0]], rng.uniform(-3, 14, (60, 2))])
+    eps, ms = [1.0, 1.5, 3.0], [2, 4, 40]
+    got = {(r["eps"], r["min_samples"]): (r["clusters"], r["noise"]) for r in density.tune_dbscan(points(spark, xy, "point_id"), eps, ms).collect()}
+    for e in eps:
+        for m in ms:
+            want = plain_dbscan(xy, e, m)
+            assert got[e, m] == (len(set(want.tolist()) - {-1}), int((want == -1).sum())), (e, m)
+
+
 def test_thin_points_meet_a_strip_of_a_full_cell(spark):
     met = []
     for n in (3000, 48000):
@@ -189,6 +226,41 @@ def test_tours(spark, block):
         assert totals[truck]["balance_bicicletas"] == 12 * (stops.check_status == "low").sum() - 5 * (stops.check_status == "full").sum()
 
 
+def test_index_of_open_stops():
+    """The closest open stop at every step, places on a line and repeated places included; the work does not grow."""
+    import time
+
+    rng = np.random.default_rng(3)
+    for n, digits in ((1, 3), (300, 3), (900, 1), (900, 6)):
+        lons, lats = np.round(rng.uniform(2.0, 2.2, n), digits), np.round(rng.uniform(41.3, 41.5, n), digits)
+        if n == 900 and digits == 6:
+            lons[:400] = 2.1
+        stops, open_ = routes.OpenStops(lons, lats), np.ones(n, bool)
+        lon, lat = 2.0, 41.3
+        for _ in range(n):
+            d = np.where(open_, routes._metres(lon, lat, lons, lats), np.inf)
+            near = stops.closest(lon, lat)
+            i = int(near[routes._metres(lon, lat, lons[near], lats[near]).argmin()])
+            assert i == int(d.argmin())
+            stops.take(i)
+            open_[i], lon, lat = False, lons[i], lats[i]
+    seconds = {}
+    for n in (1000, 16000):
+        pdf = pd.DataFrame({"truck": 1, "station_id": np.arange(n), "lon": rng.uniform(2.0, 2.2, n), "lat": rng.uniform(41.3, 41.5, n),
+                            "cur_lon": 2.1, "cur_lat": 41.4, "cur_seq": 0, "horizon": np.inf})
+        began = time.process_time()
+        assert sorted(routes._walk(pdf).seq) == list(range(1, n + 1))
+        seconds[n] = (time.process_time() - began) / n
+    assert seconds[16000] < 3 * seconds[1000], seconds
+
+
+def test_route_id_names_the_order(spark):
+    df, _ = fleet(spark, 60)
+    tours = routes.truck_routes(df)
+    ids = lambda t: {r.key: json.loads(r.value)["route_id"] for r in routes.route_messages(t).collect()}
+    assert ids(tours) == ids(tours.withColumn("leg_distance", F.col("leg_distance") * (1 + 1e-12)))
+
+
 def test_one_stop_has_no_tour_and_two_go_out_and_back(spark):
     df, pdf = fleet(spark, 3)
     rows = [(0, 41.0, 2.0, "low", 0), (1, 41.0, 2.1, "full", 1), (2, 41.0, 2.2, "low", 1)]
@@ -209,6 +281,58 @@ def test_closest_partner_equals_brute_force(spark):
         assert r["degree"] == len(mates) and r["distance"] == pytest.approx(d.min(), abs=1e-3)
 
 
+def in_ring(x, y, xs, ys):
+    inside = False
+    for x1, y1, x2, y2 in zip(xs, ys, np.roll(xs, -1), np.roll(ys, -1)):
+        if (y1 > y) != (y2 > y) and x < x1 + (x2 - x1) * (y - y1) / (y2 - y1):
+            inside = not inside
+    return inside
+
+
+@pytest.mark.parametrize("vertices", [100, 3000])
+def test_points_meet_the_edges_of_their_band_only(spark, vertices):
+    from docksense.functions import geometry as geom
+
+    rng = np.random.default_rng(vertices)
+    angle = np.linspace(0, 2 * np.pi, vertices, endpoint=False)
+    radius = 100 * (1 + 0.2 * np.sin(9 * angle))
+    xs, ys = radius * np.cos(angle), radius * np.sin(angle)
+    ring = [(float(x), float(y)) for x, y in zip([*xs, xs[0]], [*ys, ys[0]])]
+    hole = [(-10.0, -10.0), (10.0, -10.0), (10.0, 10.0), (-10.0, 10.0), (-10.0, -10.0)]
+    flat = [(200.0, 5.0), (210.0, 5.0), (205.0, 5.0), (200.0, 5.0)]
+    shapes = spark.createDataFrame([(1, [ring, hole]), (2, [flat]), (3, [ring, hole])], "area_id int, rings array<array<struct<x:double,y:double>>>")
+    areas = shapes.select("area_id", geom.geometry(F.lit("POLYGON"), F.col("rings")).alias("geometry"))
+    pts = rng.uniform(-130, 130, (400, 2)).tolist() + [[0.0, 0.0], [10.0, 0.0], [205.0, 5.0]]
+    df = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(pts)], "id int, x double, y double")
+    got = {(r.id, r.area_id) for r in spatial.spatial_join_within(df, areas).select("id", "area_id").collect()}
+    hx, hy = np.array([p[0] for p in hole[:-1]]), np.array([p[1] for p in hole[:-1]])
+    want = {i for i, (x, y) in enumerate(pts[:400]) if in_ring(x, y, xs, ys) and not in_ring(x, y, hx, hy)}
+    assert got == {(i, a) for i in want for a in (1, 3)}
+    edge = spatial.spatial_join_within(df, areas, boundary=True).filter("id >= 400").select("id", "area_id")
+    assert {tuple(r) for r in edge.collect()} == {(401, 1), (401, 3), (402, 2)}
+    held = spatial.edge_bands(areas).select(F.avg(F.size("_edges")).alias("n"), F.max(F.size("_edges")).alias("most")).first()
+    assert held.n < 4 * spatial.BAND_EDGES
+
+
+def test_quantiles_of_all_columns_share_their_scans(spark):
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame({"a": rng.normal(size=3000), "b": np.where(rng.random(3000) < 0.6, 7.0, rng.exponential(size=3000)),
+                        "c": rng.integers(0, 5, 3000).astype(float), "d": np.nan})
+    df = spark.createDataFrame(pdf).withColumn("d", F.lit(None).cast("double"))
+
+    def jobs(group, cols):
+        spark.sparkContext.setJobGroup(group, group)
+        got = spatial.column_quantiles(df, cols, [0.1, 0.25, 0.5, 0.99], 64)
+        spark.sparkContext.setJobGroup("tests", "tests")
+        return got, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    got, n = jobs("all", ["a", "b", "c", "d"])
+    for c in "abc":
+        assert got[c] == pytest.approx(list(pdf[c].quantile([0.1, 0.25, 0.5, 0.99])))
+    assert got["d"] == [None] * 4
+    assert n == max(jobs(c, [c])[1] for c in "abc")
+
+
 def test_scale_of_constant_feature(spark):
     ref = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0)], "a double, b double")
     got = spatial.scale_like(ref, ref, ["a", "b"]).collect()
