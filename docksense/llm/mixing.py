@@ -131,8 +131,9 @@ def mix(docs: DataFrame) -> DataFrame:
 
     Where a quota ends within a document, the last row has its first words only, and n_chars (if there) follows.
     """
-    # the caller's row travels as one column, so that its names meet none of the plan's
-    got = _planned(_sized(docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("_doc"))))
+    # the rest of the caller's row travels as one column, so that its names meet none of the plan's
+    rest = F.struct(*[c for c in docs.columns if c != "text"]).alias("_doc")
+    got = _planned(_sized(docs.select("doc_id", "text", "source", rest)))
     parts = F.regexp_extract_all(F.col("text"), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
     head = F.array_join(F.slice(parts, 1, F.col("_extra").cast("int")), "")
     cut = (F.col("_extra") > 0) & (F.col("_extra") < F.col("_size"))
@@ -143,10 +144,12 @@ def mix(docs: DataFrame) -> DataFrame:
     rows = rows.select("_doc", short.alias("short"), F.when(short, head).otherwise(F.col("text")).alias("text"))
 
     def column(name: str) -> Column:
+        if name == "text":
+            return F.col("text")
         own = F.col("_doc").getField(name)
         if name == "n_chars":
             own = F.when(F.col("short"), F.length("text").cast(docs.schema[name].dataType)).otherwise(own)
-        return (F.col("text") if name == "text" else own).alias(name)
+        return own.alias(name)
 
     return rows.select(*[column(c) for c in docs.columns])
 
