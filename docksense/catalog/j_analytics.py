@@ -6,10 +6,12 @@ from docksense.catalog.base import day, query, ts
 from docksense.catalog.c_joins import CALENDAR_SQL, HAV_SQL, KNN, PLANE, UTC_BUCKET, WIDE_SQL, areas, features, plane, state, weather_series
 from docksense.catalog.d_aggregates import documents
 from docksense.catalog.i_streaming import TOUR
+from docksense.functions import calendar as cal
 from docksense.functions import geometry as geom
 from docksense.operators import aggs, clean, density, joins, ml, routes, spatial
 from docksense.plans import demand, expansion
 from docksense.session import cut_lineage
+from docksense.sources import readers
 
 
 @query("j01_kmeans_zones")
@@ -35,9 +37,11 @@ def prepared(d):
 
 
 def train_test(d):
-    dated = prepared(d).withColumn("date_reported", F.make_date("year", "month", "day")).na.drop(subset=[*ml.NUMERIC, ml.LABEL, "season"])
-    dated = cut_lineage(dated.select("station_id", "date_reported", "hora_dia", "season", *ml.NUMERIC, ml.LABEL))
-    return clean.split_by_date(dated, "date_reported", ("2024-01-01", "2024-01-20"), ("2024-01-21", "2024-01-30"))
+    # all readings of the table: its first days train, the others are held out
+    dated = prepared(d).withColumn("date_reported", F.make_date("year", "month", "day"))
+    numbers = [F.col(c).cast("double").alias(c) for c in ml.NUMERIC]
+    dated = cut_lineage(dated.select("station_id", "date_reported", "hora_dia", "season", *numbers, ml.LABEL))
+    return ml.split_days(dated, "date_reported")
 
 
 @query("j03_demand_regression")
@@ -49,8 +53,8 @@ def _(d):
 
 @query("j04_grid_search_cv")
 def _(d):
-    train, _test = train_test(d)
-    return ml.grid_scores(ml.tune(train), d.spark)
+    train, test = train_test(d)
+    return ml.grid_scores(ml.tune(train), test)
 
 
 @query("j05_regression_metrics", """
@@ -191,6 +195,41 @@ def _(d):
     return demand_table(d).select(*_COLS)
 
 
+LANDED = {"station_id": "INT", "num_bikes_available": "INT", "num_bikes_available_types.mechanical": "INT",
+          "num_bikes_available_types.ebike": "INT", "num_docks_available": "INT", "last_reported": "BIGINT", "is_charging_station": "BOOLEAN",
+          "is_installed": "INT", "is_renting": "INT", "is_returning": "INT", "status": "STRING", "last_updated": "BIGINT"}
+
+
+def landed_feed(d):
+    """The status view as the feed lands: text files of one row per station and poll, epoch seconds, dotted names."""
+    one = F.lit(1)
+    values = {"num_bikes_available_types.mechanical": F.col("num_bikes_available"), "num_bikes_available_types.ebike": F.lit(0),
+              "last_reported": cal.to_epoch(cal.local_to_utc("last_reported_local")), "is_charging_station": F.lit(True),
+              "is_installed": one, "is_renting": one, "is_returning": one, "last_updated": 1704067200 + F.col("event_id")}
+    path = d.path("landed")
+    d("v_status").select(*[values.get(c, F.col(c) if "." not in c else one).alias(c) for c in LANDED]).write.option("header", True).csv(path)
+    return readers.read_csv(d.spark, path, ", ".join(f"`{c}` {t}" for c, t in LANDED.items()))
+
+
+def landed_weather(d):
+    """The weather readings as they land, a table per variable."""
+    long = weather_series(d)
+    return {name: long.filter(F.col("variable") == name).select(
+        F.lit(name).alias("codi"), F.to_date("ts").alias("fecha"), F.date_format("ts", "HH:mm:ss").alias("hora"), "valor")
+        for name in ("temperatura", "precipitacion", "humedad")}
+
+
+SECONDS = "(SELECT * REPLACE (date_trunc('second', last_reported_local) AS last_reported_local) FROM v_status)"
+
+
+@query("j13_feed_to_demand", f"SELECT * REPLACE ({ts('last_reported_local')} AS last_reported_local) FROM ({DEMAND_SQL.replace('v_status', SECONDS)})")
+def _(d):
+    # from the files of the feed and the weather to the demand table; polls that say the same twice are read twice
+    raw = landed_feed(d)
+    status = demand.feed_readings(raw.unionByName(raw.filter("station_id % 3 = 0")))
+    return demand.demand_dataset(status, d("v_station"), d("v_holiday"), demand.weather_series(**landed_weather(d))).select(*_COLS)
+
+
 def _mean(c: str) -> str:
     return f"CAST(SUM({c}) OVER (PARTITION BY station_id) AS DOUBLE) / NULLIF(COUNT({c}) OVER (PARTITION BY station_id), 0)"
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
@@ -27,22 +27,43 @@ def truck_table(spark: SparkSession, k: int = 25, capacity: int = 30) -> DataFra
 
 
 def demand_stages(reg_param: float = 0.1) -> Pipeline:
-    """Index, one-hot, assemble, scale and regress.
+    """Impute, index, one-hot, assemble, scale and regress.
 
-    Features are scaled but not centred, which keeps the one-hot vectors sparse; centring would only move the
-    intercept. Stations or seasons unseen in training fall into an extra category.
+    A missing number takes the mean of the training rows, so no reading is left out for one. Features are scaled but not
+    centred, which keeps the one-hot vectors sparse; centring would only move the intercept. Stations or seasons that are
+    missing or unseen in training fall into an extra category.
     """
+    filled = [f"{c}_filled" for c in NUMERIC]
+    impute = Imputer(strategy="mean", inputCols=NUMERIC, outputCols=filled)
     index = StringIndexer(inputCols=["season", "station_id"], outputCols=["season_index", "station_index"], handleInvalid="keep")
     encode = OneHotEncoder(inputCols=["season_index", "station_index", "hora_dia"],
                            outputCols=["season_vec", "station_vec", "hora_vec"], handleInvalid="keep")
-    assemble = VectorAssembler(inputCols=["hora_vec", "season_vec", "station_vec", *NUMERIC], outputCol="features")
+    assemble = VectorAssembler(inputCols=["hora_vec", "season_vec", "station_vec", *filled], outputCol="features")
     scale = StandardScaler(inputCol="features", outputCol="scaled_features", withMean=False, withStd=True)
     regress = LinearRegression(featuresCol="scaled_features", labelCol=LABEL, regParam=reg_param)
-    return Pipeline(stages=[index, encode, assemble, scale, regress])
+    return Pipeline(stages=[impute, index, encode, assemble, scale, regress])
+
+
+def split_days(df: DataFrame, date_col: str, share: float = 2 / 3) -> tuple[DataFrame, DataFrame]:
+    """Training rows and hold-out rows: the first ``share`` of the days that the table spans, and the others.
+
+    Every row is in one of the two; one without a date trains.
+    """
+    span = df.agg(F.min(date_col).alias("first"), (F.datediff(F.max(date_col), F.min(date_col)) + 1).alias("days")).first()
+    if span["first"] is None:
+        return df, df.limit(0)
+    late = F.datediff(F.col(date_col), F.lit(span["first"])) >= max(1, round(span["days"] * share))
+    late = F.coalesce(late, F.lit(False))
+    return df.filter(~late), df.filter(late)
+
+
+def labelled(df: DataFrame) -> DataFrame:
+    """Rows whose demand is known; the others can be predicted, but neither fitted nor scored."""
+    return df.filter(F.col(LABEL).isNotNull() & ~F.isnan(F.col(LABEL).cast("double")))
 
 
 def fit_demand(train: DataFrame, reg_param: float = 0.1) -> PipelineModel:
-    return demand_stages(reg_param).fit(train)
+    return demand_stages(reg_param).fit(labelled(train))
 
 
 def tune(train: DataFrame, folds: int = 3, parallelism: int = 4) -> CrossValidatorModel:
@@ -55,22 +76,24 @@ def tune(train: DataFrame, folds: int = 3, parallelism: int = 4) -> CrossValidat
     )
     judge = RegressionEvaluator(labelCol=LABEL, predictionCol="prediction", metricName="rmse")
     return CrossValidator(estimator=stages, estimatorParamMaps=grid, evaluator=judge, numFolds=folds,
-                          parallelism=parallelism, seed=1).fit(train)
-
-
-def grid_scores(model: CrossValidatorModel, spark: SparkSession) -> DataFrame:
-    """Mean RMSE of every grid point."""
-    rows = [
-        ({p.name: float(v) for p, v in params.items()}, float(score))
-        for params, score in zip(model.getEstimatorParamMaps(), model.avgMetrics)
-    ]
-    return spark.createDataFrame(
-        [(p["regParam"], p["elasticNetParam"], int(p["maxIter"]), s) for p, s in rows],
-        "reg_param double, elastic_net double, max_iter int, rmse double",
-    )
+                          parallelism=parallelism, seed=1).fit(labelled(train))
+
+
+def grid_scores(model: CrossValidatorModel, test: DataFrame) -> DataFrame:
+    """Mean RMSE of every grid point; for the one that was chosen also RMSE and R2 on the hold-out rows ``test``."""
+    held = evaluate(labelled(model.transform(test)))
+    best = min(range(len(model.avgMetrics)), key=lambda i: model.avgMetrics[i])
+    rows = []
+    for i, (params, score) in enumerate(zip(model.getEstimatorParamMaps(), model.avgMetrics)):
+        p = {p.name: float(v) for p, v in params.items()}
+        own = (held["rmse"], held["r2"]) if i == best else (None, None)
+        rows.append((p["regParam"], p["elasticNetParam"], int(p["maxIter"]), float(score), i == best, *own))
+    return test.sparkSession.createDataFrame(
+        rows, "reg_param double, elastic_net double, max_iter int, rmse double, chosen boolean, holdout_rmse double, holdout_r2 double")
 
 
 def evaluate(predictions: DataFrame) -> dict[str, float]:
+    """RMSE and R2 of rows with a label and a prediction."""
     return {
         m: RegressionEvaluator(labelCol=LABEL, predictionCol="prediction", metricName=m).evaluate(predictions)
         for m in ("rmse", "r2")

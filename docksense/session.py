@@ -5,9 +5,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folder of the present run below the shared one.
+_RUN: ContextVar[str] = ContextVar("run", default="")
+
 
 def build_session(master: str | None = None, app: str = "docksense", **conf) -> SparkSession:
     """A session with a UTC zone, ANSI mode and adaptive execution."""
@@ -44,9 +50,27 @@ def shared_folder(spark: SparkSession) -> str:
     return root
 
 
+@contextmanager
+def run_folder(spark: SparkSession, label: str = "run") -> Iterator[str]:
+    """Keep the written tables of a job in one folder and drop it at the end.
+
+    The job's result must be written or collected inside: it may read those tables. Without this they stay in the shared
+    folder until it is cleared.
+    """
+    name = f"{label}-{uuid.uuid4().hex[:12]}"
+    folder = f"{shared_folder(spark).rstrip('/')}/{name}"
+    token = _RUN.set(f"{name}/")
+    try:
+        yield folder
+    finally:
+        _RUN.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    """A fresh path under the shared folder, in the folder of the run if there is one."""
+    return f"{shared_folder(spark).rstrip('/')}/{_RUN.get()}{label}-{uuid.uuid4().hex[:12]}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -269,3 +269,70 @@ def test_days_are_completed_to_24_hours(spark):
     assert got[1] == [5] * 20 + [9] * 4 and got[2] == [None] * 24
     hours = aggs.complete_days(docs.filter("station_id = 1")).selectExpr("status.hour AS h").first().h
     assert hours == list(range(24))
+
+
+def demand_rows(spark, days=12):
+    rows = []
+    for day_ in range(days):
+        for station in (1, 2, 3):
+            for hour in (8, 12, 18):
+                gap = (day_ + station + hour) % 5 == 0
+                rows.append((station, datetime.date(2024, 1, 1) + datetime.timedelta(day_), hour, None if gap else "Invierno", 1.0,
+                             None if gap else 10.0 + day_, 0.5, 60.0 + hour, 0.0, None if station == 3 and day_ == 4 else station * 3 + hour // 6))
+    names = ", ".join(f"{c} double" for c in ml.NUMERIC)
+    return spark.createDataFrame(rows, f"station_id int, date_reported date, hora_dia int, season string, {names}, {ml.LABEL} int")
+
+
+def test_every_reading_trains_or_is_held_out(spark):
+    df = demand_rows(spark)
+    train, test = ml.split_days(df, "date_reported", 0.75)
+    assert train.count() + test.count() == df.count()
+    assert train.agg(F.max("date_reported")).first()[0] == datetime.date(2024, 1, 9)
+    assert test.agg(F.min("date_reported")).first()[0] == datetime.date(2024, 1, 10)
+    undated = df.withColumn("date_reported", F.lit(None).cast("date"))
+    assert [x.count() for x in ml.split_days(undated, "date_reported")] == [df.count(), 0]
+    assert [x.count() for x in ml.split_days(df.limit(1), "date_reported")] == [1, 0]
+
+
+def test_missing_numbers_take_the_training_mean(spark):
+    train, test = ml.split_days(demand_rows(spark), "date_reported", 0.75)
+    model = ml.fit_demand(train)
+    out = model.transform(test)
+    assert out.count() == test.count() and out.filter("prediction IS NULL").count() == 0
+    means = model.stages[0].surrogateDF.first()
+    assert means["temperatura"] == pytest.approx(train.agg(F.avg("temperatura")).first()[0])
+    filled = out.filter("temperatura IS NULL").select("temperatura_filled").distinct().collect()
+    assert [r[0] for r in filled] == [means["temperatura"]]
+
+
+def test_chosen_model_is_scored_on_the_hold_out(spark):
+    train, test = ml.split_days(demand_rows(spark), "date_reported", 0.75)
+
+    class Chosen:
+        """What the scores need of a tuned model: two grid points, the second one better."""
+
+        avgMetrics = [2.0, 1.0]
+        best = ml.fit_demand(train, 0.01)
+        transform = best.transform
+
+        def getEstimatorParamMaps(self):
+            lr = ml.demand_stages().getStages()[-1]
+            return [{lr.regParam: r, lr.elasticNetParam: 0.0, lr.maxIter: 10} for r in (0.1, 0.01)]
+
+    rows = ml.grid_scores(Chosen(), test).orderBy("rmse").collect()
+    want = ml.evaluate(ml.labelled(Chosen.best.transform(test)))
+    assert [(r.reg_param, r.chosen) for r in rows] == [(0.01, True), (0.1, False)]
+    assert rows[0].holdout_rmse == pytest.approx(want["rmse"]) and rows[0].holdout_r2 == pytest.approx(want["r2"])
+    assert rows[1].holdout_rmse is None
+
+
+def test_scratch_of_a_run_is_dropped(spark):
+    import os
+
+    from docksense.session import cut_lineage, new_path, run_folder
+
+    with run_folder(spark, "trial") as folder:
+        assert cut_lineage(spark.range(3)).count() == 3
+        assert new_path(spark, "x").startswith(folder) and os.listdir(folder)
+    assert not os.path.exists(folder)
+    assert not new_path(spark, "x").startswith(folder)
