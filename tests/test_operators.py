@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docksense.functions import calendar as cal
-from docksense.operators import aggs, clean, joins, windows
+from docksense.operators import aggs, clean, joins, ml, windows
 from docksense.operators.spatial import exact_quantiles
 from docksense.plans import demand
 from docksense.sources import landing, readers, writers
@@ -277,7 +277,7 @@ def demand_rows(spark, days=12):
         for station in (1, 2, 3):
             for hour in (8, 12, 18):
                 gap = (day_ + station + hour) % 5 == 0
-                rows.append((station, datetime.date(2024, 1, 1) + datetime.timedelta(day_), hour, None if gap else "Invierno", 1.0,
+                rows.append((station, dt.date(2024, 1, 1) + dt.timedelta(day_), hour, None if gap else "Invierno", 1.0,
                              None if gap else 10.0 + day_, 0.5, 60.0 + hour, 0.0, None if station == 3 and day_ == 4 else station * 3 + hour // 6))
     names = ", ".join(f"{c} double" for c in ml.NUMERIC)
     return spark.createDataFrame(rows, f"station_id int, date_reported date, hora_dia int, season string, {names}, {ml.LABEL} int")
@@ -287,8 +287,8 @@ def test_every_reading_trains_or_is_held_out(spark):
     df = demand_rows(spark)
     train, test = ml.split_days(df, "date_reported", 0.75)
     assert train.count() + test.count() == df.count()
-    assert train.agg(F.max("date_reported")).first()[0] == datetime.date(2024, 1, 9)
-    assert test.agg(F.min("date_reported")).first()[0] == datetime.date(2024, 1, 10)
+    assert train.agg(F.max("date_reported")).first()[0] == dt.date(2024, 1, 9)
+    assert test.agg(F.min("date_reported")).first()[0] == dt.date(2024, 1, 10)
     undated = df.withColumn("date_reported", F.lit(None).cast("date"))
     assert [x.count() for x in ml.split_days(undated, "date_reported")] == [df.count(), 0]
     assert [x.count() for x in ml.split_days(df.limit(1), "date_reported")] == [1, 0]
@@ -300,7 +300,7 @@ def test_missing_numbers_take_the_training_mean(spark):
     out = model.transform(test)
     assert out.count() == test.count() and out.filter("prediction IS NULL").count() == 0
     means = model.stages[0].surrogateDF.first()
-    assert means["temperatura"] == pytest.approx(train.agg(F.avg("temperatura")).first()[0])
+    assert means["temperatura"] == pytest.approx(ml.labelled(train).agg(F.avg("temperatura")).first()[0])
     filled = out.filter("temperatura IS NULL").select("temperatura_filled").distinct().collect()
     assert [r[0] for r in filled] == [means["temperatura"]]
 
