@@ -30,7 +30,7 @@ CHUNK = 1 << 16
 #: Fragments composed at once.
 FAN = 16
 #: Distinct words that a task keeps, words tokenized in one call, pairs of ids that a task gets at once (16 bytes each).
-KNOWN_WORDS, AT_ONCE, BLOCK_PAIRS = 500_000, 2048, 4_000_000
+KNOWN_WORDS, AT_ONCE, BLOCK_PAIRS = 400_000, 2048, 4_000_000
 #: A group with more links than this is counted by its distinct ids.
 LARGE_GROUP = 1 << 12
 

@@ -21,7 +21,7 @@ CAPACITY = 2048
 #: Hash buckets that a length is dealt into for ranking, so that no length is ranked in one task.
 RANK_BUCKETS = 64
 #: Distinct words whose ids a task keeps; when there are more, those met in one batch only go.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 250_000
 #: Slots that one row of the plan is opened to at once.
 SLOT_STEP = 1 << 16
 _TEXT_STEP = 1 << 20  # characters of a long text that are laid out at once

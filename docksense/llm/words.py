@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are split at once; a longer text is a batch of its own.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 class Words(NamedTuple):
