@@ -186,7 +186,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, tile_rows: int
     every = tiled.select(*key, "tile").distinct()
     other = every.withColumnsRenamed({"range": "range2", "tile": "tile2"})
     pairs = near.join(every, key).join(other, ["label", "d", "range2"]).filter("range2 > range or tile2 >= tile")
-    pairs = cut_lineage(pairs.withColumn("pair", F.xxhash64("label", "d", "range", "tile", "range2", "tile2")))
+    pairs = cut_lineage(pairs.withColumn("pair", F.monotonically_increasing_id()))  # one number each, as written
     cols = ["pair", "side", "cls", "copies", "embedding", "axes_"]
     at = [*key, "tile"]
     left = tiled.join(pairs.select(*at, "pair"), at).withColumn("side", F.lit(0)).select(*cols)
