@@ -30,7 +30,9 @@ CHUNK = 1 << 16
 #: Fragments composed at once.
 FAN = 16
 #: Distinct words that a task keeps, words tokenized in one call, pairs of ids that a task gets at once (16 bytes each).
-KNOWN_WORDS, AT_ONCE, BLOCK_PAIRS = 400_000, 2048, 4_000_000
+KNOWN_WORDS, AT_ONCE, BLOCK_PAIRS = 500_000, 2048, 4_000_000
+#: Bytes of text that are split into words at once.
+SPLIT_BYTES = 8 << 20
 #: A group with more links than this is counted by its distinct ids.
 LARGE_GROUP = 1 << 12
 
@@ -232,7 +234,7 @@ class Aligner(Known):
         A text with its leading space is cut before each space or line feed that stands between two characters that are
         not white space. Both tokenizers end a token there whatever follows or precedes.
         """
-        for lo, hi in text_slices(texts):
+        for lo, hi in text_slices(texts, SPLIT_BYTES):
             got = split_words(pc.replace_substring(texts.slice(lo, hi - lo), "\n", " \n"), blanks=True)
             names = [w if w[:1] == "\n" else " " + w for w in got.distinct.to_pylist()]
             opens = np.array([len(w) > 1 and not w[1].isspace() for w in names], bool)
