@@ -1,10 +1,9 @@
 """Exact nearest-object search in any number of dimensions, without all-pairs joins.
 
-Objects (points or boxes) are sorted once along a space-filling curve and packed into a tree from the bottom up: so many
-neighbours in a row are a leaf, so many leaves in a row a node, and so on. Each node has the tight bounds and number of its
-objects, and all leaves are equally full however the objects lie. A query first walks down one path of nodes to get a distance
-within which its k nearest objects lie, then walks down again through every node that is not farther than that. Each step is
-an equi-join on the node, so the work per query does not depend on how many objects share a neighbourhood or a place.
+Objects (points or boxes) are summarised in nested grid cells, each with the tight bounds and number of its
+objects. A query first walks down one path of cells to get a distance within which its k nearest objects lie,
+then walks down again through every cell that is not farther than that. Each step is an equi-join on the cell,
+so the work per query does not depend on how many objects share a neighbourhood or a place.
 """
 
 from __future__ import annotations
@@ -18,10 +17,7 @@ from pyspark.sql import Window as W
 from docksense.operators.layout import spread
 from docksense.session import cut_lineage
 
-# nodes that one node has below it
-FAN = 64
-# bits of a place on the curve, and of a row's place in its sorted partition
-CURVE_BITS, ROW_BITS = 62, 33
+MAX_BITS = 48
 
 
 def _square(parts: list[Column]) -> Column:
@@ -47,25 +43,17 @@ def _placed(df: DataFrame, cols: list[str]) -> DataFrame:
     return df
 
 
-def _curve(cells: list[Column], bits: int) -> Column:
-    """Place on the curve: the cells' bits, interleaved."""
-    out = F.lit(0).cast("bigint")
-    for b in range(bits):
-        for i, c in enumerate(cells):
-            out = out.bitwiseOR(F.shiftleft(F.shiftright(c, b).bitwiseAND(F.lit(1).cast("bigint")), b * len(cells) + i))
-    return out
-
-
 def candidates(queries: DataFrame, q_cols: list[str], objects: DataFrame, lo: list[str], hi: list[str],
                k: int = 1, weight: str | None = None, group: str | None = None, leaf: int = 64) -> DataFrame:
     """Join each query with a small set of objects that holds its k nearest ones.
 
     ``weight`` counts equal objects kept as one row. ``group`` limits each query to the objects of the same
     value (a column of both sides). Column names of the two sides must differ, except ``group``. Rows without
-    a place are left out on both sides. Joins carry no hint: Spark broadcasts a level of the tree if it is small.
+    a place are left out on both sides. Joins carry no hint: Spark broadcasts what it measures to be small.
     """
     d = len(q_cols)
     queries, objects = _placed(queries, q_cols), _placed(objects, [*lo, *hi])
+    step = max(1, 6 // d)
     objects = objects.withColumn("_w", F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint"))
     lo_c, hi_c = [f"_lo{i}" for i in range(d)], [f"_hi{i}" for i in range(d)]
     objects = objects.withColumns({c: F.col(s).cast("double") for c, s in zip(lo_c + hi_c, lo + hi)})
@@ -79,38 +67,41 @@ def candidates(queries: DataFrame, q_cols: list[str], objects: DataFrame, lo: li
             objects.select(*own).withColumn("_j", F.lit(1)), "_j"
         ).drop("_j")
 
-    bits = min(CURVE_BITS // d, 31)
-
-    def cell(i: int) -> Column:
+    def cell(i: int, bits: int) -> Column:
         span = (size[hi_c[i]] - size[lo_c[i]]) or 1.0
         share = ((F.col(lo_c[i]) + F.col(hi_c[i])) / 2 - size[lo_c[i]]) / span
-        return F.least(F.floor(share * float(2**bits)), F.lit(2**bits - 1).cast("bigint"))
+        return F.least(F.floor(share * float(2**bits)), F.lit(2**bits - 1))
 
     top = F.xxhash64(group) if group else F.lit(0).cast("bigint")
-    along = ["_top", "_at", *lo_c, *hi_c]
-    packed = objects.withColumns({"_top": top, "_at": _curve([cell(i) for i in range(d)], bits)})
-    packed = packed.repartitionByRange(*along).sortWithinPartitions(*along).withColumn("_row", F.monotonically_increasing_id())
-    packed = cut_lineage(packed.drop("_at"))
-    depth = max(1, math.ceil(math.log(max(n / leaf, 2), FAN)))
 
     def key(level: int) -> Column:
-        """Node of an object: the group at level 0, else its part of the sorted partition; a leaf at the last level."""
         if level == 0:
-            return F.col("_top")
-        rows = leaf * FAN ** (depth - level)
-        mask = (1 << ROW_BITS) - 1
-        return F.xxhash64("_top", F.shiftright("_row", ROW_BITS), F.floor(F.col("_row").bitwiseAND(F.lit(mask)) / rows), F.lit(level))
+            return top
+        return F.xxhash64(top, *[cell(i, level * step) for i in range(d)])
+
+    # depth at which no cell holds more than ``leaf`` objects (or the grid is as fine as it gets)
+    depth = max(1, math.ceil(math.log2(max(n / leaf, 2)) / (d * step)))
+    while (depth + 1) * step <= MAX_BITS:
+        fullest = objects.groupBy(key(depth).alias("c")).count().agg(F.max("count")).first()[0]
+        if fullest <= leaf:
+            break
+        depth += 1
 
     keys = [f"_k{i}" for i in range(depth + 1)]
-    keyed = packed.withColumns({keys[i]: key(i) for i in range(depth + 1)})
+    keyed = objects.withColumns({keys[i]: key(i) for i in range(depth + 1)})
     shrink = [F.min(c).alias(c) for c in lo_c] + [F.max(c).alias(c) for c in hi_c] + [F.sum("_w").alias("_w")]
-    nodes = {depth: cut_lineage(keyed.groupBy(*keys).agg(*shrink))}
-    for level in range(depth - 1, 0, -1):
-        nodes[level] = nodes[level + 1].groupBy(*keys[: level + 1]).agg(*shrink)
+    nodes = {}
+    below = keyed
+    for level in range(depth, 0, -1):
+        below = below.groupBy(*keys[: level + 1]).agg(*shrink)
+        if depth > 3:  # many levels would repeat this plan in every step above
+            below = cut_lineage(below)
+        nodes[level] = below
 
     def children(level: int) -> DataFrame:
         kid = F.struct(F.col(keys[level]).alias("key"), *lo_c, *hi_c, "_w")
-        return nodes[level].groupBy(F.col(keys[level - 1]).alias("_key")).agg(F.collect_list(kid).alias("_kids"))
+        kids = nodes[level].groupBy(F.col(keys[level - 1]).alias("_key")).agg(F.collect_list(kid).alias("_kids"))
+        return kids
 
     q = [F.col(c).cast("double") for c in q_cols]
 

@@ -271,7 +271,7 @@ def test_days_are_completed_to_24_hours(spark):
     assert hours == list(range(24))
 
 
-def demand_rows(spark, days=12):
+def regression_rows(spark, days=12):
     rows = []
     for day_ in range(days):
         for station in (1, 2, 3):
@@ -284,7 +284,7 @@ def demand_rows(spark, days=12):
 
 
 def test_every_reading_trains_or_is_held_out(spark):
-    df = demand_rows(spark)
+    df = regression_rows(spark)
     train, test = ml.split_days(df, "date_reported", 0.75)
     assert train.count() + test.count() == df.count()
     assert train.agg(F.max("date_reported")).first()[0] == dt.date(2024, 1, 9)
@@ -295,7 +295,7 @@ def test_every_reading_trains_or_is_held_out(spark):
 
 
 def test_missing_numbers_take_the_training_mean(spark):
-    train, test = ml.split_days(demand_rows(spark), "date_reported", 0.75)
+    train, test = ml.split_days(regression_rows(spark), "date_reported", 0.75)
     model = ml.fit_demand(train)
     out = model.transform(test)
     assert out.count() == test.count() and out.filter("prediction IS NULL").count() == 0
@@ -306,7 +306,7 @@ def test_missing_numbers_take_the_training_mean(spark):
 
 
 def test_chosen_model_is_scored_on_the_hold_out(spark):
-    train, test = ml.split_days(demand_rows(spark), "date_reported", 0.75)
+    train, test = ml.split_days(regression_rows(spark), "date_reported", 0.75)
 
     class Chosen:
         """What the scores need of a tuned model: two grid points, the second one better."""

@@ -54,9 +54,7 @@ def test_work_per_query_does_not_grow_with_the_hot_spot(spark):
     assert pairs(9000) < 2 * pairs(900)
 
 
-@pytest.mark.parametrize("fan", [64, 2])
-def test_shuffled_tree_gives_the_same(spark, monkeypatch, fan):
-    monkeypatch.setattr(nearest, "FAN", fan)
+def test_shuffled_tree_gives_the_same(spark):
     with_size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
