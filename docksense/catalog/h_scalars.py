@@ -196,10 +196,28 @@ def _(d):
     return d("v_poi").select("poi_id", F.round(geo.haversine("lon", "lat", F.lit(2.1686), F.lit(41.3874)), 4).alias("metres"))
 
 
+def number_sql(v: float) -> str:
+    """A DOUBLE literal; without an exponent it would be a decimal."""
+    return f"{v!r}e0" if "e" not in repr(v) else repr(v)
+
+
+def degrees_sql(source: str) -> str:
+    """``source`` with ``lon`` and ``lat`` next to its UTM 31N ``x`` and ``y``."""
+    r = number_sql(0.9996 * geo._RECT)
+    b1, b2, b3 = map(number_sql, geo._BETA)
+    d1, d2, d3 = map(number_sql, geo._DELTA)
+    return f"""(SELECT * EXCLUDE (xi, eta, xi1, eta1, chi), 3 + degrees(atan2(sinh(eta1), cos(xi1))) AS lon,
+  degrees(chi + {d1} * sin(2 * chi) + {d2} * sin(4 * chi) + {d3} * sin(6 * chi)) AS lat
+  FROM (SELECT *, asin(sin(xi1) / cosh(eta1)) AS chi FROM (SELECT *,
+    xi - {b1} * sin(2 * xi) * cosh(2 * eta) - {b2} * sin(4 * xi) * cosh(4 * eta) - {b3} * sin(6 * xi) * cosh(6 * eta) AS xi1,
+    eta - {b1} * cos(2 * xi) * sinh(2 * eta) - {b2} * cos(4 * xi) * sinh(4 * eta) - {b3} * cos(6 * xi) * sinh(6 * eta) AS eta1
+  FROM (SELECT *, y / {r} AS xi, (x - 500000) / {r} AS eta FROM {source}))))"""
+
+
 def utm_sql(source: str) -> str:
     """``source`` with UTM 31N ``x`` and ``y`` next to its ``lon`` and ``lat``."""
     n = geo._N
-    a1, a2, a3 = (f"{a!r}e0" if "e" not in repr(a) else repr(a) for a in geo._ALPHA)
+    a1, a2, a3 = map(number_sql, geo._ALPHA)
     k = f"{2 * n ** 0.5 / (1 + n)!r}e0"
     r = f"{0.9996 * geo._RECT!r}e0"
     return f"""(SELECT * EXCLUDE (sp, t, xi, eta),

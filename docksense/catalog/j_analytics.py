@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from docksense.catalog.base import day, query, ts
 from docksense.catalog.c_joins import CALENDAR_SQL, HAV_SQL, KNN, PLANE, UTC_BUCKET, WIDE_SQL, areas, features, plane, state, weather_series
-from docksense.catalog.d_aggregates import documents
+from docksense.catalog.d_aggregates import documents, rotation_sql, shortage_sql
+from docksense.catalog.h_scalars import degrees_sql, utm_sql
 from docksense.catalog.i_streaming import TOUR
 from docksense.functions import calendar as cal
 from docksense.functions import geometry as geom
@@ -131,17 +132,67 @@ def _(d):
     return density.tune_dbscan(poi_points(d), [100.0, 200.0, 300.0, 400.0, 500.0], [2, 3, 4, 5]).select("eps", "min_samples", "clusters", "noise", "score")
 
 
-@query("j10_site_selection")
+POPULAR_SQL = f"""SELECT DISTINCT station_id FROM (SELECT station_id FROM ({shortage_sql('num_bikes_available')})
+  UNION ALL SELECT station_id FROM ({shortage_sql('num_docks_available')}) UNION ALL SELECT station_id FROM ({rotation_sql(24)}))"""
+LAYER_CUTS = ["Brand#1", "Brand#2", "Brand#3", "Brand#4", "Brand#5", "Brand#6"]
+LAYER_SQL = "SELECT kind, id, {cols} FROM near JOIN poi ON TRUE GROUP BY 1, 2".format(cols=", ".join(
+    f"MIN(sqrt(pow(near.x - poi.x, 2) + pow(near.y - poi.y, 2))) FILTER (category >= '{lo}' AND category < '{hi}') AS {c}"
+    for c, lo, hi in zip(expansion.POINT_LAYERS, LAYER_CUTS, LAYER_CUTS[1:])))
+
+
+def corner_sql(lon: str, lat: str, name: str) -> str:
+    return utm_sql(f"(SELECT area_id, '{name}' AS corner, {lon} AS lon, {lat} AS lat FROM v_area)")
+
+
+#: Every step by its definition: all pairs of points and objects, all pairs of the best places for each setting.
+SITES_SQL = f"""WITH RECURSIVE st AS MATERIALIZED (SELECT station_id, x, y FROM {utm_sql('v_station')}),
+corner AS MATERIALIZED (SELECT * FROM {corner_sql('xmin', 'ymin', 'a')} UNION ALL SELECT * FROM {corner_sql('xmax', 'ymin', 'b')}
+  UNION ALL SELECT * FROM {corner_sql('xmax', 'ymax', 'c')} UNION ALL SELECT * FROM {corner_sql('xmin', 'ymax', 'd')}),
+quad AS MATERIALIZED (SELECT area_id, {', '.join(f"MAX({v}) FILTER (corner = '{c}') AS {v}{c}" for c in 'abcd' for v in 'xy')} FROM corner GROUP BY 1),
+box AS (SELECT MIN(x) AS x0, MIN(y) AS y0, CAST(ceil((MAX(x) - MIN(x)) / 10) AS BIGINT) AS nx, CAST(ceil((MAX(y) - MIN(y)) / 10) AS BIGINT) AS ny FROM corner),
+grid AS MATERIALIZED (SELECT j * nx + i AS id, x0 + i * 10 AS x, y0 + j * 10 AS y
+  FROM box, (SELECT unnest(range(3000)) AS i), (SELECT unnest(range(3000)) AS j) WHERE i < nx AND j < ny),
+seg AS MATERIALIZED (SELECT p.x AS x1, p.y AS y1, q.x - p.x AS dx, q.y - p.y AS dy
+  FROM {utm_sql('(SELECT lane_id, x1 AS lon, y1 AS lat FROM v_lane)')} p JOIN {utm_sql('(SELECT lane_id, x2 AS lon, y2 AS lat FROM v_lane)')} q USING (lane_id)),
+pop AS MATERIALIZED (SELECT station_id, x, y FROM st WHERE station_id IN ({POPULAR_SQL})),
+place AS MATERIALIZED (SELECT 'site' AS kind, id, x, y FROM grid UNION ALL SELECT 'popular', CAST(station_id AS BIGINT), x, y FROM pop),
+lane AS MATERIALIZED (SELECT kind, id, x, y, MIN(sqrt(pow(x - x1 - f * dx, 2) + pow(y - y1 - f * dy, 2))) AS dist_bike_lanes
+  FROM (SELECT *, greatest(0e0, least(1e0, ((x - x1) * dx + (y - y1) * dy) / (dx * dx + dy * dy))) AS f FROM place, seg) GROUP BY ALL),
+inside AS MATERIALIZED (SELECT DISTINCT l.* FROM lane l JOIN quad q ON TRUE WHERE kind = 'site' AND dist_bike_lanes < 60
+  AND {' AND '.join(f'(x{q} - x{p}) * (y - y{p}) > (y{q} - y{p}) * (x - x{p})' for p, q in ('ab', 'bc', 'cd', 'da'))}),
+near AS MATERIALIZED (SELECT i.*, MIN(sqrt(pow(i.x - st.x, 2) + pow(i.y - st.y, 2))) AS dist_bike_station FROM inside i, st GROUP BY ALL HAVING dist_bike_station > 200
+  UNION ALL SELECT l.*, MIN(sqrt(pow(l.x - st.x, 2) + pow(l.y - st.y, 2))) FROM lane l JOIN st ON st.station_id <> l.id WHERE kind = 'popular' GROUP BY ALL),
+poi AS MATERIALIZED (SELECT x, y, category FROM {utm_sql('v_poi')}),
+f AS MATERIALIZED (SELECT near.*, l.* EXCLUDE (kind, id) FROM near JOIN ({LAYER_SQL}) l ON l.kind = near.kind AND l.id = near.id),
+s AS MATERIALIZED (SELECT {', '.join(f'avg({c}) AS m_{c}, CASE WHEN stddev_pop({c}) = 0 THEN 1 ELSE stddev_pop({c}) END AS s_{c}' for c in aggs.DISTANCES)} FROM f WHERE kind = 'popular'),
+z AS MATERIALIZED (SELECT kind, id, x, y, {', '.join(f'({c} - m_{c}) / s_{c} AS {c}' for c in aggs.DISTANCES)} FROM f, s),
+d AS (SELECT a.id, a.x, a.y, sqrt({' + '.join(f'pow(a.{c} - b.{c}, 2)' for c in aggs.DISTANCES)}) AS dist FROM z a JOIN z b ON a.kind = 'site' AND b.kind = 'popular'),
+p AS MATERIALIZED (SELECT id, x, y, 1 / avg(dist) AS similarity_score FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY id ORDER BY dist) AS rn FROM d)
+  WHERE rn <= 5 GROUP BY ALL ORDER BY 4 DESC, 1 LIMIT 100),
+settings AS MATERIALIZED (SELECT CAST(e AS DOUBLE) AS eps, CAST(m AS INT) AS m FROM range(50, 251, 50) AS r(e), range(2, 6) AS q(m)),
+near_p AS MATERIALIZED (SELECT eps, m, a.id AS a, b.id AS b FROM settings, p a, p b WHERE sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2)) <= eps),
+core AS MATERIALIZED (SELECT eps, m, a AS id FROM near_p GROUP BY ALL HAVING COUNT(*) >= m),
+edge AS MATERIALIZED (SELECT n.* FROM near_p n JOIN core x ON x.eps = n.eps AND x.m = n.m AND x.id = a JOIN core y ON y.eps = n.eps AND y.m = n.m AND y.id = b),
+reach AS (SELECT eps, m, id AS a, id AS b FROM core UNION SELECT r.eps, r.m, r.a, e.b FROM reach r JOIN edge e ON e.eps = r.eps AND e.m = r.m AND e.a = r.b),
+named AS (SELECT eps, m, a AS id, MIN(b) AS cluster FROM reach GROUP BY 1, 2, 3),
+met AS (SELECT n.eps, n.m, n.a AS id, MIN(cluster) AS cluster FROM near_p n JOIN named c ON c.eps = n.eps AND c.m = n.m AND c.id = n.b GROUP BY 1, 2, 3),
+every AS MATERIALIZED (SELECT eps, m, id, COALESCE(named.cluster, met.cluster) AS cluster FROM met LEFT JOIN named USING (eps, m, id)),
+best AS (SELECT s.eps, s.m FROM settings s LEFT JOIN every e ON e.eps = s.eps AND e.m = s.m GROUP BY 1, 2
+  ORDER BY COUNT(DISTINCT cluster) - ((SELECT COUNT(*) FROM p) - COUNT(id)) / (SELECT COUNT(*) FROM p) DESC, s.eps, s.m LIMIT 1),
+site AS (SELECT cluster, p.* FROM every JOIN best USING (eps, m) JOIN p ON p.id = every.id QUALIFY ROW_NUMBER() OVER (PARTITION BY cluster ORDER BY similarity_score DESC, p.id) = 1)
+SELECT cluster, id AS point_id, round(lon, 6) AS lon, round(lat, 6) AS lat, round(similarity_score, 6) AS similarity_score FROM {degrees_sql('site')}"""
+
+
+@query("j10_site_selection", SITES_SQL)
 def _(d):
     docs = documents(d)
     top = aggs.popular_stations(aggs.shortage_stations(docs, "num_bikes_available"), aggs.shortage_stations(docs, "num_docks_available"),
                                 aggs.rotation_stations(aggs.complete_days(docs)))
     stations = expansion.with_plane(d("v_station")).select("station_id", "x", "y")
     poi = expansion.with_plane(d("v_poi")).select("x", "y", "category")
-    cuts = ["Brand#1", "Brand#2", "Brand#3", "Brand#4", "Brand#5", "Brand#6"]
     layers = {
         name: poi.filter((F.col("category") >= lo) & (F.col("category") < hi)).select("x", "y")
-        for name, lo, hi in zip(expansion.POINT_LAYERS.values(), cuts, cuts[1:])
+        for name, lo, hi in zip(expansion.POINT_LAYERS.values(), LAYER_CUTS, LAYER_CUTS[1:])
     }
     zones = expansion.plane_geometry(areas(d))
     lines = d("v_lane").select("lane_id", F.array(
