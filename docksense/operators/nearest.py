@@ -204,6 +204,65 @@ def short_pieces(seg: DataFrame) -> DataFrame:
                       F.least(ya, yb).alias("sloy"), F.greatest(ya, yb).alias("shiy"))
 
 
+def _segments(lines: DataFrame, path: str) -> DataFrame:
+    """The different segments (sx1, sy1, sx2, sy2) of a line layer."""
+    parts = lines.select(F.explode(F.arrays_zip(
+        F.slice(path, 1, F.size(path) - 1).alias("a"), F.slice(path, 2, F.size(path) - 1).alias("b"))).alias("s"))
+    return parts.select(F.col("s.a.x").alias("sx1"), F.col("s.a.y").alias("sy1"),
+                        F.col("s.b.x").alias("sx2"), F.col("s.b.y").alias("sy2")).distinct()
+
+
+def _listed(df: DataFrame, box: list[Column], side: float) -> DataFrame:
+    """``df`` once for each cell of the given side that its box (xlo, xhi, ylo, yhi) comes within one side of."""
+    pad = side * (1 + 1e-9)  # a point exactly one side away still shares a cell
+    span = lambda lo, hi: F.sequence(F.floor((lo - pad) / side), F.floor((hi + pad) / side))
+    return df.withColumn("_cx", F.explode(span(box[0], box[1]))).withColumn("_cy", F.explode(span(box[2], box[3])))
+
+
+def _in_cells(points: DataFrame, x: str, y: str, side: float) -> DataFrame:
+    return points.withColumns({"_cx": F.floor(F.col(x) / side), "_cy": F.floor(F.col(y) / side)})
+
+
+def farther_than(points: DataFrame, objects: DataFrame, radius: float, x: str = "x", y: str = "y") -> DataFrame:
+    """Points without an object (``x``, ``y``) at ``radius`` or less.
+
+    Objects are listed in the cells around them, so a point meets only those in its own cell; equal places count once
+    and objects with an infinite or missing coordinate are left out. No distance is searched for.
+    """
+    places = objects.select(F.col(x).cast("double").alias("_bx"), F.col(y).cast("double").alias("_by")).distinct()
+    places = places.filter((F.abs("_bx") < float("inf")) & (F.abs("_by") < float("inf")))
+    places = _listed(places, [F.col("_bx"), F.col("_bx"), F.col("_by"), F.col("_by")], radius)
+    places = places.withColumnsRenamed({"_cx": "_bcx", "_cy": "_bcy"})
+    dx, dy = F.col(x) - F.col("_bx"), F.col(y) - F.col("_by")
+    near = (F.col("_cx") == F.col("_bcx")) & (F.col("_cy") == F.col("_bcy")) & (F.sqrt(dx * dx + dy * dy) <= radius)
+    return _in_cells(points, x, y, radius).join(places, near, "left_anti").select(*points.columns)
+
+
+def line_distance_within(points: DataFrame, lines: DataFrame, name: str, key: str, radius: float, path: str = "path",
+                         x: str = "x", y: str = "y") -> DataFrame:
+    """Points less than ``radius`` from a line layer, with the distance to its closest segment as column ``name``.
+
+    Segments are cut into pieces of at most ``radius``, listed in the at most 16 cells that lie within one radius; a point
+    meets the segments listed in its own cell. One equi-join, where ``line_distance`` has to search outwards for points
+    that are far from every line. Segments with an infinite or missing coordinate are left out.
+    """
+    from docksense.functions.geo import segment_distance
+
+    ends = ["sx1", "sy1", "sx2", "sy2"]
+    seg = _segments(lines, path).select(*[F.col(c).cast("double").alias(c) for c in ends])
+    for c in ends:
+        seg = seg.filter(F.abs(c) < float("inf"))
+    dx, dy = F.col("sx2") - F.col("sx1"), F.col("sy2") - F.col("sy1")
+    many = F.greatest(F.ceil(F.greatest(F.abs(dx), F.abs(dy)) / radius), F.lit(1).cast("bigint"))
+    cut = seg.withColumn("_m", many).withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_m"))))
+    xa, xb, ya, yb = (F.col(s) + d * (i / F.col("_m")) for s, d in (("sx1", dx), ("sy1", dy)) for i in (F.col("_i") - 1, F.col("_i")))
+    box = [F.least(xa, xb), F.greatest(xa, xb), F.least(ya, yb), F.greatest(ya, yb)]
+    cells = _listed(cut, box, radius).select("_cx", "_cy", *ends).distinct()
+    met = _in_cells(points.select(key, x, y), x, y, radius).join(cells, ["_cx", "_cy"])
+    met = met.select(key, segment_distance(x, y, *ends).alias(name)).filter(F.col(name) < radius)
+    return points.join(met.groupBy(key).agg(F.min(name).alias(name)), key)
+
+
 def line_distance(points: DataFrame, lines: DataFrame, name: str, key: str, path: str = "path",
                   x: str = "x", y: str = "y") -> DataFrame:
     """Plane distance of every point to the closest segment of a line layer.
@@ -213,11 +272,7 @@ def line_distance(points: DataFrame, lines: DataFrame, name: str, key: str, path
     from docksense.functions.geo import segment_distance
 
     points = spread(points, key)
-    parts = lines.select(F.explode(F.arrays_zip(
-        F.slice(path, 1, F.size(path) - 1).alias("a"), F.slice(path, 2, F.size(path) - 1).alias("b"))).alias("s"))
-    seg = parts.select(F.col("s.a.x").alias("sx1"), F.col("s.a.y").alias("sy1"),
-                       F.col("s.b.x").alias("sx2"), F.col("s.b.y").alias("sy2")).distinct()
-    seg = cut_lineage(short_pieces(seg))
+    seg = cut_lineage(short_pieces(_segments(lines, path)))
     pairs = candidates(points.select(key, x, y), [x, y], seg, ["slox", "sloy"], ["shix", "shiy"])
     dist = segment_distance(x, y, "sx1", "sy1", "sx2", "sy2")
     best = pairs.groupBy(key).agg(F.min(dist).alias(name))

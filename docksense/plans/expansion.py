@@ -53,17 +53,18 @@ def propose_sites(top: DataFrame, stations: DataFrame, layers: dict[str, DataFra
     """Sites whose surroundings resemble those of popular stations; one per density cluster.
 
     All tables are in plane metres (``x``, ``y``; ``path``; ``geometry``). Lattice points too close to a station
-    or too far from a lane leave before the other distances are computed.
+    or too far from a lane leave by joins of cells of that size, before any nearest object is searched for.
     """
     spark = top.sparkSession
     stations = cut_lineage(stations.select("x", "y"))
     box = aggs.total_bounds(areas).first()
     grid = spatial.candidate_grid(spark, (box["xmin"], box["ymin"], box["xmax"], box["ymax"]), step)
     # every step reads its input more than once, so each result is written before the next one
-    inside = cut_lineage(spatial.spatial_join_within(grid, areas.select("geometry")).select("point_id", "x", "y").distinct())
-    sites = nearest.nearest_distance(inside, stations, "dist_bike_station", "point_id")
-    sites = cut_lineage(sites.filter(F.col("dist_bike_station") > min_station))
-    sites = nearest.line_distance(sites, lanes, "dist_bike_lanes", "point_id")
+    sites = cut_lineage(nearest.farther_than(
+        nearest.line_distance_within(grid, lanes, "dist_bike_lanes", "point_id", max_lane), stations, min_station))
+    inside = spatial.spatial_join_within(sites.select("point_id", "x", "y"), areas.select("geometry")).select("point_id").distinct()
+    sites = cut_lineage(sites.join(inside, "point_id"))
+    sites = nearest.nearest_distance(sites, stations, "dist_bike_station", "point_id")
     sites = cut_lineage(clean.site_filters(sites, min_station, max_lane))
 
     top = cut_lineage(top.select("station_id", "x", "y"))

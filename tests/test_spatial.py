@@ -371,6 +371,34 @@ def test_long_segments_equal_brute_force(spark):
     assert [r.d for r in none] == [None, None]
 
 
+def test_lines_within_a_radius_equal_brute_force(spark):
+    rng = np.random.default_rng(6)
+    p, s = rng.uniform(-500, 1000, size=(400, 2)), rng.uniform(-300, 1000, size=(12, 4))
+    s[0, 2:] = s[0, :2]
+    p[:40] = s[1, :2] + rng.normal(scale=30, size=(40, 2))
+    p[40] = s[2, :2]
+    lines = segments(spark, np.concatenate([s, s])).union(segments(spark, [(0, 0, float("inf"), 5), (float("nan"), 1, 2, 3)]))
+    for radius in (60.0, 7.5):
+        got = {r.id: r.d for r in nearest.line_distance_within(points(spark, p), lines, "d", "id", radius).collect()}
+        true = to_segments(p, s)
+        assert set(got) == set(np.flatnonzero(true < radius).tolist()) and len(got) > 5
+        assert np.allclose([got[i] for i in sorted(got)], true[sorted(got)], atol=1e-6)
+    assert nearest.line_distance_within(points(spark, p), lines.limit(0), "d", "id", 60.0).count() == 0
+
+
+def test_farther_than_equals_brute_force(spark):
+    rng = np.random.default_rng(8)
+    p, o = skewed(rng, 300) - 400, skewed(rng, 60) - 400
+    p[0], o[-1] = (-600.0, 0.0), (-800.0, 0.0)  # exactly the radius apart: not farther
+    odd = spark.createDataFrame([(None, 1.0), (float("nan"), 2.0), (float("inf"), 0.0)], "x double, y double")
+    objects = points(spark, o).select("x", "y").union(odd)
+    extra = points(spark, p).withColumn("_note", F.lit("kept"))
+    got = nearest.farther_than(extra, objects, 200.0)
+    assert got.columns == extra.columns
+    assert {r.id for r in got.collect()} == set(np.flatnonzero(brute(p, o)[:, 0] > 200).tolist()) != set()
+    assert nearest.farther_than(extra, objects.limit(0), 200.0).count() == len(p)
+
+
 def test_candidates_per_point_stay_few_with_more_long_segments(spark):
     rng = np.random.default_rng(4)
     p = points(spark, rng.uniform(0, 1000, size=(100, 2)))
