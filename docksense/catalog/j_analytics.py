@@ -20,6 +20,16 @@ def _(d):
     return ml.cluster_stations(d("v_station").select("station_id", "lat", "lon")).select("station_id", "truck")
 
 
+@query("j01_zones_check", """
+SELECT station_id, 0e0 AS gap, least(25, COUNT(*) OVER ()) AS zones FROM v_station""")
+def _(d):
+    # every station lies in the zone of its closest centre, and no zone is empty
+    stations = d("v_station").select("station_id", "lat", "lon")
+    out = cut_lineage(ml.zone_gaps(ml.fit_zones(stations), stations))
+    zones = out.agg(F.count_distinct("truck")).scalar()
+    return out.select("station_id", (F.round("gap", 9) + 0.0).alias("gap"), zones.alias("zones"))
+
+
 @query("j02_truck_dim", """
 SELECT CAST(n_nationkey AS INT) AS truck_id, 30 AS capacity, COUNT(station_id) AS stations FROM nation LEFT JOIN v_station ON truck = n_nationkey GROUP BY 1""")
 def _(d):
@@ -285,7 +295,7 @@ def _mean(c: str) -> str:
     return f"CAST(SUM({c}) OVER (PARTITION BY station_id) AS DOUBLE) / NULLIF(COUNT({c}) OVER (PARTITION BY station_id), 0)"
 
 
-@query("j14_preprocess", f"""
+PREPARED_SQL = f"""
 WITH dem AS MATERIALIZED (SELECT *, make_date(year, month, day) AS dr FROM ({DEMAND_SQL})),
 life AS (SELECT station_id, MIN(dr) AS c, MAX(dr) AS e FROM dem GROUP BY 1),
 grid AS (SELECT station_id, CAST(unnest(generate_series(c, e, INTERVAL 1 DAY)) AS DATE) AS dr FROM life WHERE e >= DATE '2024-01-25' OR date_diff('day', c, e) > 20),
@@ -307,10 +317,44 @@ SELECT station_id, {day('gd')} AS d, gh AS hora_dia, {ts('hour_ts')} AS last_rep
   COALESCE(total_bikes_taken, CAST(round({_mean('total_bikes_taken')}) AS INT)) AS total_bikes_taken,
   COALESCE(humedad, CAST(round({_mean('humedad')}) AS INT)) AS humedad,
   round(COALESCE(temperatura, {_mean('temperatura')}), 6) AS temperatura
-FROM u""")
+FROM u"""
+
+
+@query("j14_preprocess", PREPARED_SQL)
 def _(d):
     out = demand.preprocess(demand_table(d), None, None, "2024-01-25", 20)
     return out.select(
         "station_id", F.make_date("year", "month", "day").alias("d"), "hora_dia", "last_reported_local", "status_station", "festivo", "weekday",
         "num_bikes_error", "laborable", "hora_info", "season", "num_bikes_available", "num_docks_available", "total_bikes_taken",
         "total_bikes_returned", "humedad", "viento", *[F.round(c, 6).alias(c) for c in ("temperatura", "precipitacion")])
+
+
+def split_sql(held_out: bool) -> str:
+    """Readings of the demand table that ``train_test`` trains on, or holds out."""
+    return f"""SELECT * FROM ({PREPARED_SQL}), (SELECT MIN(CAST(d AS DATE)) AS first_day, date_diff('day', MIN(CAST(d AS DATE)), MAX(CAST(d AS DATE))) + 1 AS days
+  FROM ({PREPARED_SQL})) WHERE total_bikes_taken IS NOT NULL AND (date_diff('day', first_day, CAST(d AS DATE)) >= greatest(1, round(days * 2e0 / 3))) = {held_out}"""
+
+
+@query("j03_normal_equations", f"""
+WITH r AS MATERIALIZED ({split_sql(False)})
+SELECT f AS feature, v AS "value", COUNT(*) AS readings, CAST(SUM(total_bikes_taken) AS BIGINT) AS taken, 0e0 AS gap
+FROM (SELECT 'hour' AS f, CAST(hora_dia AS VARCHAR) AS v, total_bikes_taken FROM r UNION ALL SELECT 'season', season, total_bikes_taken FROM r
+  UNION ALL SELECT 'station', CAST(station_id AS VARCHAR), total_bikes_taken FROM r UNION ALL SELECT 'intercept', '', total_bikes_taken FROM r) GROUP BY 1, 2""")
+def _(d):
+    # the model of j03 solves its equations: every gradient is 0
+    train, _ = train_test(d)
+    out = ml.normal_equations(ml.fit_demand(train), train)
+    return out.withColumns({"taken": F.col("taken").cast("bigint"), "gap": F.round("gap", 6) + 0.0})  # no negative zero
+
+
+@query("j04_holdout_check", f"""
+SELECT CAST(r AS DOUBLE) AS reg_param, CAST(e AS DOUBLE) AS elastic_net, CAST(i AS INT) AS max_iter, TRUE AS least_chosen, round(v, 6) AS holdout_variance
+FROM (SELECT unnest([0.01e0, 0.1e0]) AS r), (SELECT unnest([0e0, 1e0]) AS e), (SELECT unnest([10, 20]) AS i),
+  (SELECT var_pop(total_bikes_taken) AS v FROM ({split_sql(True)}))""")
+def _(d):
+    # all points of the grid; the chosen one has the least error, and its two hold-out scores belong to the held-out readings
+    train, test = train_test(d)
+    out = cut_lineage(ml.grid_scores(ml.tune(train), test))
+    best = out.filter("chosen").select(F.struct("rmse", (F.col("holdout_rmse") ** 2 / (1 - F.col("holdout_r2"))).alias("v")).alias("b")).scalar()
+    return out.withColumn("b", best).select("reg_param", "elastic_net", "max_iter", (F.col("rmse") >= F.col("b.rmse")).alias("least_chosen"),
+                                            F.round("b.v", 6).alias("holdout_variance"))

@@ -17,9 +17,19 @@ NUMERIC = ["laborable", "temperatura", "precipitacion", "humedad", "viento"]
 
 def cluster_stations(df: DataFrame, k: int = 25, seed: int = 1) -> DataFrame:
     """k-means zones on (lat, lon); the zone number is the truck id."""
-    points = VectorAssembler(inputCols=["lat", "lon"], outputCol="_xy").transform(df)
-    model = KMeans(k=k, seed=seed, featuresCol="_xy", predictionCol="truck").fit(points)
-    return model.transform(points).drop("_xy")
+    return fit_zones(df, k, seed).transform(df).drop("_xy")
+
+
+def fit_zones(df: DataFrame, k: int = 25, seed: int = 1) -> PipelineModel:
+    gather = VectorAssembler(inputCols=["lat", "lon"], outputCol="_xy")
+    return Pipeline(stages=[gather, KMeans(k=k, seed=seed, featuresCol="_xy", predictionCol="truck")]).fit(df)
+
+
+def zone_gaps(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """``df`` with its zone and ``gap``: how much farther (squared) the zone's centre is than the closest centre, 0 if it is that."""
+    centres = [(float(lat), float(lon)) for lat, lon in model.stages[-1].clusterCenters()]
+    far = F.array(*[F.pow(F.col("lat") - lat, 2) + F.pow(F.col("lon") - lon, 2) for lat, lon in centres])
+    return model.transform(df).withColumn("gap", F.get(far, F.col("truck")) - F.array_min(far)).drop("_xy")
 
 
 def truck_table(spark: SparkSession, k: int = 25, capacity: int = 30) -> DataFrame:
@@ -66,6 +76,36 @@ def fit_demand(train: DataFrame, reg_param: float = 0.1) -> PipelineModel:
     return demand_stages(reg_param).fit(labelled(train))
 
 
+def normal_equations(model: PipelineModel, train: DataFrame) -> DataFrame:
+    """feature, value, readings, taken, gap: one row per hour, season and station of the training rows.
+
+    ``gap`` is the gradient of the fitted loss for that one-hot column, the mean of column times residual less the ridge
+    term; 0 for a solved model. The row ``intercept`` has the mean residual, which no ridge term pulls at. Holds for
+    models without an L1 part.
+    """
+    encoder, scaler, line = (model.stages[i] for i in (2, 4, 5))
+    seasons, stations = model.stages[1].labelsArray
+    hours = range(encoder.categorySizes[2])
+    known = [("hour", str(v)) for v in hours] + [("season", v) for v in seasons] + [("season", None)]
+    known += [("station", v) for v in stations] + [("station", None)]
+    weights = [(*name, float(w), float(s)) for name, w, s in zip(known, line.coefficients, scaler.std)]
+    weights = train.sparkSession.createDataFrame(weights, "_f string, _v string, weight double, spread double")
+    rows = model.transform(labelled(train)).withColumn("off", F.col(LABEL) - F.col("prediction"))
+    values = {"hour": "hora_dia", "season": "season", "station": "station_id", "intercept": None}
+    each = F.explode(F.array(*[
+        F.struct(F.lit(k).alias("feature"), (F.col(c) if c else F.lit("")).cast("string").alias("value")) for k, c in values.items()]))
+    sums = rows.select(each.alias("f"), LABEL, "off").groupBy("f.feature", "f.value").agg(
+        F.count("*").alias("readings"), F.sum(LABEL).alias("taken"), F.sum("off").alias("off"))
+    all_rows = rows.agg(F.struct(F.count("*").alias("n"), F.stddev_pop(LABEL).alias("sd"))).scalar()
+    same = (F.col("feature") == F.col("_f")) & F.col("value").eqNullSafe(F.col("_v"))
+    out = sums.join(weights, same, "left").withColumn("all", all_rows)
+    share = F.col("readings") / F.col("all.n")
+    ridge = line.getRegParam() * F.col("weight") * share * (1 - share) / F.col("spread") ** 2 / F.col("all.sd")
+    gap = F.when(F.col("feature") == "intercept", F.col("off") / F.col("all.n")).when(
+        F.col("spread") == 0, 0.0).otherwise(F.col("off") / F.col("all.n") / F.col("spread") - ridge)  # a constant column is scaled to 0
+    return out.select("feature", "value", "readings", "taken", gap.alias("gap"))
+
+
 def tune(train: DataFrame, folds: int = 3, parallelism: int = 4) -> CrossValidatorModel:
     """Two values each of regularisation, elastic net mix and iterations, by cross-validated RMSE."""
     stages = demand_stages()

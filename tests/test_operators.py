@@ -336,3 +336,29 @@ def test_scratch_of_a_run_is_dropped(spark):
         assert new_path(spark, "x").startswith(folder) and os.listdir(folder)
     assert not os.path.exists(folder)
     assert not new_path(spark, "x").startswith(folder)
+
+
+def test_normal_equations_hold_for_the_fitted_model_only(spark):
+    train, _ = ml.split_days(regression_rows(spark), "date_reported", 0.75)
+    model = ml.fit_demand(train, 0.1)
+    rows = ml.normal_equations(model, train).collect()
+    known = ml.labelled(train)
+    assert all(abs(r.gap) < 1e-6 for r in rows)
+    assert sum(r.readings for r in rows if r.feature == "hour") == known.count()
+    assert {r.value for r in rows if r.feature == "station"} == {
+        str(r[0]) if r[0] is not None else None for r in known.select("station_id").distinct().collect()}
+    # rows that the model was not fitted on do not solve them
+    other = known.withColumn(ml.LABEL, F.col(ml.LABEL) + F.col("hora_dia") % 3)
+    assert max(abs(r.gap) for r in ml.normal_equations(model, other).collect()) > 1e-3
+
+
+def test_zone_gaps(spark):
+    rng = np.random.default_rng(2)
+    df = spark.createDataFrame(pd.DataFrame({"station_id": range(40), "lat": rng.uniform(41, 42, 40), "lon": rng.uniform(2, 3, 40)}))
+    model = ml.fit_zones(df, 5)
+    out = ml.zone_gaps(model, df)
+    assert out.columns == ["station_id", "lat", "lon", "truck", "gap"]
+    assert [r.gap for r in out.collect()] == [0.0] * 40
+    assert {(r.station_id, r.truck) for r in ml.cluster_stations(df, 5).collect()} == {(r.station_id, r.truck) for r in out.collect()}
+    moved = ml.zone_gaps(model, df.withColumn("lat", F.col("lat") + 0.5)).collect()
+    assert all(r.gap == 0 for r in moved)  # zones are those of the places asked for
