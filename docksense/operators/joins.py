@@ -90,11 +90,33 @@ def calendar_grid(stations: DataFrame, first: str | None = None, last: str | Non
         lo = F.greatest(lo, F.lit(first).cast("date"))
     if last is not None:
         hi = F.least(hi, F.lit(last).cast("date"))
-    days = F.when(lo <= hi, F.sequence(lo, hi, F.expr("INTERVAL 1 DAY")))
-    grid = spread(stations, "station_id").withColumn("date_reported", F.explode(days)).withColumns(day_cols or {})
+    grid = calendar_days(stations, lo, hi).withColumns(day_cols or {})
     return grid.withColumn("hora_dia", F.explode(F.sequence(F.lit(0), F.lit(23))))
 
 
+def calendar_days(stations: DataFrame, lo: Column, hi: Column) -> DataFrame:
+    """Each station's row once for every day (``date_reported``) from ``lo`` to ``hi``."""
+    days = F.when(lo <= hi, F.sequence(lo, hi, F.expr("INTERVAL 1 DAY")))
+    return spread(stations, "station_id").withColumn("date_reported", F.explode(days))
+
+
+def densify_days(df: DataFrame, days: DataFrame, keys: list[str], hour: str = "hora_dia") -> DataFrame:
+    """Left join of hourly facts to station days, with a null row for every hour (0 to 23) of a day that has no fact.
+
+    The days meet the facts before the hours are made, so only days and facts are shuffled, never the hours. Equal facts are
+    dropped. The keys of the days are unique; a station's day holds what the feed polls in a day.
+    """
+    rest = [c for c in df.columns if c not in (*keys, hour)]
+    entry = F.struct(F.col(hour).cast("int").alias(hour), *rest)
+    known = spread(df, *keys).distinct().filter(F.col(hour).between(0, 23)).groupBy(*keys).agg(F.collect_list(entry).alias("_facts"))
+    kind = known.schema["_facts"].dataType
+    blank = [F.lit(None).cast(kind.elementType[c].dataType).alias(c) for c in rest]
+    facts = F.coalesce("_facts", F.array().cast(kind))
+    missing = F.array_except(F.sequence(F.lit(0), F.lit(23)), facts[hour])
+    rows = F.concat(facts, F.transform(missing, lambda h: F.struct(h.alias(hour), *blank)))
+    return spread(days, *keys).join(known, keys, "left").select(*days.columns, F.inline(rows))
+
+
 def densify(df: DataFrame, grid: DataFrame, keys: list[str]) -> DataFrame:
     """Grid left join facts; missing facts are null rows. The keys of the grid are unique.
 

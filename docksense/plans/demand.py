@@ -93,37 +93,46 @@ def demand_dataset(status: DataFrame, info: DataFrame | None, holidays: DataFram
 
 
 def complete_hours(demand: DataFrame, first: str | None = None, last: str | None = None,
-                   cutoff: str | None = None, min_days: int = 365) -> DataFrame:
+                   cutoff: str | None = None, min_days: int = 365, values: DataFrame | None = None) -> DataFrame:
     """Null rows for the missing hours of every station's service days; only stations in service, if asked.
 
-    The service filter runs on the one row per station, before any hour is generated.
+    The service filter runs on the one row per station, before any day is generated. The columns of ``values``, one row per
+    station, come along from there, which spares the hours a shuffle of their own.
     """
     dated = demand.withColumn("date_reported", F.make_date("year", "month", "day"))
     stations = dated.groupBy("station_id").agg(
         F.min("date_reported").alias("creation_date"), F.max("date_reported").alias("end_date"))
     if cutoff is not None:
         stations = clean.in_service(stations, cutoff, min_days)
-    grid = joins.calendar_grid(stations, first, last, {
+    if values is not None:
+        stations = stations.join(values, "station_id", "left")
+    lo, hi = F.col("creation_date"), F.col("end_date")
+    lo = lo if first is None else F.greatest(lo, F.lit(first).cast("date"))
+    hi = hi if last is None else F.least(hi, F.lit(last).cast("date"))
+    full = joins.densify_days(dated.drop("year", "month", "day"), joins.calendar_days(stations, lo, hi), KEYS[:2])
+    return full.withColumns({
         "year": F.year("date_reported"), "month": F.month("date_reported"), "day": F.dayofmonth("date_reported"),
         "day_weekday": cal.weekday("date_reported"), "day_season": cal.season("date_reported"),
     })
-    return joins.densify(dated.drop("year", "month", "day"), grid, KEYS)
 
 
-def fill_gaps(full: DataFrame, facts: DataFrame | None = None) -> DataFrame:
-    """Every null of the completed table from its own hour, or from the station's last or mean value.
+GAPS = (["status_station", "festivo"], INT_GAPS, DEC_GAPS)
 
-    Gap rows add nothing to those values, so ``facts`` (the table before completion) is enough to get them.
-    """
+
+def gap_values(facts: DataFrame) -> DataFrame:
+    """One row per station of the demand table with its last and mean values, before or after completion: gap rows add nothing."""
+    facts = clean.fill_expr(facts, {"last_reported_local": cal.ts_from_parts("year", "month", "day", "hora_dia")})
+    return windows.gap_values(facts, "station_id", ["last_reported_local", "hora_dia"], *GAPS)
+
+
+def fill_gaps(full: DataFrame) -> DataFrame:
+    """Every null of the completed table from its own hour, or from the station's last or mean value that its rows carry."""
     hour = F.timestamp_add("HOUR", F.col("hora_dia"), F.col("date_reported").cast("timestamp_ntz"))
     df = clean.fill_expr(full, {
         "last_reported_local": hour, "hora_info": cal.hour_band("hora_dia"),
         "season": F.col("day_season"), "weekday": F.col("day_weekday"), "num_bikes_error": F.lit(0),
     }).drop("day_season", "day_weekday")
-    if facts is not None:
-        facts = clean.fill_expr(facts, {"last_reported_local": cal.ts_from_parts("year", "month", "day", "hora_dia")})
-    df = windows.fill_station_gaps(df, "station_id", ["last_reported_local", "hora_dia"],
-                                   ["status_station", "festivo"], INT_GAPS, DEC_GAPS, facts)
+    df = windows.take_gap_values(df, *GAPS)
     return clean.fill_expr(df, {"laborable": cal.workday("festivo", "weekday")})
 
 
@@ -135,5 +144,5 @@ def preprocess(demand: DataFrame, first: str | None, last: str | None, cutoff: s
                                     first or "0001-01-01", last or "9999-12-31").drop("_d")
     else:
         known = demand
-    full = complete_hours(demand, first, last, cutoff, min_days)
-    return fill_gaps(full, known).drop("creation_date", "end_date", "date_reported")
+    full = complete_hours(demand, first, last, cutoff, min_days, gap_values(known))
+    return fill_gaps(full).drop("creation_date", "end_date", "date_reported")

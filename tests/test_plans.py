@@ -55,3 +55,9 @@ def test_demand_reads_the_status_once(spark, sf_dir):
     text = entry_module.queries()["j13_demand_dataset"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     # status and weather come from one table, calendar and stations from one each
     assert text.count("Relation [") <= 5
+
+
+def test_hours_of_the_completed_table_are_not_shuffled(spark, sf_dir):
+    # the hours are made after the last join, so only days and facts travel
+    above = plan(spark, sf_dir, "j14_preprocess").split("Join")[0]
+    assert "inline(" in above and "Exchange" not in above
