@@ -194,6 +194,19 @@ def test_completed_table_has_every_hour_and_no_gaps(spark):
     assert out.filter("day = 2").select("last_reported_local").distinct().count() == 24
 
 
+def test_days_take_their_facts_and_null_hours(spark):
+    facts = spark.createDataFrame([(1, day("2024-03-01"), 5, "a"), (1, day("2024-03-01"), 5, "a"), (1, day("2024-03-01"), 5, "b"),
+                                   (1, day("2024-03-01"), 30, "c"), (2, day("2024-03-01"), 0, "d"), (None, day("2024-03-01"), 1, "e")],
+                                  "station_id int, date_reported date, hora_dia int, v string")
+    stations = spark.createDataFrame([(1, day("2024-03-01"), day("2024-03-02"), "s"), (3, day("2024-03-02"), day("2024-03-02"), "t"),
+                                      (None, day("2024-03-01"), day("2024-03-01"), "u")], "station_id int, lo date, hi date, w string")
+    days = joins.calendar_days(stations, F.col("lo"), F.col("hi")).drop("lo", "hi")
+    out = joins.densify_days(facts, days, ["station_id", "date_reported"])
+    assert out.columns == ["station_id", "w", "date_reported", "hora_dia", "v"] and out.count() == 25 + 24 + 24 + 24
+    assert sorted((r.station_id, r.hora_dia, r.v) for r in out.filter("v IS NOT NULL").collect()) == [(1, 5, "a"), (1, 5, "b")]
+    assert out.select("station_id", "date_reported", "hora_dia").distinct().count() == 4 * 24
+
+
 def test_stations_out_of_service_leave(spark):
     assert demand.preprocess(demand_rows(spark), None, None, "2024-07-31").count() == 0
 
@@ -326,6 +339,47 @@ def test_chosen_model_is_scored_on_the_hold_out(spark):
     assert rows[1].holdout_rmse is None
 
 
+def moment_rows(spark):
+    rng = np.random.default_rng(7)
+    rows = [(int(s) if s < 9 else None, dt.date(2024, 1, 1) + dt.timedelta(int(d)), int(h), ["Invierno", "Verano", None][i % 3], float(d % 2),
+             None if i % 7 == 0 else float(t), float(t * h % 3), 60.0 + h, float("nan") if i % 11 == 0 else 0.5 * i % 4, None if i % 13 == 0 else int(s * 2 + h // 6 + t))
+            for i, (s, d, h, t) in enumerate(zip(*[rng.integers(0, n, 600).tolist() for n in (10, 12, 24)], rng.uniform(0, 9, 600).tolist()))]
+    names = ", ".join(f"{c} double" for c in ml.NUMERIC)
+    return spark.createDataFrame(rows, f"station_id int, date_reported date, hora_dia int, season string, {names}, {ml.LABEL} int")
+
+
+@pytest.mark.parametrize("reg, mix, steps, normal", [(0.1, 0.0, 100, 4096), (0.01, 1.0, 10, 4096), (0.1, 0.0, 100, 0)])
+def test_a_fit_by_moments_equals_the_fit_of_the_readings(spark, monkeypatch, reg, mix, steps, normal):
+    train, test = ml.split_days(moment_rows(spark), "date_reported", 0.75)
+    train = ml.labelled(train)
+    pipeline = ml.demand_stages(reg)
+    lr = pipeline.getStages()[-1].setElasticNetParam(mix).setMaxIter(steps).setSolver("auto" if normal else "l-bfgs").setTol(1e-12)
+    want = pipeline.fit(train).transform(test).select("prediction").toPandas()["prediction"].to_numpy()
+    monkeypatch.setattr(ml, "NORMAL_FEATURES", normal)
+    moments = ml.Moments(train)
+    fitted, scaled = moments.features([0], pipeline.getStages()[:-1])
+    assert scaled.count() < 10 + 80 < train.count()  # a row per station, and the steps around one
+    model = ml.PipelineModel([*fitted, ml._solve(lr, moments, scaled)])
+    got = model.transform(test).select("prediction").toPandas()["prediction"].to_numpy()
+    np.testing.assert_allclose(got, want, rtol=0, atol=1e-6)
+    assert model.stages[-1].getRegParam() == reg
+
+
+def test_folds_are_scored_by_their_moments(spark):
+    train = ml.labelled(moment_rows(spark))
+    tuned = ml.tune(train)
+    fold = F.pmod(F.xxhash64(F.lit(1), *train.columns), F.lit(3))
+    for at in (1, 6):  # with and without an L1 part
+        want = []
+        for k in range(3):
+            stages = ml.demand_stages()
+            own = {p: v for p, v in zip([stages.getStages()[-1].getParam(q.name) for q in tuned.grid[at]], tuned.grid[at].values())}
+            stages.setStages([*stages.getStages()[:-1], stages.getStages()[-1].copy(own)])
+            want.append(ml.evaluate(stages.fit(train.filter(fold != k)).transform(train.filter(fold == k)))["rmse"])
+        assert tuned.avgMetrics[at] == pytest.approx(sum(want) / 3, abs=1e-6)
+    assert len(tuned.avgMetrics) == 8
+
+
 def test_scratch_of_a_run_is_dropped(spark):
     import os
 
