@@ -3,13 +3,14 @@
 ``eps`` is inclusive and a point counts itself. A cluster is named by its smallest core point id, noise is -1,
 and a border point joins the cluster with the smallest name among its core neighbours.
 
-Settings share all distances. Of a sorted list of ``eps`` only the first one that is not exceeded counts (a level), so every pair
+Settings share all distances, if the points are few. Of a sorted list of ``eps`` only the first one that is not exceeded counts (a level), so every pair
 of neighbours is found once. For each ``min_samples`` a point is core from a level on, two core points are linked from the largest
 of their levels and the pair's on, and the links' spanning forest tells the clusters of every ``eps``.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
@@ -22,7 +23,12 @@ from docksense.session import cut_lineage
 
 #: Points that make a cell of side eps / sqrt(2) one node (all of them are neighbours), if ``min_samples`` is not larger. Thinner
 #: cells keep their places apart, so this bounds the neighbours that a place is compared with.
-FULL = 32
+FULL = 8
+#: Up to so many points are searched once for all ``eps`` of a sweep. With more, each eps has cells of its own size: cells made for
+#: the smallest eps would give a place as many neighbours as the square of the ratio of the largest to it.
+FEW = 4096
+#: Places of a full cell that are compared one by one; larger cells have a search tree.
+CLOSE = 256
 #: Search cells along a tile, whose links one task reduces to a forest.
 TILE = 4
 NODE = "struct<id:bigint,x:double,y:double>"
@@ -140,14 +146,18 @@ class Neighbours:
         # of two full cells the one with fewer places asks
         met = met.filter(~F.col("full") | (F.struct("an", "a") < F.struct("bn", "b")))
         met = met.withColumns({"low": _level(_gap("ax", "ay", box), self.eps), "high": _level(_reach("ax", "ay", box), self.eps)})
-        met = cut_lineage(met.filter("low IS NOT NULL").select("a", "b", "full", "ax", "ay", "low", "high", "tile"))
+        met = cut_lineage(met.filter("low IS NOT NULL").select("a", "b", "bn", "full", "ax", "ay", "low", "high", "tile"))
         sure = met.filter("low = high").select("a", "b", "full", F.col("low").alias("level"), F.lit(self.most).cast("long").alias("w"), "tile")
         # a cell that is linked at the lowest level that another of its places may reach needs no closer look
         best = met.groupBy(F.col("a").alias("ka"), F.col("b").alias("kb")).agg(F.min("high").alias("known"))
         open_ = met.filter("NOT (low <=> high)").join(best, (F.col("a") == F.col("ka")) & (F.col("b") == F.col("kb"))).filter(
             ~F.col("full") | F.col("known").isNull() | (F.col("low") < F.col("known"))).drop("ka", "kb", "known", "low", "high")
         objects = self.places.filter("full").select(F.col("node").alias("b"), F.col("x").alias("ox"), F.col("y").alias("oy"), F.col("w").alias("ow"))
-        found = candidates(open_, ["ax", "ay"], objects, ["ox", "oy"], ["ox", "oy"], k=self.most, weight="ow", group="b")
+        found = open_.filter(F.col("bn") <= CLOSE).join(objects, "b")
+        if not cells.filter(F.col("bn") > CLOSE).isEmpty():
+            large = objects.join(cells.filter(F.col("bn") > CLOSE).select("b"), "b", "left_semi")
+            found = found.unionByName(candidates(open_.filter(F.col("bn") > CLOSE), ["ax", "ay"], large, ["ox", "oy"], ["ox", "oy"],
+                                                 k=self.most, weight="ow", group="b"))
         level = _level(F.hypot(F.col("ax") - F.col("ox"), F.col("ay") - F.col("oy")), self.eps)
         found = found.withColumn("level", level).filter("level IS NOT NULL").groupBy("a", "b", "full", "level", "tile").agg(F.sum("ow").alias("w"))
         both = cut_lineage(sure.unionByName(found))
@@ -213,11 +223,14 @@ def dbscan(df: DataFrame, eps: float, min_samples: int) -> DataFrame:
     return df.join(found, "point_id", "left").withColumn("cluster", F.coalesce("cluster", F.lit(-1).cast("bigint")))
 
 
-def tune_dbscan(df: DataFrame, eps: list[float], min_samples: list[int]) -> DataFrame:
-    """Score (clusters - noise share) of every setting, best first; equal scores keep the order of the settings."""
-    settings = [(float(e), m) for e in eps for m in min_samples]
-    grid = df.sparkSession.createDataFrame([(i, e, m) for i, (e, m) in enumerate(settings)], "setting int, eps double, min_samples int")
-    steps, ms = sorted({float(e) for e in eps}), sorted(set(min_samples))
+def searches(df: DataFrame, steps: list[float]) -> list[list[float]]:
+    """The sorted ``eps`` that share a search of neighbours: all if the points are few, else each by itself."""
+    return [steps] if df.limit(FEW + 1).count() <= FEW else [[e] for e in steps]
+
+
+def _part(df: DataFrame, steps: list[float], ms: list[int], first: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """For these eps, numbered from ``first`` (e), and every one of ``ms`` (setting): edges of core nodes that leave the same components
+    (a, b), the number of core nodes, and that of the points inside a cluster."""
     near = Neighbours(df, steps, max(ms))
     cores = cut_lineage(near.cores(ms))
     at = cores.select(F.col("node").alias("b"), F.col("from").alias("from_b"))
@@ -227,7 +240,9 @@ def tune_dbscan(df: DataFrame, eps: list[float], min_samples: list[int]) -> Data
         F.array(*[F.min(F.col("at")[i]) for i in range(len(ms))]).alias("met"))
     inside = cores.join(met, "node", "left").select("w", F.posexplode(F.zip_with(
         "from", F.coalesce("met", F.array(*[F.lit(None).cast("int")] * len(ms))), lambda x, y: F.least(x, y))).alias("s", "level"))
-    inside = inside.groupBy("s", "level").agg(F.sum("w").alias("points"))
+    each = F.explode(F.sequence(F.col("level") + first, F.lit(first + len(steps) - 1))).alias("e")
+    inside = inside.groupBy("s", "level").agg(F.sum("w").alias("points")).filter("level IS NOT NULL").select("s", each, "points").groupBy("s", "e").agg(
+        F.sum("points").alias("inside"))
     # links of core points, reduced to a forest tile by tile, then the components that are left for each setting
     tiled = near.links.join(at, "b").join(cores.select(F.col("node").alias("a"), F.col("from").alias("from_a")), "a")
     joined = F.zip_with("from_a", "from_b", larger)
@@ -235,11 +250,20 @@ def tune_dbscan(df: DataFrame, eps: list[float], min_samples: list[int]) -> Data
         F.exists("at", lambda v: v.isNotNull()))
     forest = cut_lineage(tiled.groupBy("tile").applyInPandas(
         _forest(len(ms), len(steps)), f"a {NODE}, b {NODE}, setting int, level int"))
-    each = F.explode(F.sequence(F.col("level"), F.lit(len(steps) - 1))).alias("e")
     key = lambda c: F.struct("setting", "e", F.col(c).alias("node"))
     edges = forest.select("setting", "a", "b", each).select(key("a").alias("a"), key("b").alias("b"))
     nodes = cores.select("node", F.posexplode("from").alias("setting", "level")).filter("level IS NOT NULL").select("setting", "node", each)
     alone = nodes.groupBy("setting", "e").agg(F.count("*").alias("nodes"))
+    return edges, alone, inside
+
+
+def tune_dbscan(df: DataFrame, eps: list[float], min_samples: list[int]) -> DataFrame:
+    """Score (clusters - noise share) of every setting, best first; equal scores keep the order of the settings."""
+    settings = [(float(e), m) for e in eps for m in min_samples]
+    grid = df.sparkSession.createDataFrame([(i, e, m) for i, (e, m) in enumerate(settings)], "setting int, eps double, min_samples int")
+    steps, ms = sorted({float(e) for e in eps}), sorted(set(min_samples))
+    parts = [_part(df, part, ms, steps.index(part[0])) for part in searches(df, steps)]
+    edges, alone, inside = (functools.reduce(DataFrame.unionByName, x) for x in zip(*parts))
     edges = cut_lineage(edges)
     linked = edges.select(F.col("a").alias("v")).union(edges.select("b")).distinct()
     merged = _components(edges, linked).groupBy(F.col("v.setting").alias("setting"), F.col("v.e").alias("e")).agg(
@@ -247,8 +271,7 @@ def tune_dbscan(df: DataFrame, eps: list[float], min_samples: list[int]) -> Data
     clusters = alone.join(merged, ["setting", "e"], "left").select(
         "setting", "e", (F.col("nodes") - F.coalesce("merged", F.lit(0))).alias("clusters"))
     pairs = df.sparkSession.createDataFrame([(s, i, e, m) for s, m in enumerate(ms) for i, e in enumerate(steps)], "s int, e int, eps double, min_samples int")
-    within = pairs.join(inside, (pairs.s == inside.s) & (F.col("level") <= F.col("e"))).groupBy(pairs.s, "e").agg(F.sum("points").alias("inside"))
-    per = pairs.join(within, ["s", "e"], "left").join(clusters.withColumnRenamed("setting", "s"), ["s", "e"], "left").drop("s", "e")
+    per = pairs.join(inside, ["s", "e"], "left").join(clusters.withColumnRenamed("setting", "s"), ["s", "e"], "left").drop("s", "e")
     total = df.agg(F.count("*").alias("total"))
     zero = lambda c: F.coalesce(c, F.lit(0).cast("bigint"))
     out = grid.join(per, ["eps", "min_samples"], "left").withColumn("total", total.scalar()).withColumns(

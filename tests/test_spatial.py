@@ -166,6 +166,30 @@ def test_full_cells_in_a_sweep(spark):
             assert got[e, m] == (len(set(want.tolist()) - {-1}), int((want == -1).sum())), (e, m)
 
 
+@pytest.mark.parametrize("close", [256, 20])
+def test_sweep_of_many_points_has_cells_for_each_eps(spark, monkeypatch, close):
+    rng = np.random.default_rng(6)
+    xy = np.concatenate([skewed(rng, 200), rng.uniform(0, 60, (200, 2)), np.repeat([[5000.0, 5000.0]], 3, axis=0)])
+    eps, ms = [5.0, 20.0, 60.0], [2, 3, 12]
+    monkeypatch.setattr(density, "FEW", 100)
+    monkeypatch.setattr(density, "CLOSE", close)
+    assert density.searches(points(spark, xy, "point_id"), eps) == [[5.0], [20.0], [60.0]]
+    got = {(r["eps"], r["min_samples"]): (r["clusters"], r["noise"]) for r in density.tune_dbscan(points(spark, xy, "point_id"), eps, ms).collect()}
+    for e in eps:
+        for m in ms:
+            want = plain_dbscan(xy, e, m)
+            assert got[e, m] == (len(set(want.tolist()) - {-1}), int((want == -1).sum())), (e, m)
+
+
+def test_pairs_of_a_sweep_grow_with_the_points(spark):
+    pairs = []
+    for n in (5000, 20000):
+        df = points(spark, np.random.default_rng(8).uniform(0, 1000, (n, 2)), "point_id")
+        near = [density.Neighbours(df, part, 5) for part in density.searches(df, [10.0, 20.0, 30.0, 40.0, 50.0])]
+        pairs.append(sum(x.near.count() + x.links.count() for x in near))
+    assert pairs[1] < 6 * pairs[0]
+
+
 def test_thin_points_meet_a_strip_of_a_full_cell(spark):
     met = []
     for n in (3000, 48000):
