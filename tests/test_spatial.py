@@ -89,6 +89,44 @@ def test_knn_mean(spark, n_ref):
     np.testing.assert_allclose(got, brute(q, r, min(5, n_ref)).mean(axis=1), atol=1e-9)
 
 
+def test_tiles_of_many_features(spark):
+    # a cloud, many rows that share all but one value, ties in every feature, and queries far from all of them
+    rng = np.random.default_rng(12)
+    cols, named = [f"f{i}" for i in range(7)], [f"r_{i}" for i in range(7)]
+    flat = np.zeros((210, 7))
+    flat[np.arange(210), np.arange(210) % 7] = np.arange(210) % 30 + 1.0
+    r = np.unique(np.concatenate([rng.normal(size=(1500, 7)), flat]), axis=0)
+    q = np.concatenate([rng.normal(size=(60, 7)), flat[:20], rng.normal(size=(20, 7)) * 40])
+    places = spark.createDataFrame(pd.DataFrame(r, columns=named))
+    levels, placed = nearest._tiles(places, named, 64)
+    sizes = [x["count"] for x in placed.groupBy("_tile").count().collect()]
+    assert max(sizes) <= 64 and sum(sizes) == len(r) and len(sizes) <= len(r) / 8
+    asked = spark.createDataFrame(pd.DataFrame(q, columns=cols).assign(id=np.arange(100)))
+    met = nearest.close_rows(asked, cols, places, named, 5, 64).toPandas()
+    got = {i: np.sort(np.sqrt(((g[cols].to_numpy() - g[named].to_numpy()) ** 2).sum(axis=1)))[:5] for i, g in met.groupby("id")}
+    np.testing.assert_allclose([got[i] for i in range(100)], brute(q, r, 5), atol=1e-9)
+    assert met[met.id < 60].shape[0] < 60 * 150  # of 1 500 and more
+
+
+def test_knn_mean_compares_a_bounded_part(spark, monkeypatch):
+    # the grid's candidates grew with a cell's neighbours (2^7 a level); tiles keep the mean and equal rows
+    rng = np.random.default_rng(13)
+    cols = [f"f{i}" for i in range(7)]
+    q, r = rng.normal(size=(40, 7)), rng.normal(size=(1500, 7))
+    r[700:704] = r[3]
+
+    def unused(*_, **__):
+        raise AssertionError("cells of a grid in seven dimensions")
+
+    monkeypatch.setattr(nearest, "candidates", unused)
+    odd = spark.createDataFrame([(100, None), (101, float("nan"))], "id long, f0 double").withColumns({c: F.lit(0.0) for c in cols[1:]})
+    qdf = spark.createDataFrame(pd.DataFrame(q, columns=cols).assign(id=np.arange(40))).unionByName(odd)
+    rdf = spark.createDataFrame(pd.DataFrame(r, columns=cols)).unionByName(odd.drop("id"))
+    got = {x["id"]: x["mean_distance"] for x in nearest.knn_mean(qdf, rdf, "id", cols, 5).collect()}
+    np.testing.assert_allclose([got[i] for i in range(40)], brute(q, r, 5).mean(axis=1), atol=1e-9)
+    assert got[100] is None and got[101] is None and len(got) == 42
+
+
 def test_areas_of_very_different_size(spark):
     rng = np.random.default_rng(10)
     box = [(0.0, 0.0, 1000.0, 1000.0)] + [(x, y, x + s, y + s) for x, y, s in zip(
