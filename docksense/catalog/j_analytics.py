@@ -195,7 +195,7 @@ SELECT cluster, id AS point_id, round(lon, 6) AS lon, round(lat, 6) AS lat, roun
 
 @query("j10_site_selection", SITES_SQL)
 def _(d):
-    docs = documents(d)
+    docs = cut_lineage(documents(d).select("station_id", "date", "status"))  # read by three rankings
     top = aggs.popular_stations(aggs.shortage_stations(docs, "num_bikes_available"), aggs.shortage_stations(docs, "num_docks_available"),
                                 aggs.rotation_stations(aggs.complete_days(docs)))
     stations = expansion.with_plane(d("v_station")).select("station_id", "x", "y")

@@ -80,10 +80,9 @@ def rotation_stations(docs: DataFrame, k: int | None = 10, positions: int = 24,
     A day with fewer entries adds 0 to the sum and 1 to the count, unless ``skip_incomplete``.
     """
     bikes = F.col("status.num_bikes_available")
-    moved = F.aggregate(
-        F.sequence(F.lit(1), F.lit(positions - 1)), F.lit(0).cast("bigint"),
-        lambda acc, i: acc + F.abs(F.get(bikes, i) - F.get(bikes, i - 1)),
-    )
+    # the values are taken from the entries twice a day, not twice an hour
+    steps = F.zip_with(F.slice(bikes, 1, positions - 1), F.slice(bikes, 2, positions - 1), lambda a, b: F.abs(b - a))
+    moved = F.when(F.size(bikes) >= positions, F.aggregate(steps, F.lit(0).cast("bigint"), lambda acc, v: acc + v))
     days = docs.select("station_id", moved.alias("moved"))
     if skip_incomplete:
         days = days.filter(F.col("moved").isNotNull())

@@ -284,6 +284,21 @@ def test_days_are_completed_to_24_hours(spark):
     assert hours == list(range(24))
 
 
+def test_rotation_takes_the_values_once_a_day(spark):
+    entry = "struct<hour:int,num_bikes_available:int,num_docks_available:int>"
+    full = [(h, h % 5 * 3, 0) for h in range(24)]
+    moved = sum(abs(h % 5 - (h - 1) % 5) * 3 for h in range(1, 24))
+    gap = [(h, None if h == 7 else 1, 0) for h in range(24)]
+    docs = spark.createDataFrame([(1, full), (1, full[:23]), (2, gap), (3, []), (4, None), (5, full + [(24, 99, 0)])],
+                                 f"station_id int, status array<{entry}>")
+    got = {r.station_id: (r.avg_daily_rotation, r["count"]) for r in aggs.rotation_stations(docs).collect()}
+    assert got == {1: (moved / 2, 2), 2: (0.0, 1), 3: (0.0, 1), 4: (0.0, 1), 5: (float(moved), 1)}
+    assert [r.station_id for r in aggs.rotation_stations(docs, skip_incomplete=True).orderBy("station_id").collect()] == [1, 5]
+    # the entries' values are not taken anew inside the sum over the hours
+    text = aggs.rotation_stations(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "namedlambdavariable" not in text.split("aggregate(zip_with(slice(")[1].split(".num_bikes_available")[0]
+
+
 def regression_rows(spark, days=12):
     rows = []
     for day_ in range(days):

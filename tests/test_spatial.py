@@ -70,6 +70,16 @@ def shuffled_tree(spark):
     np.testing.assert_allclose(got, brute(a, b)[:, 0], atol=1e-9)
 
 
+def test_a_layer_is_grouped_once(spark, tmp_path):
+    # the search reads its objects in every step; the layer itself was scanned and grouped in each of them
+    rng = np.random.default_rng(2)
+    path = str(tmp_path / "layer_of_places")
+    points(spark, rng.uniform(0, 1000, size=(3000, 2))).write.parquet(path)
+    out = nearest.nearest_distance(points(spark, rng.uniform(0, 1000, size=(50, 2))), spark.read.parquet(path), "d", "id")
+    assert "layer_of_places" not in out._jdf.queryExecution().toString()
+    assert out.filter("d IS NULL").count() == 0
+
+
 def test_nearest_of_nothing_and_without_place(spark):
     a = points(spark, np.array([[1.0, 1.0], [2.0, 2.0]])).withColumn("x", F.when(F.col("id") == 0, F.col("x")))
     assert [r["d"] for r in nearest.nearest_distance(a, a.limit(0), "d", "id").collect()] == [None, None]
