@@ -351,6 +351,43 @@ def test_closest_partner_equals_brute_force(spark):
         assert r["degree"] == len(mates) and r["distance"] == pytest.approx(d.min(), abs=1e-3)
 
 
+@pytest.mark.parametrize("block", [512, 7])
+def test_every_pair_of_a_truck_is_listed_once(spark, block):
+    df, pdf = fleet(spark, 120, trucks=4)
+    need = pdf[pdf.check_status.isin(["low", "full"])]
+    want = {}
+    for truck, mates in need.groupby("truck"):
+        for a in mates.itertuples():
+            for b in mates[mates.station_id > a.station_id].itertuples():
+                want[truck, a.station_id, b.station_id] = float(routes._metres(a.lon, a.lat, np.array([b.lon]), np.array([b.lat]))[0])
+    got = routes.intervention_edges(df, block).collect()
+    assert len(got) == len(want) > 2000
+    assert {(r["truck"], r["station_id"], r["other_id"]): r["pair_distance"] for r in got} == pytest.approx(want, abs=1e-4)
+    closest = {}
+    for (truck, a, b), d in want.items():
+        for me, mate in ((a, b), (b, a)):
+            closest[truck, me] = min(closest.get((truck, me), (np.inf, 0)), (d, mate))
+    for r in got:
+        for me, mate, d in (("station_id", "closest_id", "distance"), ("other_id", "other_closest_id", "other_distance")):
+            best = closest[r["truck"], r[me]]
+            assert (r[d], r[mate]) == (pytest.approx(best[0], abs=1e-4), best[1])
+
+
+def test_pairs_of_repeated_rows_and_of_stations_without_a_place(spark):
+    rows = [(1, 1, 2.0, 41.0), (1, 1, 2.0, 41.0), (1, 2, 2.1, 41.0), (1, 3, None, 41.0), (2, 4, 2.1, 41.0), (2, 4, 2.0, 41.0),
+            (2, 5, 2.2, 41.0), (3, 6, 2.0, 41.0), (3, 6, 2.0, 41.0), (4, 7, None, None), (4, 8, 2.0, 41.0), (None, 9, 2.0, 41.0),
+            (None, 10, 2.0, 41.0), (5, None, 2.0, 41.0), (5, 11, 2.0, 41.0)]
+    df = spark.createDataFrame(rows, "truck int, station_id int, lon double, lat double").withColumn("check_status", F.lit("low"))
+    tenth, fifth = (float(routes._metres(2.0, 41.0, np.array([lon]), np.array([41.0]))[0]) for lon in (2.1, 2.2))
+    got = sorted(routes.intervention_edges(df, 1).collect(), key=lambda r: (r["station_id"], r["other_id"], r["pair_distance"] or 0.0))
+    assert [(r["station_id"], r["other_id"], r["degree"], r["closest_id"], r["other_closest_id"]) for r in got] == [
+        (1, 2, 4, 2, 1), (1, 2, 4, 2, 1), (1, 3, 4, 2, None), (1, 3, 4, 2, None), (2, 3, 3, 1, None),
+        (4, 5, 2, 5, 4), (4, 5, 2, 5, 4), (7, 8, 1, None, None)]
+    assert [r["pair_distance"] for r in got] == [
+        pytest.approx(d, abs=1e-4) if d else None for d in (tenth, tenth, None, None, None, tenth, fifth, None)]
+    assert [r["distance"] for r in got if r["station_id"] == 4] == [pytest.approx(tenth, abs=1e-4)] * 2
+
+
 def in_ring(x, y, xs, ys):
     inside = False
     for x1, y1, x2, y2 in zip(xs, ys, np.roll(xs, -1), np.roll(ys, -1)):
